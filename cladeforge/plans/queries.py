@@ -1,6 +1,8 @@
-"""Queries of the library and the SQL that they are held against."""
+"""All queries of the library and their SQL."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from cladeforge.plans import lookup_queries, tree_queries  # noqa: F401
+from cladeforge.plans.registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]
