@@ -387,7 +387,7 @@ def test_quality_rules(docs, empty):
 
 
 def test_licenses(spark, empty):
-    texts = ["x y z\nReleased under the MIT License.\ny z", "Licensed under the\nApache License, Version 2.0", "mit license", None, "", "\n\n", "This work is licensed under a Creative Commons Attribution 4.0 International License!\nreleased under the mit licence", "word " * 3000]
+    texts = ["x y z\nReleased under the MIT License.\ny z", "Licensed under the\nApache License, Version 2.0", "mit license", None, "", "\n\n", "This work is licensed under a Creative Commons Attribution 4.0 International License!\nreleased under the mit licence by all of the authors of these pages", "word " * 3000]
     df = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)] + [(0, texts[0], 1)], "doc_id long, text string, units int")
     got = [tuple(r) for r in licenses.scan_licenses(df).orderBy("doc_id").collect()]
     assert got[0] == got[1] == (0, 3, 1, "MIT", 1.0)
