@@ -15,7 +15,9 @@ def closure(nodes: DataFrame) -> DataFrame:
 
     The tree has eight levels at most, so seven joins with the (id, parent, level) columns reach every root.
     """
-    up = nodes.select(F.col("id").alias("ancestor_id"), F.col("parent_node_id").alias("next"), F.col("level_id").alias("ancestor_level"))
+    from cladeforge.sources.scratch import kept
+
+    up = kept(nodes.select(F.col("id").alias("ancestor_id"), F.col("parent_node_id").alias("next"), F.col("level_id").alias("ancestor_level")))
     step = up.select(F.col("ancestor_id").alias("node_id"), "ancestor_id", "ancestor_level", "next", F.lit(0).alias("depth"))
     out = step
     for depth in range(1, MAX_DEPTH + 1):
