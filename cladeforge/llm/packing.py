@@ -27,7 +27,7 @@ END = b"\0\0\0\0"
 #: Pieces that share a rank counter; the counters' totals are summed up in order.
 RANKED_TOGETHER = 200_000
 #: Distinct strings whose ids a worker remembers (twice: between spaces, and pre-tokens), which bounds its memory.
-REMEMBERED = 400_000
+REMEMBERED = 700_000
 
 
 class _Pieces(dict):
@@ -56,7 +56,7 @@ class _Ids(dict):
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
         self.pieces = _Pieces(self.tokenizer)
         self.split = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+").findall  # the pattern of byte-level pre-tokens, a fixed value
-        self.odd = regex.compile("[\x1c-\x1f]|" + "|".join(regex.escape(x.content) for x in self.tokenizer.get_added_tokens_decoder().values())).search
+        self.odd = ["\x1c", "\x1d", "\x1e", "\x1f", *(x.content for x in self.tokenizer.get_added_tokens_decoder().values())]
         settings = json.loads(self.tokenizer.to_str())
         level = settings["pre_tokenizer"] or {}
         self.plain = settings["normalizer"] is None and (level.get("type"), level.get("add_prefix_space"), level.get("use_regex")) == ("ByteLevel", False, True) and not settings["model"].get("ignore_merges")
@@ -71,7 +71,7 @@ class _Ids(dict):
         return ids
 
     def of(self, text: str) -> bytes:
-        if not self.plain or self.odd(text):
+        if not self.plain or any(x in text for x in self.odd):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         if "  " in text or text[-1:] == " ":
             return self.cut(text)
