@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -60,22 +62,26 @@ def accept_annotations(hits: DataFrame, lengths: DataFrame, max_overlap: int = 1
     chains of one sequence should be given once. One whole-chain annotation has the suffix `_`.
     """
 
-    def run(key: tuple, own: pd.DataFrame, size: pd.DataFrame) -> pd.DataFrame:
-        rows = []
-        if len(size):
-            groups = []
-            for _, h in own.groupby("hit_id"):
-                runs = sorted((int(s), int(s + n)) for s, n in zip(h["start"], h["length"], strict=True))
-                groups.append((int(h["is_model"].iloc[0]), float(h["log10e"].iloc[0]), sum(e - s for s, e in runs), bool(h["is_sequence_hit"].iloc[0]), h["name"].iloc[0], runs))
-            length = int(size["chain_length"].iloc[0])
-            found = accept(groups, length, max_overlap, fill, unmatched)
-            for i, (name, runs) in enumerate(found):
-                whole = len(found) == 1 and runs == [(0, length)]
-                rows += [(key[0], i + 1, "_" if whole else SUFFIXES[i] if i < len(SUFFIXES) else None, name, s, e, j) for j, (s, e) in enumerate(runs)]
-        out = pd.DataFrame(rows, columns=["chain_id", "number", "suffix", "name", "start", "end", "region"])
-        return out.astype({"suffix": object, "name": object})
-
-    return hits.groupBy("chain_id").cogroup(lengths.groupBy("chain_id")).applyInPandas(run, "chain_id long, number int, suffix string, name string, start long, end long, region int")
+    h = F.struct("hit_id", "name", "is_model", "is_sequence_hit", "log10e", "start", "length")
+    rows = lengths.join(hits.groupBy("chain_id").agg(F.collect_list(h).alias("hits")), "chain_id", "left").select("chain_id", "chain_length", "hits")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for chain, length, own in zip(*(batch.column(k).to_pylist() for k in ("chain_id", "chain_length", "hits")), strict=True):
+                groups: dict[int, tuple[dict, Runs]] = {}
+                for x in own or []:
+                    groups.setdefault(x["hit_id"], (x, []))[1].append((x["start"], x["start"] + x["length"]))
+                sets = [(x["is_model"], x["log10e"], sum(e - s for s, e in runs), x["is_sequence_hit"], x["name"], sorted(runs)) for x, runs in groups.values()]
+                found = accept(sets, length, max_overlap, fill, unmatched)
+                for i, (name, runs) in enumerate(found):
+                    whole = len(found) == 1 and runs == [(0, length)]
+                    out += [(chain, i + 1, "_" if whole else SUFFIXES[i] if i < len(SUFFIXES) else None, name, s, e, j) for j, (s, e) in enumerate(runs)]
+            columns = zip(*out, strict=True) if out else [[]] * 7
+            types = (pa.int64(), pa.int32(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, types, strict=True)], ["chain_id", "number", "suffix", "name", "start", "end", "region"])
+
+    return rows.mapInArrow(run, "chain_id long, number int, suffix string, name string, start long, end long, region int")
 
 
 def extend_to_ends(regions: DataFrame, observed: DataFrame, limit: int) -> DataFrame:

@@ -138,7 +138,8 @@ def observed_context(raf: DataFrame) -> DataFrame:
     own = Window.partitionBy("pdb_chain_id").orderBy("idx")
     at = F.when(F.col("observed"), F.col("idx"))
     hole = F.when(~F.col("observed"), F.col("idx"))
-    ahead = own.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    # what lies ahead is looked at from the far end: a frame that grows costs one step a row, one that shrinks is built anew
+    ahead = Window.partitionBy("pdb_chain_id").orderBy(F.desc("idx")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     back = own.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     out = rows.select(
         "pdb_chain_id",

@@ -18,18 +18,18 @@ SPACI = f"""select *, 0.1 + 1.0 / eres - (er - 0.1) - 0.1 * w - 0.1 * p as spaci
  coalesce(cast(procheck1 + procheck2 + procheck3 - 3 as double) / 6, 1.0) as p from ({MEASURES}))"""
 
 
-@query("k1_spaci", f"select pdb_release_id, round(cast(eres as double), 9) as effective_resolution, round(cast(er as double), 9) as effective_r_factor, round(cast(spaci as double), 9) as spaci from ({SPACI})")
+@query("k1_spaci", f"select pdb_release_id, round(cast(eres as double), 9) as effective_resolution, round(cast(er as double), 9) as effective_r_factor, round(cast(spaci as double), 9) + 0.0 as spaci from ({SPACI})")
 def k1(t: Tables) -> DataFrame:
-    return quality.spaci(t.sql(MEASURES)).select("pdb_release_id", *(F.round(c, 9).alias(c) for c in ("effective_resolution", "effective_r_factor", "spaci")))
+    return quality.spaci(t.sql(MEASURES)).select("pdb_release_id", *((F.round(c, 9) + 0.0).alias(c) for c in ("effective_resolution", "effective_r_factor", "spaci")))
 
 
 COMMENTS = "select p_partkey as pdb_release_id, 'a ' || case when p_size % 5 = 0 then 'Mutant ' else '' end || case when p_partkey % 7 = 0 then 'truncated ' else '' end || p_name as description from {part} union all select p_partkey, 'mutant, circularly permuted' from {part} where p_size % 8 = 0"
 AERO = f"with c as ({COMMENTS}), n as (select pdb_release_id, " + " + ".join(f"max(case when contains(lower(description), '{w}') then 1 else 0 end)" for w in quality.BAD_WORDS) + f" as bad from c group by 1), s as ({SPACI})"
 
 
-@query("k2_aerospaci", AERO + " select pdb_release_id, round(cast(spaci - 2.0 * bad - case when method = 'THEORY' then 5 else 0 end as double), 9) as aerospaci from s join n using (pdb_release_id)")
+@query("k2_aerospaci", AERO + " select pdb_release_id, round(cast(spaci - 2.0 * bad - case when method = 'THEORY' then 5 else 0 end as double), 9) + 0.0 as aerospaci from s join n using (pdb_release_id)")
 def k2(t: Tables) -> DataFrame:
-    return quality.aerospaci(quality.spaci(t.sql(MEASURES)), t.sql(COMMENTS)).select("pdb_release_id", F.round("aerospaci", 9).alias("aerospaci"))
+    return quality.aerospaci(quality.spaci(t.sql(MEASURES)), t.sql(COMMENTS)).select("pdb_release_id", (F.round("aerospaci", 9) + 0.0).alias("aerospaci"))
 
 
 _OF_EVENTS = ("from {part}", "from {part} join {events} on p_partkey = 1 + event_id % 150")
@@ -41,11 +41,11 @@ LITERATURE = "select distinct user_id as entry_id from {events} where user_id %
 @query(
     "k3_freeze_quality",
     AERO.replace(MEASURES, EVENT_MEASURES).replace(COMMENTS, EVENT_COMMENTS) + f""", v as (select entry_id, arg_max(id, (snapshot_date, id)) as pdb_release_id from ({VERSIONS}) join ({SNAPSHOTS}) on id = release_id where file_date <= date '2024-01-20' and revision_date <= date '2024-01-20' and snapshot_date <= date '2024-01-20' group by 1)
- select entry_id, pdb_release_id, round(cast(spaci as double), 9) as spaci, round(cast(spaci - 2.0 * bad - case when method = 'THEORY' then 5 else 0 end as double), 9) as aerospaci from v join s using (pdb_release_id) join n using (pdb_release_id) where entry_id % 10 <> 3""",
+ select entry_id, pdb_release_id, round(cast(spaci as double), 9) + 0.0 as spaci, round(cast(spaci - 2.0 * bad - case when method = 'THEORY' then 5 else 0 end as double), 9) + 0.0 as aerospaci from v join s using (pdb_release_id) join n using (pdb_release_id) where entry_id % 10 <> 3""",
 )
 def k3(t: Tables) -> DataFrame:
     out = quality.freeze_quality(t.sql(VERSIONS), t.sql(SNAPSHOTS), t.sql(EVENT_MEASURES), t.sql(EVENT_COMMENTS), t.sql(LITERATURE), "2024-01-20")
-    return out.select("entry_id", "pdb_release_id", F.round("spaci", 9).alias("spaci"), F.round("aerospaci", 9).alias("aerospaci"))
+    return out.select("entry_id", "pdb_release_id", (F.round("spaci", 9) + 0.0).alias("spaci"), (F.round("aerospaci", 9) + 0.0).alias("aerospaci"))
 
 
 ASKED = "select l_orderkey as question, 'c' || cast(l_linenumber as string) || cast(l_partkey as string) as code, case when l_partkey % 23 = 0 then null else cast(l_quantity % 6 as double) end as score from {lineitem}"
@@ -134,8 +134,8 @@ def c6(t: Tables) -> DataFrame:
 
 @query("c7_length_consistency")
 def c7(t: Tables) -> DataFrame:
-    members = t.sql("select lang || source as family, n_chars / 10 as seqres, n_chars / 10 - doc_id % 30 as atom from {documents} where doc_id % 5 > 0").selectExpr("family", "cast(seqres as int) as seqres", "atom")
-    new = t.sql("select lang || source as family, doc_id as entry, n_chars / 10 as seqres, n_chars / 10 - doc_id % 40 as atom from {documents} where doc_id % 5 = 0")
+    members = t.sql("select lang || source as family, n_chars / 10 as seqres, n_chars / 10 - doc_id % 30 as atom from {documents} where doc_id % 7 > 0").selectExpr("family", "cast(seqres as int) as seqres", "atom")
+    new = t.sql("select lang || source as family, doc_id as entry, n_chars / 10 as seqres, n_chars / 10 - doc_id % 40 as atom from {documents} where doc_id % 7 = 0")
     return cluster.length_consistency(members, new, t.sql("select distinct lang || source as family from {documents} where source = 'src3'"))
 
 
