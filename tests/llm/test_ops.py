@@ -305,7 +305,7 @@ def test_ppm_sums_to_one():
         counts.append(c[keep].astype(np.int64))
     trie = ppm.Trie(strings, counts)
     for before in (b"abra", b"\xff\xff\xff\xff", b"zzzz", b"xxab", b"\xff\xffst"):
-        base = int.from_bytes(before, "big") << 8
+        base = int.from_bytes(before[-1:] * (ppm.ORDER - len(before)) + before, "big") << 8
         p = 10 ** trie.log10(np.array([base | i for i in range(256)], np.uint64))
         assert abs(p.sum() - 1) < 1e-9 and (p > 0).all()
     whole, alone = trie.score(data, begins), [trie.score(np.frombuffer(x, np.uint8), np.array([0, len(x)]))[0] for x in text]
