@@ -37,12 +37,12 @@ NOTICES = {
 
 
 def templates() -> list[tuple[str, list[str]]]:
-    """License and bigrams of each notice."""
+    """License and distinct bigrams of each notice."""
     out = []
     for name, notices in NOTICES.items():
         for notice in notices:
             w = re.sub("[^a-z0-9]+", " ", notice.lower()).split()
-            out.append((name, [f"{a} {b}" for a, b in zip(w, w[1:], strict=False)]))
+            out.append((name, list(dict.fromkeys(f"{a} {b}" for a, b in zip(w, w[1:], strict=False)))))
     return out
 
 
