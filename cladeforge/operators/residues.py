@@ -10,22 +10,35 @@ HEADER, RECORD = 38, 7
 ATOM, SEQRES, SEQRES_CUT, TAGLESS = 1, 2, 3, 4
 
 
+def _records(line: Column) -> Column:
+    return F.regexp_extract_all(F.substr(line, F.lit(HEADER + 1)), F.lit(f"(?s).{{{RECORD}}}"), F.lit(0))
+
+
 def residues(line: Column) -> Column:
     """The residues of a line: idx, res_id, atom (null if not observed), seq.
 
     The body is split once; taking substrings of a long line by place would walk it again for each residue.
     """
-    body = F.regexp_extract_all(F.substr(line, F.lit(HEADER + 1)), F.lit(f"(?s).{{{RECORD}}}"), F.lit(0))
     return F.transform(
-        body,
+        _records(line),
         lambda x, i: F.struct(i.alias("idx"), F.trim(F.substring(x, 1, 5)).alias("res_id"), F.nullif(F.substring(x, 6, 1), F.lit(".")).alias("atom"), F.substring(x, 7, 1).alias("seq")),
     )
 
 
 def explode_residues(raf: DataFrame) -> DataFrame:
     """pdb_chain_id, idx, res_id, atom, seq, observed: one row a residue."""
-    rows = raf.select("pdb_chain_id", F.explode(residues(F.col("line"))).alias("r")).select("pdb_chain_id", "r.*")
-    return rows.withColumn("observed", F.col("atom").isNotNull())
+    rows = raf.select("pdb_chain_id", F.posexplode(_records(F.col("line"))).alias("idx", "x"))
+    atom = F.nullif(F.substring("x", 6, 1), F.lit("."))
+    return rows.select("pdb_chain_id", "idx", F.trim(F.substring("x", 1, 5)).alias("res_id"), atom.alias("atom"), F.substring("x", 7, 1).alias("seq"), atom.isNotNull().alias("observed"))
+
+
+def _column(line: Column, at: int) -> Column:
+    """The characters at one place of all records of a line, on end; dots stay."""
+    return F.regexp_replace(F.substr(line, F.lit(HEADER + 1)), f"(?s).{{{at}}}(.).{{{RECORD - at - 1}}}|.", "$1")
+
+
+def _written(letters: Column) -> Column:
+    return F.translate(letters, '."', "")
 
 
 def _letters(parts: Column, field: str) -> Column:
@@ -46,8 +59,13 @@ def _source(parts: Column, source: int) -> Column:
 
 def chain_sequence(raf: DataFrame, source: int) -> DataFrame:
     """pdb_chain_id, seq: observed letters, all letters, or all between the first observed and the last."""
-    rows = raf.select("pdb_chain_id", residues(F.col("line")).alias("parts"))
-    return rows.select("pdb_chain_id", _source(F.col("parts"), source).alias("seq"))
+    atom, seq = _column(F.col("line"), 5), _column(F.col("line"), 6)
+    if source == SEQRES_CUT:
+        rows = raf.select("pdb_chain_id", atom.alias("atom"), seq.alias("letters"))
+        first = F.length("atom") - F.length(F.ltrim("atom", F.lit("."))) + 1
+        own = F.substr("letters", first, F.length(F.trim("atom", F.lit("."))))
+        return rows.select("pdb_chain_id", _written(own).alias("seq"))
+    return raf.select("pdb_chain_id", _written(atom if source == ATOM else seq).alias("seq"))
 
 
 def tagless_sequence(raf: DataFrame, tags: DataFrame) -> DataFrame:
@@ -56,10 +74,10 @@ def tagless_sequence(raf: DataFrame, tags: DataFrame) -> DataFrame:
     tags: pdb_chain_id, type (N or C), tag_start, tag_end (indices).
     """
     bounds = tags.groupBy("pdb_chain_id").agg(F.max(F.when(F.col("type") == "N", F.col("tag_end"))).alias("n_end"), F.min(F.when(F.col("type") == "C", F.col("tag_start"))).alias("c_start"))
-    rows = raf.select("pdb_chain_id", residues(F.col("line")).alias("parts")).join(bounds, "pdb_chain_id", "left")
+    rows = raf.select("pdb_chain_id", _column(F.col("line"), 6).alias("letters")).join(bounds, "pdb_chain_id", "left")
     start = F.coalesce(F.col("n_end") + 1, F.lit(0))
-    length = F.greatest(F.coalesce("c_start", F.size("parts")) - start, F.lit(0))
-    return rows.select("pdb_chain_id", _letters(F.slice("parts", start + 1, length), "seq").alias("seq"))
+    length = F.greatest(F.coalesce("c_start", F.length("letters")) - start, F.lit(0))
+    return rows.select("pdb_chain_id", _written(F.substr("letters", (start + 1).cast("int"), length.cast("int"))).alias("seq"))
 
 
 def _region(parts: Column, start: Column, end: Column) -> Column:
