@@ -10,7 +10,8 @@ import numpy as np
 import pytest
 import xxhash
 
-from cladeforge.llm import chat, decontamination, language_id, licenses, packing, ppm, quality_model, quality_rules, simhash, suffix_dedup
+import corpus_pipeline
+from cladeforge.llm import chat, decontamination, language_id, licenses, near_copies, packing, ppm, quality_model, quality_rules, simhash, suffix_dedup
 from cladeforge.llm.queries import tokenizer_path
 from cladeforge.llm.suffix_sort import blind_trie, deep_shallow
 
@@ -192,6 +193,43 @@ def test_keep_one(docs):
     assert sorted(r["doc_id"] for r in kept.collect() if r["doc_id"] is not None) == sorted({c for _, _, c in brute_components(corpus()) if c is not None})
 
 
+def test_stage_keeps_one_by_jaccard(spark, monkeypatch):
+    r = random.Random(8)
+    rows = []
+    for i in range(12):
+        w = words(r.choice((20, 60, 150)), 700 + i).split()
+        rows.append(" ".join(w))
+        for n in (1, 1, 2, 3, 5):
+            x = list(w)
+            for at in r.sample(range(len(x)), n):
+                x[at] = f"new{r.randrange(10**6)}"
+            rows.append(" ".join(x))
+        rows += [" ".join(w[:-1]), " ".join(["zz", *w]), " ".join(w[: len(w) * 7 // 10])]
+    line = words(30, 900)
+    rows += [f"{line} {words(n, 950 + n)}" for n in (1, 2, 3, 6, 8, 9, 20, 40)] * 2
+    rows += ["", None, " \n", "a b", "A  b", "a b c", "a b c d e", "a b c d e f", rows[0].upper()]
+
+    def shingles(t):
+        w = (t or "").lower().split()
+        return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+    sets = [shingles(t) for t in rows]
+    group = list(range(len(rows)))
+    alike = lambda a, b: 9 * len(a & b) >= 4 * (len(a) + len(b))
+    near = [(i, j) for i in range(len(rows)) for j in range(i) if alike(sets[i], sets[j])]
+    for _ in rows:
+        for i, j in near:
+            group[i] = group[j] = min(group[i], group[j])
+    docs = spark.createDataFrame([(i, t, "en", "s", 0, "r", "f", "s") for i, t in enumerate(rows)], SCHEMA).repartition(3)
+    for frequent, pairwise in ((near_copies.FREQUENT, near_copies.PAIRWISE), (1, 2)):
+        monkeypatch.setattr(near_copies, "FREQUENT", frequent)
+        monkeypatch.setattr(near_copies, "PAIRWISE", pairwise)
+        kept = corpus_pipeline.near_dedup(spark, docs.union(docs.limit(3)), "")
+        assert kept.columns == docs.columns
+        assert sorted(x["doc_id"] for x in kept.collect()) == sorted(set(group))
+    assert 20 < len(set(group)) < len(rows) - 40
+
+
 # decontamination
 
 
