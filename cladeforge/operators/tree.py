@@ -126,7 +126,7 @@ def duplicate_siblings(nodes: DataFrame) -> DataFrame:
     return nodes.groupBy("parent_node_id", "level_id", "description").agg(F.count("*").alias("n")).filter("n > 1")
 
 
-def automatch_closure(matches: DataFrame, seeds: DataFrame, max_rounds: int = 50) -> DataFrame:
+def automatch_closure(matches: DataFrame, seeds: DataFrame) -> DataFrame:
     """sid of all that was matched to the seeds directly or over others.
 
     matches: sid, target (read off the comment). Each round follows the newly found only, without those seen, so a cycle ends.
@@ -135,7 +135,7 @@ def automatch_closure(matches: DataFrame, seeds: DataFrame, max_rounds: int = 50
 
     edges = matches.select("sid", "target").distinct()
     seen = frontier = kept(seeds.select("sid").distinct())
-    for _ in range(max_rounds):
+    while True:
         frontier = kept(edges.join(frontier.withColumnRenamed("sid", "target"), "target").select("sid").distinct().join(seen, "sid", "left_anti"))
         if frontier.isEmpty():
             break

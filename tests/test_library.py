@@ -157,6 +157,16 @@ def test_queries_match_sql(spark, name):
     assert sorted((tuple(map(_plain, r)) for r in got.collect()), key=repr) == sorted((tuple(map(_plain, r)) for r in want), key=repr)
 
 
+def test_loops_run_until_nothing_is_left(spark, monkeypatch):
+    for module in (cluster, tree):
+        monkeypatch.setattr(module, "range", lambda *a: range(min(2, a[0])) if len(a) == 1 else range(*a), raising=False)
+    path = [(i, i + 1) for i in range(8)]
+    got = cluster.greedy_cover(spark.createDataFrame([(i, i) for i in range(9)], "item long, rank long"), spark.createDataFrame(path, "a long, b long"))
+    assert sorted(map(tuple, got.collect())) == [(i, i - i % 2) for i in range(9)]
+    matches = spark.createDataFrame([(f"s{i + 1}", f"s{i}") for i in range(6)], "sid string, target string")
+    assert sorted(r["sid"] for r in tree.automatch_closure(matches, spark.createDataFrame([("s0",)], "sid string")).collect()) == [f"s{i}" for i in range(1, 7)]
+
+
 def test_every_query_has_sql_but_three():
     assert set(QUERIES) - set(ORACLES) == {"c7_length_consistency", "n1_accept_annotations", "n7_predict_domains"}
 
