@@ -1,16 +1,17 @@
 """Documents scored by prediction by partial matching over bytes, with a trie learned from all training documents.
 
 Texts are lower-cased (A-Z) and end in byte 255, which UTF-8 doesn't have; before its first byte a text is preceded by ORDER
-such bytes. Tasks count the strings of ORDER + 1 bytes; Spark sums them up, and sums shorter strings from longer ones. A
-string stays in the trie if it makes up at least 1/NODES of all training bytes. This is the same share at any size, and
-proves that an order has at most NODES strings, so the trie can be sent to the tasks. What is rarer is reached by escape.
+such bytes. A byte's probability in the longest context known is count / (total + kinds); else the escape kinds /
+(total + kinds) is paid and the next shorter context asked, without the bytes that the longer one has already ruled out
+(symbol exclusion); at last, what no context knows shares what is left evenly.
 
-A byte's probability in the longest context known is count / (total + kinds + rare), where rare is how often bytes followed
-that aren't in the trie; else the escape (kinds + rare) / (total + kinds + rare) is paid and the next shorter context asked, without the bytes that the longer one has already ruled out (symbol exclusion);
-at last, what no context knows shares what is left evenly. All of it is looked up for many positions at once.
+The trie is a table, as large as the corpus makes it: tasks count the strings of ORDER + 1 bytes, Spark sums them up, and
+strings of each shorter order from those of the longer one. No string is left out. As a string's probability depends on the string alone, it
+is looked up once for every distinct string of the corpus, by joins of a string with its endings and of a context with its
+followers; the costs of escapes are summed up along a context's endings, so that the way down takes one lookup.
 
-The base score needs the count of every word, and there are too many words to send out. Documents are dealt into buckets
-of some 16 MB; each asks for the counts of its distinct words (by 64-bit hash) in a join, and gets them with its documents.
+Documents are dealt into buckets of some BUCKET_BYTES. Each asks for its distinct strings and its distinct words (by 63-bit hash),
+and gets the answers with its documents.
 """
 
 from __future__ import annotations
@@ -18,242 +19,244 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
-from functools import cached_property
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cladeforge.llm.common import flat_bytes, id_part, texts
+from cladeforge.llm.common import as_bytes, checkpointed, id_part, texts
 
 ORDER = 5
-NODES = 1 << 20
-BUCKET_BYTES = 16 << 20
-#: Positions looked at together.
-CHUNK = 1 << 19
-_END = 255
-_LOWER = np.array([c + 32 if 65 <= c <= 90 else c for c in range(256)], np.uint8)
-
-
-def stream(data: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Texts on end, each after ORDER end bytes and before one; where each text's first symbol to predict is."""
-    n = len(begins) - 1
-    at = begins[:-1] + (ORDER + 1) * np.arange(n) + ORDER
-    out = np.full(len(data) + (ORDER + 1) * n, _END, np.uint8)
-    place = np.arange(len(data)) + np.repeat(at - begins[:-1], np.diff(begins))
-    out[place] = _LOWER[data]
-    return out, at
-
-
-def grams(symbols: np.ndarray, order: int) -> np.ndarray:
-    """The order bytes before each position and the one there, as one number; the first order positions are left out."""
-    code = np.zeros(len(symbols) - order, np.uint64)
-    for i in range(order + 1):
-        code = (code << np.uint64(8)) | symbols[i : len(symbols) - order + i]
-    return code
-
-
-def _predicted(at: np.ndarray, begins: np.ndarray) -> np.ndarray:
-    """Positions that are predicted: those of each text and its end."""
-    lengths = np.diff(begins) + 1
-    return np.arange(lengths.sum()) + np.repeat(at - (np.cumsum(lengths) - lengths), lengths)
-
-
-def _parts(data: np.ndarray, begins: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Texts in runs of some CHUNK bytes: first text, last, bytes, begins."""
-    i, n = 0, len(begins) - 1
-    while i < n:
-        j = max(i + 1, int(np.searchsorted(begins, begins[i] + CHUNK, "right")) - 1)
-        yield i, j, data[begins[i] : begins[j]], begins[i : j + 1] - begins[i]
+BUCKET_BYTES = 32 << 20
+#: Bytes of texts cut into strings together, strings looked up together, and distinct strings that a task holds back to count.
+CHUNK, PIECE, HELD = 1 << 20, 1 << 18, 3 << 20
+_END = b"\xff"
+_FREE = np.uint64(0xFFFFFFFFFFFFFFFF)
+
+
+def grams(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """For each byte of lower-cased texts and their ends: the ORDER bytes before it and itself, as one number; and where texts begin in this."""
+    data = np.frombuffer(_END * ORDER + (_END * (ORDER + 1)).join(raw).lower() + _END, np.uint8).astype(np.uint64)
+    code, have, left = data, 1, data
+    for bit in bin(ORDER + 1)[3:]:  # strings twice as long, and one longer where the number of bytes is odd
+        code = (code[: len(code) - have] << np.uint64(8 * have)) | code[have:]
+        have *= 2
+        if bit == "1":
+            code = (code[: len(code) - 1] << np.uint64(8)) | left[have:]
+            have += 1
+    lengths = np.array([len(x) + 1 for x in raw], np.int64)
+    begins = np.cumsum(lengths) - lengths
+    # between texts stand ORDER end bytes that aren't predicted
+    gaps = (begins[1:] + ORDER * np.arange(len(raw) - 1))[:, None] + np.arange(ORDER)
+    predicted = np.ones(len(code), bool)
+    predicted[gaps.ravel()] = False
+    return code[predicted], begins
+
+
+def _parts(raw: list[bytes]) -> Iterator[tuple[int, int]]:
+    """Runs of texts of some CHUNK bytes."""
+    i = 0
+    while i < len(raw):
+        j, n = i + 1, len(raw[i])
+        while j < len(raw) and n + len(raw[j]) <= CHUNK:
+            n += len(raw[j])
+            j += 1
+        yield i, j
         i = j
 
 
-def _sum_up(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    k, c = np.concatenate(keys), np.concatenate(counts)
-    order = np.argsort(k)
-    k, c = k[order], c[order]
-    first = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1]))) if len(k) else np.zeros(0, np.int64)
-    return k[first], np.add.reduceat(c, first) if len(k) else c
+class Strings:
+    """A set of numbers below 2^63 by open addressing, for many at once; each has a slot, and a count there."""
+
+    def __init__(self, room: int = 0) -> None:
+        self.bits = max(12, int(2 * room).bit_length())
+        self.held, self.counts, self.n = np.full(1 << self.bits, _FREE), np.zeros(1 << self.bits, np.int64), 0
+
+    def slots(self, keys: np.ndarray) -> np.ndarray:
+        """Slots of the keys; new ones are taken in. The table grows before it could be half full."""
+        if 2 * (self.n + len(keys)) > len(self.held):
+            keep, counts, used = self.held, self.counts, np.flatnonzero(self.held != _FREE)
+            self.__init__(2 * (self.n + len(keys)))
+            self.counts[self.slots(keep[used])] = counts[used]
+        slot = ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+        left = np.flatnonzero(self.held[slot] != keys)
+        while len(left):
+            s, k = slot[left], keys[left]
+            free = self.held[s] == _FREE
+            taken = s[free]
+            self.held[taken] = k[free]  # of several, the last one stays
+            self.n += len(np.unique(taken))
+            lost = self.held[s] != k
+            left = left[lost]
+            slot[left] = (slot[left] + 1) & (len(self.held) - 1)
+        return slot
+
+    @property
+    def used(self) -> np.ndarray:
+        return np.flatnonzero(self.held != _FREE)
+
+
+def _taken(every: Strings, raw: list[bytes], count: bool = False) -> None:
+    for i, j in _parts(raw):
+        codes, _ = grams(raw[i:j])
+        for at in range(0, len(codes), PIECE):
+            slots = every.slots(codes[at : at + PIECE])
+            if count:
+                np.add.at(every.counts, slots, 1)
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    keys, counts = [], []
+    def close(every: Strings) -> pa.RecordBatch:
+        used = every.used
+        return pa.RecordBatch.from_arrays([pa.array(every.held[used].view(np.int64)), pa.array(every.counts[used])], ["s", "n"])
+
+    every = Strings()
     for batch in batches:
-        for *_, data, begins in _parts(*flat_bytes(batch.column("text"))):
-            symbols, at = stream(data, begins)
-            k, c = np.unique(grams(symbols, ORDER)[_predicted(at, begins) - ORDER], return_counts=True)
-            keys.append(k)
-            counts.append(c.astype(np.int64))
-            if sum(map(len, keys)) > 3_000_000:
-                keys, counts = ([x] for x in _sum_up(keys, counts))
-                if len(keys[0]) > 1_500_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(keys[0].view(np.int64)), pa.array(counts[0])], ["gram", "c"])
-                    keys, counts = [], []
-    if keys:
-        k, c = _sum_up(keys, counts)
-        yield pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.array(c)], ["gram", "c"])
-
-
-class _Table:
-    """Numbers of keys by open addressing, for many keys at once."""
-
-    def __init__(self, keys: np.ndarray) -> None:
-        self.bits = max(4, int(max(1, len(keys)) * 4 - 1).bit_length())
-        self.keys = keys
-        self.slots = np.full(1 << self.bits, -1, np.int32)
-        left, slot = np.arange(len(keys), dtype=np.int32), self._slot(keys)
-        while len(left):
-            free = self.slots[slot] < 0
-            self.slots[slot[free]] = left[free]  # of several, the last one stays
-            lost = self.slots[slot] != left
-            left, slot = left[lost], (slot[lost] + 1) & ((1 << self.bits) - 1)
-        self.held = np.where(self.slots >= 0, keys[np.maximum(self.slots, 0)] if len(keys) else np.uint64(0), np.uint64(0))
-
-    def _slot(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
-
-    def find(self, keys: np.ndarray) -> np.ndarray:
-        """Their numbers, -1 for those that aren't there."""
-        slot = self._slot(keys)
-        out = self.slots[slot]
-        left = np.flatnonzero((out >= 0) & (self.held[slot] != keys))
-        while len(left):
-            slot_left = (slot[left] + 1) & ((1 << self.bits) - 1)
-            slot[left] = slot_left
-            got = self.slots[slot_left]
-            out[left] = got
-            left = left[(got >= 0) & (self.held[slot_left] != keys[left])]
-        return out
-
-
-@dataclass
-class Trie:
-    """Per order: strings (context and byte, sorted) and their counts."""
-
-    strings: list[np.ndarray]
-    counts: list[np.ndarray]
-
-    @cached_property
-    def built(self) -> list[dict]:
-        levels: list[dict] = []
-        for k, (keys, counts) in enumerate(zip(self.strings, self.counts, strict=True)):
-            context = keys >> np.uint64(8)
-            names, first = np.unique(context, return_index=True)
-            of = np.searchsorted(names, context)
-            total = np.add.reduceat(counts, first).astype(float) if len(keys) else np.zeros(0)
-            kinds = np.diff(np.append(first, len(keys))).astype(float)
-            rare = np.zeros(len(names))  # how often rarer bytes, which aren't in the trie, followed: that is the escape's too
-            if k:
-                own = levels[-1]["strings"].find(names)
-                rare = np.where(own >= 0, np.maximum(self.counts[k - 1][np.maximum(own, 0)] - total, 0.0), 0.0) if len(self.counts[k - 1]) else rare
-            level = {"strings": _Table(keys), "contexts": _Table(names), "count": np.log10(np.maximum(counts, 1.0)), "all": np.log10(total + kinds + rare), "escape": np.log10(kinds + rare), "rare": rare}
-            if k:  # what the context one shorter has left, without this one's bytes
-                lower = levels[-1]
-                short = self.strings[k - 1]
-                inner = np.searchsorted(short, keys & np.uint64((1 << (8 * k)) - 1))
-                ruled = np.add.reduceat(self.counts[k - 1][inner], first).astype(float) if len(keys) else np.zeros(0)
-                below = lower["contexts"].find(names & np.uint64((1 << (8 * (k - 1))) - 1))
-                rest_total, rest_kinds = lower["total"][below] - ruled, lower["kinds"][below] - kinds + lower["rare"][below]
-                with np.errstate(divide="ignore"):
-                    level |= {"rest": np.where(rest_total > 0, np.log10(np.maximum(rest_total + rest_kinds, 1)), 0.0), "rest_escape": np.where(rest_total > 0, np.log10(np.maximum(rest_kinds, 1)), 0.0)}
-            level |= {"total": total, "kinds": kinds}
-            levels.append(level)
-        for level in levels:
-            level["context_of"] = np.searchsorted(level["contexts"].keys, level["strings"].keys >> np.uint64(8))
-        return levels
-
-    def log10(self, codes: np.ndarray) -> np.ndarray:
-        """log10 probability of each string's last byte after the others."""
-        levels = self.built
-        out = np.zeros(len(codes))
-        top = len(levels) - 1
-        number = levels[top]["strings"].find(codes)
-        hit = number >= 0
-        direct = levels[top]["count"] - levels[top]["all"][levels[top]["context_of"]]
-        out[hit] = direct[number[hit]]
-        left = np.flatnonzero(~hit)
-        above = np.full(len(left), -1)  # the context one longer, if known
-        for k in range(top, -1, -1):
-            if not len(left):
-                break
-            level = levels[k]
-            own = codes[left] & np.uint64((1 << (8 * (k + 1))) - 1)
-            context = level["contexts"].find(own >> np.uint64(8))
-            string = level["strings"].find(own) if k < top else np.full(len(left), -1)
-            known = context >= 0
-            after = known & (above >= 0)
-            base = np.zeros(len(left))
-            base[known] = level["all"][context[known]]
-            escape = np.zeros(len(left))
-            escape[known] = level["escape"][context[known]]
-            if k < top and after.any():
-                base[after] = levels[k + 1]["rest"][above[after]]
-                escape[after] = levels[k + 1]["rest_escape"][above[after]]
-            met = string >= 0
-            out[left[met]] += level["count"][string[met]] - base[met]
-            missed = known & ~met
-            out[left[missed]] += escape[missed] - base[missed]
-            left, above = left[~met], context[~met]
-        if len(left):
-            known = levels[0]["kinds"].sum() if levels else 0
-            out[left] -= math.log10(max(1.0, 256 - known))
-        return out
-
-    def score(self, data: np.ndarray, begins: np.ndarray) -> np.ndarray:
-        """log10 probability of each text."""
-        out = np.zeros(len(begins) - 1)
-        for i, j, part, own in _parts(data, begins):
-            symbols, at = stream(part, own)
-            places = _predicted(at, own) - ORDER
-            codes = grams(symbols, ORDER)
-            log = np.empty(len(places))
-            for s in range(0, len(places), 4 * CHUNK):
-                log[s : s + 4 * CHUNK] = self.log10(codes[places[s : s + 4 * CHUNK]])
-            lengths = np.diff(own) + 1
-            out[i:j] = np.add.reduceat(log, np.cumsum(lengths) - lengths)
-        return out
-
-
-def learn(rows: DataFrame, n_bytes: int) -> Trie:
-    """The trie of rows (text), which have n_bytes symbols."""
-    longest = rows.select("text").mapInArrow(_counted, "gram long, c long").groupBy("gram").agg(F.sum("c").alias("c"))
-    orders = F.explode(F.array(*(F.struct(F.lit(k).alias("k"), F.col("gram").bitwiseAND(F.lit((1 << (8 * (k + 1))) - 1)).alias("s")) for k in range(ORDER + 1))))
-    kept = longest.select("c", orders.alias("at")).groupBy("at.k", "at.s").agg(F.sum("c").alias("c")).filter(F.col("c") * NODES >= n_bytes)
-    got = kept.toPandas()  # NODES rows an order at most
-    strings, counts = [], []
+        held_out = batch.column("held_out").to_numpy(zero_copy_only=False)
+        for side in (False, True):
+            _taken(every, as_bytes(batch.column("text").filter(pa.array(held_out == side))), count=not side)
+        if every.n > HELD:
+            yield close(every)
+            every = Strings()
+    yield close(every)
+
+
+def _last(column: Column, n: int) -> Column:
+    """The last n bytes of a string."""
+    return column.bitwiseAND(F.lit((1 << 8 * n) - 1))
+
+
+def count_strings(rows: DataFrame) -> DataFrame:
+    """s, n of each distinct string of ORDER + 1 bytes of rows (text, held_out): how often it is found in rows that aren't held out."""
+    return rows.select("held_out", "text").mapInArrow(_counted, "s long, n long").groupBy("s").agg(F.sum("n").alias("n"))
+
+
+def probabilities(counted: DataFrame) -> DataFrame:
+    """s, log of each string of counted (s, n): log10 of the probability of its last byte after the others.
+
+    Strings of n = 0 aren't learned from.
+    """
+    strings = {ORDER: counted.filter("n > 0")}
+    for k in range(ORDER, 0, -1):
+        strings[k - 1] = checkpointed(strings[k].groupBy(_last(F.col("s"), k).alias("s")).agg(F.sum("n").alias("n")))
+    # of a context: base and escape when nothing is ruled out; way: escapes of all orders below, each without what the order
+    # above it has; after: what a byte found one order lower pays, with the way that is then not gone taken off
+    contexts = {}
     for k in range(ORDER + 1):
-        own = got[got["k"] == k].sort_values("s")
-        strings.append(own["s"].to_numpy(np.int64).view(np.uint64))
-        counts.append(own["c"].to_numpy(np.int64))
-    return Trie(strings, counts)
+        own = strings[k].withColumn("c", F.shiftright("s", 8))
+        if k:
+            lower = strings[k - 1].select(F.col("s").alias("short"), F.col("n").alias("lower"))
+            own = own.join(lower, _last(F.col("s"), k) == F.col("short"))
+        else:
+            own = own.withColumn("lower", F.lit(0))
+        stats = own.groupBy("c").agg(F.sum("n").alias("total"), F.count("*").alias("kinds"), F.sum("lower").alias("ruled"))
+        if k:
+            below = contexts[k - 1].select(F.col("c").alias("short"), F.col("total").alias("total_below"), F.col("kinds").alias("kinds_below"), F.col("way").alias("way_below"))
+            stats = stats.join(below, _last(F.col("c"), k - 1) == F.col("short"))
+            total, kinds = F.col("total_below") - F.col("ruled"), F.col("kinds_below") - F.col("kinds")
+            rest = F.when(total > 0, F.log10(total + kinds)).otherwise(0.0)
+            stats = stats.withColumn("rest", rest).withColumn("way", F.col("way_below") - F.col("rest") + F.when(total > 0, F.log10(F.greatest(kinds, F.lit(1)))).otherwise(0.0))
+            stats = stats.withColumn("after", -F.col("way") - F.col("rest"))
+        else:
+            stats = stats.withColumn("way", F.lit(0.0)).withColumn("after", F.lit(0.0))
+        stats = stats.select("c", "total", "kinds", "way", "after", F.log10(F.col("total") + F.col("kinds")).alias("base"), F.log10("kinds").alias("escape"))
+        contexts[k] = checkpointed(stats)
+    known = strings[ORDER].join(contexts[ORDER].select("c", "base"), F.shiftright("s", 8) == F.col("c")).select("s", (F.log10("n") - F.col("base")).alias("log"))
+    asked = counted.filter("n = 0").select("s")
+    for k in range(ORDER, 0, -1):
+        c = contexts[k].select(F.col("c").alias(f"c{k}"), F.col("base").alias(f"base{k}"), F.expr("escape - base + way").alias(f"way{k}"), F.col("after").alias(f"after{k}"))
+        asked = asked.join(c, _last(F.shiftright("s", 8), k) == F.col(f"c{k}"), "left").drop(f"c{k}")
+    for k in range(ORDER - 1, -1, -1):
+        n = strings[k].select(F.col("s").alias("short"), F.log10("n").alias(f"n{k}"))
+        asked = asked.join(n, _last(F.col("s"), k + 1) == F.col("short"), "left").drop("short")
+    root = contexts[0].first()  # one row at most
+    if root is None:
+        return counted.select("s", F.lit(-math.log10(256)).alias("log"))
+    way0, bottom = root["escape"] - root["base"], -math.log10(max(1, 256 - root["kinds"]))
+    way = F.coalesce(*(F.col(f"way{k}") for k in range(ORDER, 0, -1)), F.lit(way0))
+    found = F.lit(None).cast("double")
+    for k in range(ORDER):  # the longest string known comes last
+        plain = F.col(f"n{k}") - (F.col(f"base{k}") if k else F.lit(root["base"]))
+        found = F.when(F.col(f"n{k}").isNotNull(), F.when(F.col(f"way{k + 1}").isNull(), plain).otherwise(way + F.col(f"after{k + 1}") + F.col(f"n{k}"))).otherwise(found)
+    return known.union(asked.select("s", F.coalesce(found, way + F.lit(bottom)).alias("log")))
 
 
 def _name(word: bytes) -> int:
-    x = xxhash.xxh3_64_intdigest(word)
-    return x - (1 << 64) if x >> 63 else x
+    """Of a word: 63 bits of its hash, below zero, so that no string's number is like it."""
+    return (xxhash.xxh3_64_intdigest(word) >> 1) - (1 << 63)
 
 
 _END_WORD = _name(b"")
 
 
-def _words(bucket: pd.DataFrame) -> pd.DataFrame:
+def _asked(bucket: pa.Table) -> pa.Table:
     counts: Counter = Counter()
-    asked: set[bytes] = set()
-    ends = 0
-    for text, held_out in zip(bucket["text"], bucket["held_out"], strict=True):
-        words = text.encode().lower().split()
+    other: set[bytes] = set()
+    raw, ends = as_bytes(bucket.column("text").combine_chunks()), 0
+    for text, held_out in zip(raw, bucket.column("held_out").to_pylist(), strict=True):
+        words = text.lower().split()
         if held_out:
-            asked.update(words)
+            other.update(words)
         else:
             counts.update(words)
             ends += 1
-    asked.difference_update(counts)
-    names = [*map(_name, counts), *map(_name, asked), _END_WORD]
-    return pd.DataFrame({"bucket": bucket["bucket"].iloc[0], "h": np.array(names, np.int64), "c": np.array([*counts.values(), *([0] * len(asked)), ends], np.int64)})
+    other.difference_update(counts)
+    names = np.fromiter((_name(w) for part in (counts, other) for w in part), np.int64, len(counts) + len(other))
+    every = Strings()
+    _taken(every, raw)
+    strings = every.held[every.used].view(np.int64)
+    keys = np.concatenate((names, [_END_WORD], strings))
+    c = np.concatenate((np.fromiter(counts.values(), np.int64, len(counts)), np.zeros(len(other), np.int64), [ends], np.zeros(len(strings), np.int64)))
+    return pa.table({"bucket": pa.array(np.full(len(keys), bucket.column("bucket")[0].as_py(), np.int64)), "key": pa.array(keys), "c": pa.array(c)})
+
+
+_OUT = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
+
+
+def _scored(docs: pa.Table, known: pa.Table) -> pa.Table:
+    if not docs.num_rows:
+        return _OUT.empty_table()
+    key, value = known.column("key").to_numpy(), known.column("value").to_numpy()
+    ends = known.filter(pa.compute.is_valid(known.column("n_all")))
+    n_all, kinds = (ends.column(k)[0].as_py() if ends.num_rows else 0 for k in ("n_all", "kinds"))  # no ends, no training documents
+    raw = as_bytes(docs.column("text").combine_chunks())
+
+    order = np.argsort(key[key < 0])
+    names, logs = key[key < 0][order], np.log10(value[key < 0][order] + 1)
+
+    def weight(asked: np.ndarray) -> np.ndarray:
+        if not len(names):
+            return np.zeros(len(asked))
+        at = np.minimum(np.searchsorted(names, asked), len(names) - 1)
+        return np.where(names[at] == asked, logs[at], 0.0)
+
+    distinct: set[bytes] = set()
+    for text in raw:
+        distinct.update(text.lower().split())
+    weights = dict(zip(distinct, weight(np.fromiter(map(_name, distinct), np.int64, len(distinct))).tolist(), strict=True))
+    end, bottom = float(weight(np.array([_END_WORD]))[0]), math.log10(n_all + kinds + 1)
+    tokens, hits, base = [], [], []
+    for text in raw:
+        words = text.lower().split()
+        w = np.fromiter(map(weights.__getitem__, words), float, len(words))
+        tokens.append(len(words) + 1)
+        hits.append(int(np.count_nonzero(w)) + (end > 0))
+        base.append(float(w.sum()) + end - (len(words) + 1) * bottom)
+
+    strings, log = key[key >= 0].view(np.uint64), value[key >= 0]
+    table = Strings(len(strings) + PIECE)
+    slots = table.slots(strings)
+    at = np.zeros(len(table.held))
+    at[slots] = log
+    scores = np.zeros(len(raw))
+    for i, j in _parts(raw):
+        codes, begins = grams(raw[i:j])
+        found = np.concatenate([at[table.slots(codes[x : x + PIECE])] for x in range(0, len(codes), PIECE)])
+        scores[i:j] = np.add.reduceat(found, begins)
+    return pa.Table.from_arrays([docs.column("doc_id"), docs.column("held_out"), pa.array(tokens, pa.int64()), pa.array(hits, pa.int64()), pa.array([n_all] * len(raw), pa.int64()), pa.array(base, pa.float64()), pa.array(scores)], schema=_OUT)
 
 
 def score_texts(docs: DataFrame) -> DataFrame:
@@ -264,43 +267,17 @@ def score_texts(docs: DataFrame) -> DataFrame:
     training count each time). Null doc_ids count as the empty text's crc32. Other columns are left aside.
     """
     rows = texts(docs).withColumn("held_out", id_part(7) == 2)
-    sizes = rows.agg(F.sum(F.octet_length("text")).alias("all"), F.sum(F.when(~F.col("held_out"), F.octet_length("text") + 1)).alias("training")).first()
-    trie = docs.sparkSession.sparkContext.broadcast(learn(rows.filter("not held_out"), sizes["training"] or 0))
-    buckets = max(1, (sizes["all"] or 0) // BUCKET_BYTES)
-    dealt = rows.select(F.pmod(F.xxhash64("rid", F.lit(6)), F.lit(buckets)).alias("bucket"), "doc_id", "held_out", "text")
-    asked = dealt.groupBy("bucket").applyInPandas(_words, "bucket long, h long, c long")
-    counts = asked.groupBy("h").agg(F.sum("c").alias("n")).filter("n > 0")
-    totals = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("N"), F.count("*").alias("V"))
-    answers = asked.select("bucket", "h").join(counts, "h")
-
-    def score(docs: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        if not len(docs):
-            return pd.DataFrame({k: [] for k in ("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")})
-        ends = known[known["h"] == _END_WORD]
-        n_all, kinds = (int(ends["all"].iloc[0]), int(ends["kinds"].iloc[0])) if len(ends) else (0, 0)  # no ends, no training documents
-        by_name = dict(zip(known["h"].tolist(), np.log10(known["n"].to_numpy() + 1.0).tolist(), strict=True))
-
-        class Weights(dict):
-            def __missing__(self, word: bytes) -> float:
-                self[word] = out = by_name.get(_name(word), 0.0)
-                return out
-
-        weights, end = Weights(), by_name.get(_END_WORD, 0.0)
-        bottom = math.log10(n_all + kinds + 1)
-        tokens, hits, base = [], [], []
-        raw = [x.encode() for x in docs["text"]]
-        for text in raw:
-            words = text.lower().split()
-            w = np.fromiter(map(weights.__getitem__, words), float, len(words))
-            tokens.append(len(words) + 1)
-            hits.append(int(np.count_nonzero(w)) + (end > 0))
-            base.append(float(w.sum()) + end - (len(words) + 1) * bottom)
-        begins = np.concatenate(([0], np.cumsum([len(x) for x in raw]))).astype(np.int64)
-        scores = trie.value.score(np.frombuffer(b"".join(raw), np.uint8), begins)
-        return pd.DataFrame({"doc_id": docs["doc_id"].astype("Int64"), "held_out": docs["held_out"], "n_tokens": tokens, "n_known": hits, "train_tokens": n_all, "base_score": base, "score": scores})
-
-    # the totals come with the count of ends, for which every bucket asks; so documents are dealt out once, for both uses
+    n_bytes = rows.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
+    logs = probabilities(checkpointed(count_strings(rows)))
+    dealt = rows.select(F.pmod(F.xxhash64("rid", F.lit(6)), F.lit(max(1, n_bytes // BUCKET_BYTES))).alias("bucket"), "doc_id", "held_out", "text")
+    asked = dealt.groupBy("bucket").applyInArrow(_asked, "bucket long, key long, c long")
+    by_key = Window.partitionBy("key")
+    asked = asked.withColumn("n", F.sum("c").over(by_key)).withColumn("first", F.min("bucket").over(by_key))
+    # both totals are read off the same exchange as the answers, so documents are asked once
+    word = F.col("key") < 0
+    totals = asked.agg(F.coalesce(F.sum(F.when(word, F.col("c"))), F.lit(0)).alias("N"), F.count(F.when(word & (F.col("n") > 0) & (F.col("bucket") == F.col("first")), 1)).alias("V"))
     both = totals.select(F.struct("N", "V").alias("both")).scalar()
-    end = F.col("h") == _END_WORD
-    answers = answers.withColumn("all", F.when(end, both["N"])).withColumn("kinds", F.when(end, both["V"]))
-    return dealt.groupBy("bucket").cogroup(answers.groupBy("bucket")).applyInPandas(score, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    end = F.col("key") == _END_WORD
+    answers = asked.join(logs.withColumnRenamed("s", "key"), "key", "left").filter("log is not null or n > 0")
+    answers = answers.select("bucket", "key", F.coalesce("log", F.col("n").cast("double")).alias("value"), F.when(end, both["N"]).alias("n_all"), F.when(end, both["V"]).alias("kinds"))
+    return dealt.groupBy("bucket").cogroup(answers.groupBy("bucket")).applyInArrow(_scored, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

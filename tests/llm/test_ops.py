@@ -330,24 +330,71 @@ def test_packing_empty(empty):
 # models
 
 
-def test_ppm_sums_to_one():
-    text = [b"abracadabra", b"abcabc", b"", "straße".encode(), b"ABBA" * 20]
-    data, begins = np.frombuffer(b"".join(text), np.uint8), np.concatenate(([0], np.cumsum([len(x) for x in text]))).astype(np.int64)
-    symbols, at = ppm.stream(data, begins)
-    codes = ppm.grams(symbols, ppm.ORDER)[ppm._predicted(at, begins) - ppm.ORDER]
-    strings, counts = [], []
-    for k in range(ppm.ORDER + 1):
-        s, c = np.unique(codes & np.uint64((1 << 8 * (k + 1)) - 1), return_counts=True)
-        keep = c >= (2 if k > 2 else 1)
-        strings.append(s[keep])
-        counts.append(c[keep].astype(np.int64))
-    trie = ppm.Trie(strings, counts)
+def brute_ppm(training, text, order=ppm.ORDER):
+    """Prediction by partial matching, byte by byte."""
+    trie = defaultdict(Counter)
+    for x in training:
+        y = b"\xff" * order + x.lower() + b"\xff"
+        for p in range(order, len(y)):
+            for k in range(order + 1):
+                trie[y[p - k : p]][y[p]] += 1
+    y, out = b"\xff" * order + text.lower() + b"\xff", 0.0
+    for p in range(order, len(y)):
+        gone = set()
+        for k in range(order, -1, -1):
+            left = {b: n for b, n in trie.get(y[p - k : p], {}).items() if b not in gone}
+            if not left:
+                continue
+            bottom = sum(left.values()) + len(left)
+            if y[p] in left:
+                out += np.log10(left[y[p]] / bottom)
+                break
+            out += np.log10(len(left) / bottom)
+            gone |= set(left)
+        else:
+            out -= np.log10(max(1, 256 - len(gone)))
+    return out
+
+
+def test_ppm_is_brute_force(spark):
+    r = random.Random(1)
+    vocabulary = ["".join(r.choice("abcdeéß") for _ in range(r.randint(1, 5))) for _ in range(30)]
+    rows = [(i, " ".join(r.choice(vocabulary) if r.random() < 0.9 else "".join(r.choice("xyzabc") for _ in range(3)) for _ in range(r.randint(0, 40)))) for i in range(60)]
+    rows += [(100, None), (101, ""), (102, "A" * 50), (103, "ZZZ0"), (None, "abc"), (7, rows[7][1])]
+    crc = [zlib.crc32(("" if i is None else str(i)).encode()) % 7 for i, _ in rows]
+    training = [(t or "").encode() for (_, t), c in zip(rows, crc, strict=True) if c != 2]
+    got = ppm.score_texts(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    want = sorted((str(i), round(brute_ppm(training, (t or "").encode()), 5)) for i, t in rows)
+    assert sorted((str(x["doc_id"]), round(x["score"], 5)) for x in got) == want
+    only_held_out = spark.createDataFrame([(i, "ab") for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2], "doc_id long, text string")
+    assert {(x["train_tokens"], round(x["score"], 6)) for x in ppm.score_texts(only_held_out).collect()} == {(0, round(-3 * np.log10(256), 6))}
+
+
+def test_ppm_sums_to_one(spark):
+    codes, begins = ppm.grams([b"abracadabra", b"abcabc", b"", "straße".encode(), b"ABBA" * 20])
+    assert begins.tolist() == [0, 12, 19, 20, 28] and len(codes) == 28 + 81
+    known = Counter(codes.tolist())
     for before in (b"abra", b"\xff\xff\xff\xff", b"zzzz", b"xxab", b"\xff\xffst"):
         base = int.from_bytes(before[-1:] * (ppm.ORDER - len(before)) + before, "big") << 8
-        p = 10 ** trie.log10(np.array([base | i for i in range(256)], np.uint64))
-        assert abs(p.sum() - 1) < 1e-9 and (p > 0).all()
-    whole, alone = trie.score(data, begins), [trie.score(np.frombuffer(x, np.uint8), np.array([0, len(x)]))[0] for x in text]
-    assert np.allclose(whole, alone)
+        asked = spark.createDataFrame([*known.items(), *((base | i, 0) for i in range(256) if base | i not in known)], "s long, n long")
+        p = [10 ** x["log"] for x in ppm.probabilities(asked).filter(f"s between {base} and {base | 255}").collect()]
+        assert len(p) == 256 and abs(sum(p) - 1) < 1e-9
+
+
+def test_ppm_strings_are_counted_at_any_size(monkeypatch):
+    import pyarrow as pa
+
+    r = random.Random(2)
+    raw = ["".join(r.choice("ab é") for _ in range(r.choice((0, 5, 3000)))) for _ in range(60)]
+    batch = pa.RecordBatch.from_arrays([pa.array([i % 3 == 0 for i in range(60)]), pa.array(raw)], ["held_out", "text"])
+    want = Counter(ppm.grams([x.encode() for i, x in enumerate(raw) if i % 3])[0].tolist())
+    for chunk, piece, held in ((ppm.CHUNK, ppm.PIECE, ppm.HELD), (4000, 700, 10)):
+        for k, v in (("CHUNK", chunk), ("PIECE", piece), ("HELD", held)):
+            monkeypatch.setattr(ppm, k, v)
+        got = Counter()
+        for out in ppm._counted(iter([batch.slice(0, 25), batch.slice(25)])):
+            got.update(dict(zip(out.column("s").to_pylist(), out.column("n").to_pylist(), strict=True)))
+        assert +got == want and set(got) == set(ppm.grams([x.encode() for x in raw])[0].tolist())
 
 
 def test_lm_base(docs, empty):
