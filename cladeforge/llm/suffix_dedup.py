@@ -8,8 +8,12 @@
 3. Elsewhere (where repeats begin and end), the distinct surroundings of an anchor are brought together and sorted by
    deep-shallow suffix sorting: to the right of the anchor's place, and backwards to its left. Neighbours' common prefixes
    tell which of the strings over the anchor are found in more than one row.
-4. An anchor with very many rows and unlike surroundings (a common line) isn't brought together: its strings are named
-   again, each by itself, and counted under 128-bit names; equal ones are repeats.
+4. An anchor with too many distinct surroundings for one task is split: its strings by half of their places over the anchor,
+   then by the bytes that all strings of a half have around it, and again until no group is too large. A group at one place
+   is one string, so this ends. All groups are sorted.
+
+Equal surroundings are told by the anchor's and their own 64-bit hash together. Both sides of the join that brings anchors' rows together
+are read from shuffles, so a hot anchor's rows are dealt to several tasks (adaptive skew join).
 """
 
 from __future__ import annotations
@@ -32,7 +36,7 @@ LENGTH, GRAM = 200, 64
 WINDOW = LENGTH - GRAM + 1
 #: Starts looked at together; bounds the memory of a task whatever the length of a text.
 CHUNK = 1 << 18
-#: Rows of an anchor hash that may be sorted in one task.
+#: Distinct surroundings of an anchor hash that are sorted in one task.
 TOGETHER = 20_000
 _BASE = 0x9E3779B97F4A7C15
 
@@ -109,17 +113,28 @@ def _surroundings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in batches:
         rows = []
         for text, asked in zip(as_bytes(batch.column("text")), batch.column("asked").to_pylist(), strict=True):
-            rows += [(x["anchor"], x["ctx"], x["geo"], x["copies"], text[x["lo"] : x["lo"] + x["geo"] % 256 + LENGTH]) for x in asked]
-        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True) if rows else [[]] * 5, (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()), strict=True)], ["anchor", "ctx", "geo", "copies", "piece"])
+            rows += [(x["key"], x["ctx"], x["geo"], x["copies"], text[x["lo"] : x["lo"] + x["geo"] % 256 + LENGTH]) for x in asked]
+        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True) if rows else [[]] * 5, (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()), strict=True)], ["key", "ctx", "geo", "copies", "piece"])
 
 
-def _each_string(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _halved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Surroundings cut in two: the strings at places least to most over the anchor, in halves; each half is named by the bytes that all its strings have."""
+    names = [x.split()[0] for x in _HALVES.split(", ")]
+    types = (*[pa.int64()] * 4, pa.int32(), pa.int64(), pa.binary(), *[pa.int32()] * 3)
     for batch in batches:
-        rids = batch.column("rid").to_pylist()
-        for rid, text, asked in zip(rids, as_bytes(batch.column("text")), batch.column("asked").to_pylist(), strict=True):
-            starts = sorted({s for x in asked for s in range(x["lo"], x["lo"] + x["geo"] % 256 + 1)})
-            names = np.frombuffer(b"".join(xxhash.xxh3_128_digest(text[s : s + LENGTH]) for s in starts), np.int64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(names[:, 0])), pa.array(np.ascontiguousarray(names[:, 1])), pa.array([rid] * len(starts), pa.int64()), pa.array(starts, pa.int64())], ["h1", "h2", "rid", "b"])
+        rows = []
+        for key, ctx, geo, copies, piece, least, most in zip(*(batch.column(k).to_pylist() for k in ("key", "ctx", "geo", "copies", "piece", "least", "most")), strict=True):
+            at, further, middle = geo // 256, geo % 256, (least + most) // 2
+            for a, b in ((least, middle), (middle + 1, most)):
+                low, high = max(a, at - further), min(b, at)
+                if low <= high:
+                    part, new = piece[at - high : at - low + LENGTH], high * 256 + high - low
+                    name = xxhash.xxh3_64_intdigest(piece[at - a : at - b + LENGTH], key * 512 + a & (1 << 64) - 1) - (1 << 63)
+                    rows.append((key, ctx, name, xxhash.xxh3_64_intdigest(part, new) - (1 << 63), new, copies, part, a, b, at - high))
+        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True) if rows else [[]] * len(types), types, strict=True)], names)
+
+
+_HALVES = "up_key long, up_ctx long, key long, ctx long, geo int, copies long, piece binary, least int, most int, shift int"
 
 
 def _merged(spans: list[tuple[int, int]], gap: int = 0) -> list[tuple[int, int]]:
@@ -180,18 +195,18 @@ def repeats(pieces: list[bytes], geos: list[int], copies: list[int]) -> list[lis
 def _resolved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def rows() -> Iterator[tuple]:
         for batch in batches:
-            yield from zip(*(batch.column(k).to_pylist() for k in ("anchor", "ctx", "geo", "copies", "piece")), strict=True)
+            yield from zip(*(batch.column(k).to_pylist() for k in ("key", "ctx", "geo", "copies", "piece")), strict=True)
 
     def batch(found: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (zip(*found, strict=True) if found else [[]] * 4)], ["anchor", "ctx", "first", "last"])
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (zip(*found, strict=True) if found else [[]] * 4)], ["key", "ctx", "first", "last"])
 
     group: list[tuple] = []
     found: list[tuple] = []
 
     def close() -> None:
         if len(group) > 1 or group and group[0][3] > 1:
-            for (anchor, ctx, *_), runs in zip(group, repeats([x[4] for x in group], [x[2] for x in group], [x[3] for x in group]), strict=True):
-                found.extend((anchor, ctx, first, last) for first, last in runs)
+            for (key, ctx, *_), runs in zip(group, repeats([x[4] for x in group], [x[2] for x in group], [x[3] for x in group]), strict=True):
+                found.extend((key, ctx, first, last) for first, last in runs)
         group.clear()
 
     for row in rows():
@@ -205,27 +220,48 @@ def _resolved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield batch(found)
 
 
+def _sorted_runs(groups: DataFrame) -> DataFrame:
+    dealt = groups.repartition("key").dropDuplicates(["key", "ctx"]).sortWithinPartitions("key")
+    return dealt.select("key", "ctx", "geo", "copies", "piece").mapInArrow(_resolved, "key long, ctx long, first long, last long")
+
+
+def _runs(groups: DataFrame, large: DataFrame) -> DataFrame:
+    """key, ctx, first, last: runs of repeated starts in groups (key, ctx, geo, copies, piece, least, most); large: keys of groups to be split."""
+    halves = checkpointed(groups.join(large, "key", "left_semi").mapInArrow(_halved, _HALVES))
+    of_halves = halves.groupBy("key", "ctx").agg(*(F.first(k).alias(k) for k in ("geo", "piece", "least", "most")), F.sum("copies").alias("copies"))
+    of_halves = checkpointed(of_halves.select("key", "ctx", "geo", "copies", "piece", "least", "most"))
+    still = checkpointed(_large(of_halves))
+    found = _sorted_runs(of_halves) if still.isEmpty() else _runs(of_halves, still)
+    whole = halves.join(found, ["key", "ctx"]).select(F.col("up_key").alias("key"), F.col("up_ctx").alias("ctx"), (F.col("first") + F.col("shift")).alias("first"), (F.col("last") + F.col("shift")).alias("last"))
+    return _sorted_runs(groups.join(large, "key", "left_anti")).union(whole)
+
+
+def _large(groups: DataFrame) -> DataFrame:
+    return groups.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > TOGETHER).select("key")
+
+
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """rid, spans: for each text with repeated strings, the byte ranges [b, e) that they cover, in no order."""
     rows = texts(docs)
     found = rows.filter(F.octet_length("text") >= LENGTH).select("rid", "text").mapInArrow(_anchor_rows, "anchor long, ctx long, rid long, lo long, geo int")
     shared = found.groupBy("anchor").agg(F.count("*").alias("rows"), F.min("ctx").alias("c0"), F.max("ctx").alias("c1")).filter("rows > 1")
-    held = checkpointed(found.join(shared.select("anchor", "rows", (F.col("c0") == F.col("c1")).alias("alike")), "anchor"))
+    shared = checkpointed(shared.select("anchor", (F.col("c0") == F.col("c1")).alias("alike")))
+    held = checkpointed(found.join(shared, "anchor"))
     alike = held.filter("alike").select("rid", F.col("lo").alias("b"), F.expr(f"lo + geo % 256 + {LENGTH}").alias("e"))
 
-    unlike = held.filter(~F.col("alike") & (F.col("rows") <= TOGETHER))
-    one = unlike.groupBy("anchor", "ctx", "geo").agg(F.count("*").alias("copies"), F.min(F.struct("rid", "lo")).alias("at"))
-    ask = one.groupBy(F.col("at.rid").alias("rid")).agg(F.collect_list(F.struct("anchor", "ctx", "geo", "copies", F.col("at.lo").alias("lo"))).alias("asked"))
+    unlike = held.filter(~F.col("alike")).select(F.col("anchor").alias("key"), "ctx", "rid", "lo", "geo")
+    one = unlike.groupBy("key", "ctx", "geo").agg(F.count("*").alias("copies"), F.min(F.struct("rid", "lo")).alias("at"))
+    ask = one.groupBy(F.col("at.rid").alias("rid")).agg(F.collect_list(F.struct("key", "ctx", "geo", "copies", F.col("at.lo").alias("lo"))).alias("asked"))
     # equal rows have one rid: surroundings are taken from each of them, and are the same
-    pieces = rows.select("rid", "text").join(ask, "rid").select("text", "asked").mapInArrow(_surroundings, "anchor long, ctx long, geo int, copies long, piece binary")
-    runs = pieces.repartition("anchor").dropDuplicates(["anchor", "ctx"]).sortWithinPartitions("anchor").mapInArrow(_resolved, "anchor long, ctx long, first long, last long")
-    sorted_out = unlike.join(runs, ["anchor", "ctx"]).select("rid", F.expr("lo + first").alias("b"), F.expr(f"lo + last + {LENGTH}").alias("e"))
-
-    common_line = held.filter(~F.col("alike") & (F.col("rows") > TOGETHER)).groupBy("rid").agg(F.collect_set(F.struct("lo", "geo")).alias("asked"))
-    each = rows.select("rid", "text").join(common_line, "rid").mapInArrow(_each_string, "h1 long, h2 long, rid long, b long")
-    again = each.groupBy("h1", "h2").agg(F.count("*").alias("c")).filter("c > 1").drop("c")
-    named = each.join(again, ["h1", "h2"]).select("rid", "b", F.expr(f"b + {LENGTH}").alias("e"))
-    return alike.union(sorted_out).union(named).groupBy("rid").agg(F.collect_set(F.struct("b", "e")).alias("spans"))
+    groups = rows.select("rid", "text").join(ask, "rid").select("text", "asked").mapInArrow(_surroundings, "key long, ctx long, geo int, copies long, piece binary")
+    large = checkpointed(_large(one))
+    if large.isEmpty():
+        runs = _sorted_runs(groups)
+    else:
+        groups = groups.withColumn("least", F.lit(0)).withColumn("most", F.lit(WINDOW - 1))
+        runs = _runs(checkpointed(groups.dropDuplicates(["key", "ctx"])), large)
+    sorted_out = unlike.join(runs, ["key", "ctx"]).select("rid", F.expr("lo + first").alias("b"), F.expr(f"lo + last + {LENGTH}").alias("e"))
+    return alike.union(sorted_out).groupBy("rid").agg(F.collect_set(F.struct("b", "e")).alias("spans"))
 
 
 def _cut(text: bytes, spans: list[dict] | None) -> tuple[bytes, list[tuple[int, int]]]:
@@ -261,10 +297,15 @@ def _kept_text(text: pd.Series, spans: pd.Series) -> pd.Series:
 
 
 def strip_repeats(docs: DataFrame) -> DataFrame:
-    """docs with repeated strings cut out of text; a character that is cut in part goes as a whole. n_chars follows."""
+    """docs with repeated strings cut out of text; a character that is cut in part goes as a whole. n_chars follows.
+
+    A null text stays null, and counts as empty; repeated rows are copies of each other and lose what they share. An empty table
+    stays empty. Columns of any other name are kept as they are.
+    """
     rid = F.xxhash64(F.col("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")))
-    spans = repeated_spans(docs).toDF("__rid", "__spans")
-    out = docs.withColumn("__rid", rid).join(spans, "__rid", "left").withColumn("text", F.pandas_udf(_kept_text, "string")("text", "__spans"))
+    joined = docs.select(F.struct("*").alias("row"), rid.alias("rid")).join(repeated_spans(docs), "rid", "left")
+    out = joined.select("row", F.pandas_udf(_kept_text, "string")("row.text", "spans").alias("kept"))
+    new = {"text": F.col("kept")}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+        new["n_chars"] = F.coalesce(F.length("kept"), F.lit(0)).cast(docs.schema["n_chars"].dataType)
+    return out.select(*(new.get(k, F.col(f"row.`{k}`")).alias(k) for k in docs.columns))

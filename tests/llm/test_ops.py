@@ -74,12 +74,35 @@ def brute_repeats(rows, n=200):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("together", [20_000, 3])
+@pytest.mark.parametrize("together", [20_000, 3, 1])
 def test_suffix_dedup(docs, monkeypatch, together):
     monkeypatch.setattr(suffix_dedup, "TOGETHER", together)
     assert found(suffix_dedup.without_repeats(docs)) == brute_repeats(corpus())
 
 
+def test_halves_of_groups_cover_all_strings():
+    import pyarrow as pa
+
+    r = random.Random(6)
+    core, rows = bytes(r.choice(b"xy") for _ in range(64)), []
+    for i in range(40):
+        at = r.randint(0, 136)
+        further = r.randint(0, at)
+        rows.append((7, i, at * 256 + further, 1, bytes(r.choice(b"pq") for _ in range(at)) + core + bytes(r.choice(b"pq") for _ in range(further + 136 - at)), 0, 136))
+    types = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.int32(), pa.int32())
+    (out,) = suffix_dedup._halved(iter([pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), types, strict=True)], ["key", "ctx", "geo", "copies", "piece", "least", "most"])]))
+    got = Counter()
+    for x in out.to_pylist():
+        for s in range(x["geo"] % 256 + 1):
+            got[x["up_ctx"], x["shift"] + s, x["piece"][s : s + 200]] += 1
+            assert x["least"] <= x["geo"] // 256 - s <= x["most"]
+    assert got == Counter((ctx, s, piece[s : s + 200]) for _, ctx, geo, _, piece, *_ in rows for s in range(geo % 256 + 1))
+    near = defaultdict(set)
+    for x in out.to_pylist():
+        near[x["key"]].add(x["piece"][x["geo"] // 256 - x["least"] :][: 200 - x["most"] + x["least"]])
+    assert all(len(v) == 1 for v in near.values())
+
+
 def test_suffix_dedup_chunks():
     r = random.Random(5)
     base = bytes(r.choice(b"abc") for _ in range(3000))
