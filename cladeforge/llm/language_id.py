@@ -1,8 +1,11 @@
 """Language of documents by a bidirectional gated recurrent network over bytes, in numpy.
 
-Texts are cut into windows of WINDOW bytes. In each, one network reads forwards and one backwards; every position gets
-probabilities of the languages from both states, and a document's are the mean over its positions. The networks are
-trained by backpropagation through time on at most PER_LANGUAGE documents of each language, those of least hash.
+Texts are cut into windows of WINDOW bytes, which are read with MARGIN further bytes of the text on either side. In each, one
+network reads forwards and one backwards; every position gets probabilities of the languages from both states, and a
+document's are the mean over its positions. So each position is labelled from MARGIN bytes of the text before it and after it
+at least, wherever windows begin, and a long text's windows go through the network side by side. The networks are
+trained by backpropagation through time on pieces of STEP bytes of at most PER_LANGUAGE documents of each language, those of
+least hash; of a document longer than SAMPLE_BYTES, only its first ones are learned from (scores are of whole texts).
 """
 
 from __future__ import annotations
@@ -17,10 +20,10 @@ from pyspark.sql import functions as F
 
 from cladeforge.llm.common import flat_bytes, id_part, texts
 
-HIDDEN, WINDOW = 8, 64
-PER_LANGUAGE, BATCH, STEPS, RATE = 200, 256, 160, 0.02
+HIDDEN, WINDOW, MARGIN = 8, 192, 24
+PER_LANGUAGE, SAMPLE_BYTES, STEP, BATCH, STEPS, RATE = 200, 1 << 16, 64, 256, 160, 0.02
 #: Windows that go through the network together.
-TOGETHER = 2048
+TOGETHER = 1024
 
 
 def _forward(p: dict[str, np.ndarray], x: np.ndarray) -> tuple[np.ndarray, list]:
@@ -67,16 +70,17 @@ class Model:
     out: np.ndarray
     bias: np.ndarray
 
-    def positions(self, x: np.ndarray) -> np.ndarray:
-        """Probabilities of the languages at each place of x (steps by windows)."""
-        both = np.concatenate((self._states(self.ahead, x), self._states(self.back, x[::-1])[::-1]), 2)
+    def positions(self, x: np.ndarray, there: np.ndarray | None = None) -> np.ndarray:
+        """Probabilities of the languages at each place of x (steps by windows). Places that aren't there leave the state zero."""
+        there = None if there is None or there.all() else there
+        both = np.concatenate((self._states(self.ahead, x, there), self._states(self.back, x[::-1], None if there is None else there[::-1])[::-1]), 2)
         e = both @ self.out + self.bias
         e -= e.max(2, keepdims=True)
         np.exp(e, out=e)
         return e / e.sum(2, keepdims=True)
 
     @staticmethod
-    def _states(p: dict[str, np.ndarray], x: np.ndarray) -> np.ndarray:
+    def _states(p: dict[str, np.ndarray], x: np.ndarray, there: np.ndarray | None = None) -> np.ndarray:
         n = p["u"].shape[0]
         w, u = p["w"].copy(), p["u"].copy()
         w[:, : 2 * n] *= -1
@@ -95,6 +99,8 @@ class Model:
             h = h - new
             h *= gates[:, :n]
             h += new
+            if there is not None:
+                h *= there[t][:, None]
             states[t] = h
         return states
 
@@ -104,16 +110,18 @@ class Model:
         number = -(-lengths // WINDOW)
         owner = np.repeat(np.arange(len(lengths)), number)
         start = begins[:-1][owner] + WINDOW * (np.arange(len(owner)) - np.repeat(np.cumsum(number) - number, number))
-        end = begins[1:][owner]
+        low, high = np.maximum(start - MARGIN, begins[:-1][owner]), np.minimum(start + WINDOW + MARGIN, begins[1:][owner])
         sums = np.zeros((len(lengths), len(self.languages)))
-        for at in range(0, len(owner), TOGETHER):
-            s, e, own = start[at : at + TOGETHER], end[at : at + TOGETHER], owner[at : at + TOGETHER]
-            place = s + np.arange(WINDOW)[:, None]
-            inside = place < e
-            x = np.where(inside, data[np.minimum(place, len(data) - 1)], 0)
-            found = np.einsum("twl,tw->wl", self.positions(x), inside.astype(np.float32))
-            first = np.flatnonzero(np.diff(own, prepend=-1))
-            sums[own[first]] += np.add.reduceat(found, first, axis=0)
+        order = np.argsort(high - low, kind="stable")  # windows of like lengths go together
+        for at in range(0, len(order), TOGETHER):
+            w = order[at : at + TOGETHER]
+            steps = int((high[w] - low[w]).max())
+            place = low[w] + np.arange(steps)[:, None]
+            there = place < high[w]
+            x = np.where(there, data[np.minimum(place, len(data) - 1)], 0)
+            own = (place >= start[w]) & (place < np.minimum(start[w] + WINDOW, high[w]))
+            found = np.einsum("twl,tw->wl", self.positions(x, there), own.astype(np.float32))
+            np.add.at(sums, owner[w], found)
         return sums / np.maximum(lengths, 1)[:, None]
 
 
@@ -130,11 +138,11 @@ def train(samples: list[tuple[bytes, str]], seed: int = 7) -> Model:
         first, second = ({k: np.zeros_like(v) for k, v in p.items()} for _ in range(2))
         for step in range(1, STEPS + 1):
             y = random.integers(0, n, BATCH)
-            x = np.zeros((WINDOW, BATCH), np.uint8)
+            x = np.zeros((STEP, BATCH), np.uint8)
             for i, k in enumerate(y):
                 text = by[languages[k]][random.integers(len(by[languages[k]]))]
-                at = random.integers(max(1, len(text) - WINDOW // 2))
-                x[: len(text[at : at + WINDOW]), i] = text[at : at + WINDOW]
+                at = random.integers(max(1, len(text) - STEP // 2))
+                x[: len(text[at : at + STEP]), i] = text[at : at + STEP]
             sides = {"ahead": x, "back": x[::-1]}
             runs = {k: _forward({"w": p[f"{k}.w"], "u": p[f"{k}.u"]}, v) for k, v in sides.items()}
             both = np.concatenate((runs["ahead"][0], runs["back"][0][::-1]), 2)
@@ -157,13 +165,11 @@ def train(samples: list[tuple[bytes, str]], seed: int = 7) -> Model:
 
 
 def learn(docs: DataFrame) -> Model:
-    known = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull() & (id_part(4) != 2)).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"))
-    order = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(4)), "doc_id"))
-    chosen = {(r["doc_id"], r["lang"]) for r in known.withColumn("order", order).filter(F.col("order") <= PER_LANGUAGE).collect()}  # PER_LANGUAGE rows a language at most
-    if not chosen:
-        return train([])
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")).filter(F.col("doc_id").isin(sorted({x for x, _ in chosen})) & F.col("text").isNotNull())
-    return train(sorted((r["text"].encode(), r["lang"]) for r in rows.collect() if (r["doc_id"], r["lang"]) in chosen))
+    """Fits on PER_LANGUAGE rows a language at most, those of least hash of doc_id and text; equal ids and equal rows are rows like others."""
+    text = F.left(F.col("text").cast("string"), F.lit(SAMPLE_BYTES))
+    known = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull() & (id_part(4) != 2)).select(F.col("lang").cast("string").alias("lang"), text.alias("text"), F.xxhash64(F.col("doc_id").cast("long"), F.lit(4)).alias("h"))
+    order = F.row_number().over(Window.partitionBy("lang").orderBy("h", F.xxhash64("text")))
+    return train(sorted((r["text"].encode(), r["lang"]) for r in known.withColumn("order", order).filter(F.col("order") <= PER_LANGUAGE).collect()))
 
 
 def predict_languages(docs: DataFrame) -> DataFrame:
