@@ -522,15 +522,48 @@ def test_quality_rules(docs, empty):
 
 
 def test_licenses(spark, empty):
-    texts = ["x y z\nReleased under the MIT License.\ny z", "Licensed under the\nApache License, Version 2.0", "mit license", None, "", "\n\n", "This work is licensed under a Creative Commons Attribution 4.0 International License!\nreleased under the mit licence by all of the authors of these pages", "word " * 3000]
-    df = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)] + [(0, texts[0], 1)], "doc_id long, text string, units int")
+    mit, bsd2, bsd3 = (licenses.TEXTS[k][0] for k in ("MIT", "BSD-2-Clause", "BSD-3-Clause"))
+    wrapped = "\n".join(re.findall(r"(.{1,77})(?:\s|$)", mit.replace("\n", " ")))
+    prose = words(50, 4)
+    texts = [
+        ("x y z\nReleased under the MIT License.\ny z", "MIT"),
+        (f"{prose}\nLicensed under the\nApache License, Version 2.0\n{prose}", "Apache-2.0"),
+        (f"Copyright 2020 A. Author\n\n{wrapped}\n\n{prose}", "MIT"),
+        (f"{prose} {mit.upper()} {prose} {mit.replace('Software', 'Program')}", "MIT"),
+        ("This work is licensed under the GNU General Public License, version 3", "GPL-3.0"),
+        ("This work is licensed under the GNU General Public License, version 2", "GPL-2.0"),
+        ("This work is licensed under the GNU General Public License", ""),
+        ("This work is licensed under a Creative Commons Attribution 4.0 International License!", "CC-BY-4.0"),
+        ("this work is licensed under a creative commons attribution-noncommercial 4.0 international license", "CC-BY-NC-4.0"),
+        (bsd2, "BSD-2-Clause"),
+        (bsd3, "BSD-3-Clause"),
+        (f"{bsd3}\n{mit}\nLicensed under CC BY 4.0", "BSD-3-Clause,CC-BY-4.0,MIT"),
+        ("mit license", ""),
+        (None, ""),
+        ("", ""),
+        ("\n\n", ""),
+        ("word " * 30000, ""),
+        (f"{prose} " * 3000 + mit, "MIT"),
+    ]
+    df = spark.createDataFrame([(i, t, 1) for i, (t, _) in enumerate(texts)] + [(0, texts[0][0], 1)], "doc_id long, text string, pairs int")
     got = [tuple(r) for r in licenses.scan_licenses(df).orderBy("doc_id").collect()]
-    assert got[0] == got[1] == (0, 3, 1, "MIT", 1.0)
-    assert got[2] == (1, 2, 1, "Apache-2.0", 1.0)
-    assert [x[1:] for x in got[3:7]] == [(1, 0, "", 0.0), (0, 0, "", 0.0), (0, 0, "", 0.0), (0, 0, "", 0.0)]
-    assert got[7] == (6, 2, 1, "CC-BY-4.0,CC-BY-NC-4.0,CC-BY-SA-4.0", 1.0) and got[8][1:] == (1, 0, "", 0.0)  # notices alike are all named
+    assert got[0] == got[1] == (0, 10, 1, "MIT", 1.0)
+    assert [x[3] for x in got[1:]] == [x for _, x in texts]
+    assert [x[2] for x in got[1:6]] == [1, 1, 1, 2, 1] and got[12][2] == 3
+    assert all((x[2] == 0) == (x[4] == 0) for x in got)
+    own = licenses.scan_licenses(df, {"Own": ["free to read and to print"]})
+    assert own.filter("n_matches > 0").count() == 0
     assert licenses.scan_licenses(empty).count() == 0
-    assert all(len(set(b)) == len(b) for _, b in licenses.templates())
+
+
+def test_licenses_miss_no_similar_window():
+    r = random.Random(4)
+    for t in licenses.templates():
+        for _ in range(20):
+            w = [x if r.random() > 0.08 else f"new{r.randrange(99)}" for x in t.words]
+            own = {f"{a} {b}" for a, b in zip(w, w[1:], strict=False)}
+            if 2 * len(own & {*t.bigrams}) >= 0.8 * (len(own) + len(t.bigrams)):
+                assert t.least <= len(own) <= t.most and any(x in own for x, _ in t.anchors)
 
 
 def test_chat(spark):
