@@ -9,9 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def folder(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir. Without it, a temporary one, where driver and tasks are one process; elsewhere an error."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
+        if named is None and not context.master.startswith("local"):
+            raise ValueError("Set spark.checkpoint.dir to a folder that the driver and all executors share.")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoint-"))
     return context.getCheckpointDir()
 
