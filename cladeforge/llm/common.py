@@ -2,25 +2,28 @@
 
 from __future__ import annotations
 
-import tempfile
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cladeforge.sources.scratch import fresh_path, kept
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Cuts the lineage in the folder that the cluster names; a temporary one only where none is set (tests)."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoint-"))
-    return df.checkpoint()
+    """Cuts the lineage in the shared folder that the cluster names."""
+    return kept(df)
+
+
+def written(df: DataFrame) -> DataFrame:
+    """Cuts the lineage by a compressed table in that folder, for what is large."""
+    path = fresh_path(df.sparkSession, "table")
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def texts(docs: DataFrame) -> DataFrame:

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cladeforge.llm.common import as_bytes, checkpointed, flat_bytes, texts
+from cladeforge.llm.common import as_bytes, checkpointed, flat_bytes, texts, written
 from cladeforge.llm.suffix_sort import common, deep_shallow
 
 LENGTH, GRAM = 200, 64
@@ -37,7 +37,7 @@ WINDOW = LENGTH - GRAM + 1
 #: Starts looked at together; bounds the memory of a task whatever the length of a text.
 CHUNK = 1 << 18
 #: Distinct surroundings of an anchor hash that are sorted in one task.
-TOGETHER = 20_000
+TOGETHER = 1_000
 _BASE = 0x9E3779B97F4A7C15
 
 
@@ -227,9 +227,9 @@ def _sorted_runs(groups: DataFrame) -> DataFrame:
 
 def _runs(groups: DataFrame, large: DataFrame) -> DataFrame:
     """key, ctx, first, last: runs of repeated starts in groups (key, ctx, geo, copies, piece, least, most); large: keys of groups to be split."""
-    halves = checkpointed(groups.join(large, "key", "left_semi").mapInArrow(_halved, _HALVES))
+    halves = written(groups.join(large, "key", "left_semi").mapInArrow(_halved, _HALVES))
     of_halves = halves.groupBy("key", "ctx").agg(*(F.first(k).alias(k) for k in ("geo", "piece", "least", "most")), F.sum("copies").alias("copies"))
-    of_halves = checkpointed(of_halves.select("key", "ctx", "geo", "copies", "piece", "least", "most"))
+    of_halves = written(of_halves.select("key", "ctx", "geo", "copies", "piece", "least", "most"))
     still = checkpointed(_large(of_halves))
     found = _sorted_runs(of_halves) if still.isEmpty() else _runs(of_halves, still)
     whole = halves.join(found, ["key", "ctx"]).select(F.col("up_key").alias("key"), F.col("up_ctx").alias("ctx"), (F.col("first") + F.col("shift")).alias("first"), (F.col("last") + F.col("shift")).alias("last"))
@@ -246,7 +246,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     found = rows.filter(F.octet_length("text") >= LENGTH).select("rid", "text").mapInArrow(_anchor_rows, "anchor long, ctx long, rid long, lo long, geo int")
     shared = found.groupBy("anchor").agg(F.count("*").alias("rows"), F.min("ctx").alias("c0"), F.max("ctx").alias("c1")).filter("rows > 1")
     shared = checkpointed(shared.select("anchor", (F.col("c0") == F.col("c1")).alias("alike")))
-    held = checkpointed(found.join(shared, "anchor"))
+    held = written(found.join(shared, "anchor"))
     alike = held.filter("alike").select("rid", F.col("lo").alias("b"), F.expr(f"lo + geo % 256 + {LENGTH}").alias("e"))
 
     unlike = held.filter(~F.col("alike")).select(F.col("anchor").alias("key"), "ctx", "rid", "lo", "geo")
@@ -259,7 +259,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
         runs = _sorted_runs(groups)
     else:
         groups = groups.withColumn("least", F.lit(0)).withColumn("most", F.lit(WINDOW - 1))
-        runs = _runs(checkpointed(groups.dropDuplicates(["key", "ctx"])), large)
+        runs = _runs(written(groups.dropDuplicates(["key", "ctx"])), large)
     sorted_out = unlike.join(runs, ["key", "ctx"]).select("rid", F.expr("lo + first").alias("b"), F.expr(f"lo + last + {LENGTH}").alias("e"))
     return alike.union(sorted_out).groupBy("rid").agg(F.collect_set(F.struct("b", "e")).alias("spans"))
 
