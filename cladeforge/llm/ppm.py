@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from cladeforge.llm.common import as_bytes, checkpointed, id_part, texts
 
 ORDER = 5
-BUCKET_BYTES = 32 << 20
+BUCKET_BYTES = 24 << 20
 #: Bytes of texts cut into strings together, strings looked up together, and distinct strings that a task holds back to count.
 CHUNK, PIECE, HELD = 1 << 20, 1 << 18, 3 << 20
 _END = b"\xff"
