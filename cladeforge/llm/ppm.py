@@ -27,12 +27,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cladeforge.llm.common import as_bytes, checkpointed, id_part, texts
+from cladeforge.llm.common import as_bytes, checkpointed, flat_bytes, id_part, texts
 
 ORDER = 5
 BUCKET_BYTES = 24 << 20
 #: Bytes of texts cut into strings together, strings looked up together, and distinct strings that a task holds back to count.
-CHUNK, PIECE, HELD = 1 << 20, 1 << 18, 3 << 20
+CHUNK, PIECE, HELD = 1 << 19, 1 << 17, 1 << 20
 _END = b"\xff"
 _FREE = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -79,7 +79,7 @@ class Strings:
         """Slots of the keys; new ones are taken in. The table grows before it could be half full."""
         if 2 * (self.n + len(keys)) > len(self.held):
             keep, counts, used = self.held, self.counts, np.flatnonzero(self.held != _FREE)
-            self.__init__(2 * (self.n + len(keys)))
+            self.__init__(self.n + len(keys))
             self.counts[self.slots(keep[used])] = counts[used]
         slot = ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
         left = np.flatnonzero(self.held[slot] != keys)
@@ -115,12 +115,17 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     every = Strings()
     for batch in batches:
-        held_out = batch.column("held_out").to_numpy(zero_copy_only=False)
-        for side in (False, True):
-            _taken(every, as_bytes(batch.column("text").filter(pa.array(held_out == side))), count=not side)
-        if every.n > HELD:
-            yield close(every)
-            every = Strings()
+        _, begins = flat_bytes(batch.column("text"))
+        at = 0
+        while at < len(batch):  # few texts at a time are Python's
+            end = max(at + 1, int(np.searchsorted(begins, begins[at] + 4 * CHUNK, "right")) - 1)
+            part = batch.slice(at, end - at)
+            for side in (False, True):
+                _taken(every, as_bytes(part.column("text").filter(pa.compute.equal(part.column("held_out"), side))), count=not side)
+            if every.n > HELD:
+                yield close(every)
+                every = Strings()
+            at = end
     yield close(every)
 
 
