@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -68,6 +68,16 @@ def _parts(raw: list[bytes]) -> Iterator[tuple[int, int]]:
         i = j
 
 
+def _slices(column: pa.Array, *others: pa.Array) -> Iterator[tuple]:
+    """Runs of texts of some 8 * CHUNK bytes as Python's, and what stands beside them; never all of a batch or bucket."""
+    _, begins = flat_bytes(column)
+    at = 0
+    while at < len(column):
+        end = max(at + 1, int(np.searchsorted(begins, begins[at] + 8 * CHUNK, "right")) - 1)
+        yield as_bytes(column[at:end]), *(x[at:end] for x in others)
+        at = end
+
+
 class Strings:
     """A set of numbers below 2^63 by open addressing, for many at once; each has a slot, and a count there."""
 
@@ -115,17 +125,13 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     every = Strings()
     for batch in batches:
-        _, begins = flat_bytes(batch.column("text"))
-        at = 0
-        while at < len(batch):  # few texts at a time are Python's
-            end = max(at + 1, int(np.searchsorted(begins, begins[at] + 4 * CHUNK, "right")) - 1)
-            part = batch.slice(at, end - at)
+        for raw, held_out in _slices(batch.column("text"), batch.column("held_out")):
+            held_out = held_out.to_pylist()
             for side in (False, True):
-                _taken(every, as_bytes(part.column("text").filter(pa.compute.equal(part.column("held_out"), side))), count=not side)
+                _taken(every, [x for x, h in zip(raw, held_out, strict=True) if h == side], count=not side)
             if every.n > HELD:
                 yield close(every)
                 every = Strings()
-            at = end
     yield close(every)
 
 
@@ -189,48 +195,48 @@ def probabilities(counted: DataFrame) -> DataFrame:
     return known.union(asked.select("s", F.coalesce(found, way + F.lit(bottom)).alias("log")))
 
 
-def _name(word: bytes) -> int:
-    """Of a word: 63 bits of its hash, below zero, so that no string's number is like it."""
-    return (xxhash.xxh3_64_intdigest(word) >> 1) - (1 << 63)
+def _names(words: Iterable[bytes], n: int) -> np.ndarray:
+    """Of n words: 63 bits of their hashes."""
+    return np.fromiter((xxhash.xxh3_64_intdigest(w) >> 1 for w in words), np.uint64, n)
 
 
-_END_WORD = _name(b"")
+#: Words' names are told from strings by being below zero.
+_WORD = np.uint64(1 << 63)
+_END_WORD = int((_names([b""], 1) | _WORD).view(np.int64)[0])
 
 
 def _asked(bucket: pa.Table) -> pa.Table:
-    counts: Counter = Counter()
-    other: set[bytes] = set()
-    raw, ends = as_bytes(bucket.column("text").combine_chunks()), 0
-    for text, held_out in zip(raw, bucket.column("held_out").to_pylist(), strict=True):
-        words = text.lower().split()
-        if held_out:
-            other.update(words)
-        else:
-            counts.update(words)
-            ends += 1
-    other.difference_update(counts)
-    names = np.fromiter((_name(w) for part in (counts, other) for w in part), np.int64, len(counts) + len(other))
-    every = Strings()
-    _taken(every, raw)
-    strings = every.held[every.used].view(np.int64)
-    keys = np.concatenate((names, [_END_WORD], strings))
-    c = np.concatenate((np.fromiter(counts.values(), np.int64, len(counts)), np.zeros(len(other), np.int64), [ends], np.zeros(len(strings), np.int64)))
+    words, strings, ends = Strings(), Strings(), 0
+    for raw, held_out in _slices(bucket.column("text").combine_chunks(), bucket.column("held_out").combine_chunks()):
+        held_out = held_out.to_pylist()
+        for side in (False, True):
+            counts: Counter = Counter()
+            for text, h in zip(raw, held_out, strict=True):
+                if h == side:
+                    counts.update(text.lower().split())
+                    ends += not side
+            slots = words.slots(_names(counts, len(counts)))
+            if not side:
+                np.add.at(words.counts, slots, np.fromiter(counts.values(), np.int64, len(counts)))
+        _taken(strings, raw)
+    names = (words.held[words.used] | _WORD).view(np.int64)
+    keys = np.concatenate((names, [_END_WORD], strings.held[strings.used].view(np.int64)))
+    c = np.concatenate((words.counts[words.used], [ends], np.zeros(strings.n, np.int64)))
     return pa.table({"bucket": pa.array(np.full(len(keys), bucket.column("bucket")[0].as_py(), np.int64)), "key": pa.array(keys), "c": pa.array(c)})
 
 
-_OUT = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
+_OUT = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("known", pa.float64()), ("score", pa.float64())])
 
 
-def _scored(docs: pa.Table, known: pa.Table) -> pa.Table:
+def _scored(docs: pa.Table, answers: pa.Table) -> pa.Table:
+    """known: the sum of log10(c + 1) over the tokens."""
     if not docs.num_rows:
         return _OUT.empty_table()
-    key, value = known.column("key").to_numpy(), known.column("value").to_numpy()
-    ends = known.filter(pa.compute.is_valid(known.column("n_all")))
-    n_all, kinds = (ends.column(k)[0].as_py() if ends.num_rows else 0 for k in ("n_all", "kinds"))  # no ends, no training documents
-    raw = as_bytes(docs.column("text").combine_chunks())
-
-    order = np.argsort(key[key < 0])
-    names, logs = key[key < 0][order], np.log10(value[key < 0][order] + 1)
+    key = answers.column("key").to_numpy()
+    is_word = key < 0
+    names = key[is_word]
+    order = np.argsort(names)
+    names, logs = names[order], np.log10(answers.column("n").to_numpy()[is_word][order] + 1.0)
 
     def weight(asked: np.ndarray) -> np.ndarray:
         if not len(names):
@@ -238,30 +244,30 @@ def _scored(docs: pa.Table, known: pa.Table) -> pa.Table:
         at = np.minimum(np.searchsorted(names, asked), len(names) - 1)
         return np.where(names[at] == asked, logs[at], 0.0)
 
-    distinct: set[bytes] = set()
-    for text in raw:
-        distinct.update(text.lower().split())
-    weights = dict(zip(distinct, weight(np.fromiter(map(_name, distinct), np.int64, len(distinct))).tolist(), strict=True))
-    end, bottom = float(weight(np.array([_END_WORD]))[0]), math.log10(n_all + kinds + 1)
-    tokens, hits, base = [], [], []
-    for text in raw:
-        words = text.lower().split()
-        w = np.fromiter(map(weights.__getitem__, words), float, len(words))
-        tokens.append(len(words) + 1)
-        hits.append(int(np.count_nonzero(w)) + (end > 0))
-        base.append(float(w.sum()) + end - (len(words) + 1) * bottom)
-
-    strings, log = key[key >= 0].view(np.uint64), value[key >= 0]
+    strings = key[~is_word].view(np.uint64)
     table = Strings(len(strings) + PIECE)
     slots = table.slots(strings)
-    at = np.zeros(len(table.held))
-    at[slots] = log
-    scores = np.zeros(len(raw))
-    for i, j in _parts(raw):
-        codes, begins = grams(raw[i:j])
-        found = np.concatenate([at[table.slots(codes[x : x + PIECE])] for x in range(0, len(codes), PIECE)])
-        scores[i:j] = np.add.reduceat(found, begins)
-    return pa.Table.from_arrays([docs.column("doc_id"), docs.column("held_out"), pa.array(tokens, pa.int64()), pa.array(hits, pa.int64()), pa.array([n_all] * len(raw), pa.int64()), pa.array(base, pa.float64()), pa.array(scores)], schema=_OUT)
+    at = np.zeros(len(table.held), np.float32)
+    at[slots] = answers.column("log").to_numpy()[~is_word]
+    del key, is_word, strings, slots, order
+    end = float(weight(np.array([_END_WORD]))[0])
+    tokens, hits, known, scores = [], [], [], []
+    for (raw,) in _slices(docs.column("text").combine_chunks()):
+        distinct: set[bytes] = set()
+        for text in raw:
+            distinct.update(text.lower().split())
+        weights = dict(zip(distinct, weight((_names(distinct, len(distinct)) | _WORD).view(np.int64)).tolist(), strict=True))
+        for text in raw:
+            words = text.lower().split()
+            w = np.fromiter(map(weights.__getitem__, words), float, len(words))
+            tokens.append(len(words) + 1)
+            hits.append(int(np.count_nonzero(w)) + (end > 0))
+            known.append(float(w.sum()) + end)
+        for i, j in _parts(raw):
+            codes, begins = grams(raw[i:j])
+            found = np.concatenate([at[table.slots(codes[x : x + PIECE])] for x in range(0, len(codes), PIECE)])
+            scores.append(np.add.reduceat(found, begins, dtype=np.float64))
+    return pa.Table.from_arrays([docs.column("doc_id"), docs.column("held_out"), pa.array(tokens, pa.int64()), pa.array(hits, pa.int64()), pa.array(known, pa.float64()), pa.array(np.concatenate(scores))], schema=_OUT)
 
 
 def score_texts(docs: DataFrame) -> DataFrame:
@@ -282,7 +288,8 @@ def score_texts(docs: DataFrame) -> DataFrame:
     word = F.col("key") < 0
     totals = asked.agg(F.coalesce(F.sum(F.when(word, F.col("c"))), F.lit(0)).alias("N"), F.count(F.when(word & (F.col("n") > 0) & (F.col("bucket") == F.col("first")), 1)).alias("V"))
     both = totals.select(F.struct("N", "V").alias("both")).scalar()
-    end = F.col("key") == _END_WORD
-    answers = asked.join(logs.withColumnRenamed("s", "key"), "key", "left").filter("log is not null or n > 0")
-    answers = answers.select("bucket", "key", F.coalesce("log", F.col("n").cast("double")).alias("value"), F.when(end, both["N"]).alias("n_all"), F.when(end, both["V"]).alias("kinds"))
-    return dealt.groupBy("bucket").cogroup(answers.groupBy("bucket")).applyInArrow(_scored, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    answers = asked.join(logs.withColumnRenamed("s", "key"), "key", "left").filter("log is not null or n > 0").select("bucket", "key", "n", F.col("log").cast("float").alias("log"))
+    scored = dealt.groupBy("bucket").cogroup(answers.groupBy("bucket")).applyInArrow(_scored, "doc_id long, held_out boolean, n_tokens long, n_known long, known double, score double")
+    rows = scored.withColumn("both", both)
+    base = F.col("known") - F.col("n_tokens") * F.log10(F.col("both.N") + F.col("both.V") + 1)
+    return rows.select("doc_id", "held_out", "n_tokens", "n_known", F.col("both.N").alias("train_tokens"), base.alias("base_score"), "score")
