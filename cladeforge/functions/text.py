@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Words that keep their spelling when an all-capitals header is lowered.
-KEPT_WORDS = ["DNA", "RNA", "ATP", "ADP", "GTP", "GDP", "NAD", "NADP", "FAD", "FMN", "HIV", "NMR"]
+#: Words that keep their spelling when an all-capitals header is lowered. (A lone v stays lowered.)
+KEPT_WORDS = ["IV", "III", "II", "I", "T7", "ATPase", "ATP", "ADP", "GTP", "GDP", "NTP", "dNTP", "TFIIS", "groEL", "groES", "RNAse", "DNAse", "DNA", "ssDNA", "RNA", "rRNA", "mRNA", "tRNA", "dsRNA", "MHC", "T-cell"]
 
 
 def reject_flag(seq: Column) -> Column:
@@ -20,7 +20,7 @@ def clean_case(header: Column) -> Column:
     lowered = F.lower(header)
     for word in KEPT_WORDS:
         lowered = F.regexp_replace(lowered, rf"\b{word.lower()}\b", word)
-    return F.when(header.rlike("[a-z]"), header).otherwise(lowered)
+    return F.when(header.rlike(r"\p{Ll}"), header).otherwise(lowered)
 
 
 def parse_species(text: Column) -> Column:
@@ -37,13 +37,15 @@ def parse_species(text: Column) -> Column:
 
 
 def normalise_species(name: Column) -> Column:
-    """Genus and species with usual capitals; a virus keeps its whole name; `Genus (Old) species` loses the old genus."""
+    """Genus and species with usual capitals; a virus keeps its whole name, and `Genus (Old) species` all three words. Null for one word."""
     bare = F.trim(F.regexp_replace(name, r"\s+", " "))
-    without_old = F.regexp_replace(bare, r"^(\S+) \([^)]*\) (\S+)", "$1 $2")
-    parts = F.split(without_old, " ")
-    two = F.concat(F.initcap(F.get(parts, F.lit(0))), F.lit(" "), F.lower(F.get(parts, F.lit(1))))
-    capital = F.concat(F.upper(F.substring(bare, 1, 1)), F.lower(F.substr(bare, F.lit(2))))
-    return F.when(F.lower(bare).contains("virus"), capital).when(F.size(parts) >= 2, two)
+    parts = F.split(bare, " ")
+    word = lambda i: F.get(parts, F.lit(i))
+    capital = lambda x: F.concat(F.upper(F.substring(x, 1, 1)), F.lower(F.substr(x, F.lit(2))))
+    old = F.concat(capital(word(0)), F.lit(" ("), capital(F.substr(word(1), F.lit(2))), F.lit(" "), F.lower(word(2)))
+    renamed = word(1).startswith("(") & word(1).endswith(")") & (F.size(parts) > 2)
+    two = F.concat(capital(word(0)), F.lit(" "), F.lower(word(1)))
+    return F.when(F.size(parts) < 2, None).when(F.lower(bare).contains("virus"), capital(bare)).when(renamed, old).otherwise(two)
 
 
 def sccs_depth(a: Column, b: Column) -> Column:

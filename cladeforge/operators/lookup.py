@@ -101,33 +101,50 @@ def with_all_chains_flag(links: DataFrame, chains: DataFrame) -> DataFrame:
 
 
 def resolution_gate(chains: DataFrame, limit: float = 3.2) -> DataFrame:
-    """chains (method, resolution, title) with a reason against them, or null: low-res, nmr-model, unk-res."""
-    model = F.lower("title").rlike("|".join(MODEL_WORDS))
-    nmr = F.col("method").startswith("NMR")
-    reason = F.when(nmr, F.when(model, "nmr-model")).when(F.col("resolution").isNull(), "unk-res").when(F.col("resolution") >= limit, "low-res")
-    return chains.withColumn("reason", reason)
+    """chains (method, resolution, title) with a reason against them, or null: low-res (or no method), nmr-model, unk-res.
 
-
-#: How accessions of each database are written in comments.
-ACCESSIONS = {"pfam": r"\b(PF\d{5})\b", "pfamb": r"\b(PB\d{6})\b", "uniprot": r"\b(?:Uniprot|SwissProt|SP|TrEMBL)[: ]+([A-Z0-9]{6,10})\b", "pubmed": r"\b(?:PubMed|PMID)[: ]+(\d+)\b"}
+    A null resolution is 0, which stands for an unknown one; NMR without a resolution is judged by its title, a null title is a model's.
+    """
+    resolution = F.coalesce("resolution", F.lit(0.0))
+    model = F.col("title").isNull() | F.col("title").rlike("|".join(MODEL_WORDS))
+    unknown = F.when(F.col("method").startswith("NMR"), F.when(model, "nmr-model")).otherwise("unk-res")
+    return chains.withColumn("reason", F.when(F.col("method").isNull() | (resolution >= limit), "low-res").when(resolution == 0, unknown))
 
 
-def extract_xrefs(comments: DataFrame, pattern: str) -> DataFrame:
-    """node_id, accession found in comments (node_id, description), each once."""
-    found = F.regexp_extract_all(F.col("description"), F.lit(pattern), F.lit(1))
-    return comments.select("node_id", F.explode(found).alias("accession")).distinct()
+#: How accessions of each database are written in comments, and what is put before what is found.
+ACCESSIONS = {"pfam": ("Pfam ([0-9]{5})", "PF"), "pfamb": ("PfamB ([0-9]{6})", "PB"), "pubmed": ("PubMed ([0-9]+)", "")}
+UNIPROT_LINK = "http://www.uniprot.org/uniprot/"
+UNIPROT, UNIPROT_SHORT = "[OPQ][0-9][A-Z0-9]{3}[0-9]|[A-NR-Z][0-9](?:[A-Z][A-Z0-9]{2}[0-9]){1,2}", "[OPQ][0-9][A-Z0-9]{3}[0-9]|[A-NR-Z][0-9][A-Z][A-Z0-9]{2}[0-9]"
 
 
-def auto_comments(links: DataFrame, compounds: DataFrame, ligands: DataFrame) -> DataFrame:
-    """node_id, description: complexes with nucleic acid, sorted ligands without water, and mutants.
+def extract_xrefs(comments: DataFrame, db: str) -> DataFrame:
+    """node_id, accession of a database (pfam, pfamb, uniprot, pubmed) found in comments (node_id, description), each once.
 
-    links: node_id, entry_id; compounds: entry_id, kind (protein, dna, rna), is_mutant; ligands: entry_id, code.
+    UniProt: the texts of links to it, where a comment has such links; else `SQ ` and an accession of six characters.
     """
-    facts = compounds.groupBy("entry_id").agg(F.bool_or(F.col("kind") == "dna").alias("dna"), F.bool_or(F.col("kind") == "rna").alias("rna"), F.max("is_mutant").alias("mutant"))
-    bound = ligands.filter(F.lower("code") != "hoh").groupBy("entry_id").agg(F.array_join(F.array_sort(F.collect_set(F.lower("code"))), ", ").alias("codes"))
-    joined = links.select("node_id", "entry_id").distinct().join(facts, "entry_id", "left").join(bound, "entry_id", "left")
-    nucleic = F.when(F.col("dna") & F.col("rna"), "protein/DNA/RNA complex").when(F.col("dna"), "protein/DNA complex").when(F.col("rna"), "protein/RNA complex")
-    text = F.array_compact(F.array(nucleic, F.when(F.col("codes").isNotNull(), F.concat(F.lit("complexed with "), "codes")), F.when(F.col("mutant") == 1, "mutant")))
-    return joined.select("node_id", F.explode(text).alias("description")).distinct()
+    text = F.col("description")
+    if db == "uniprot":
+        linked = F.filter(F.regexp_extract_all(text, F.lit(UNIPROT_LINK.replace(".", r"\.") + "(?=[^>]*>([^<]*)<)"), F.lit(1)), lambda x: x.rlike(f"^(?:{UNIPROT})$"))
+        found = F.when(text.contains(UNIPROT_LINK), linked).otherwise(F.regexp_extract_all(text, F.lit(f"SQ ({UNIPROT_SHORT})"), F.lit(1)))
+    else:
+        pattern, head = ACCESSIONS[db]
+        found = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)), lambda x: F.concat(F.lit(head), x))
+    return comments.select("node_id", F.explode(found).alias("accession")).distinct()
+
 
+def auto_comments(links: DataFrame, compounds: DataFrame, headers: DataFrame, ligands: DataFrame) -> DataFrame:
+    """node_id, description of nodes with something to say, parts between `; `: protein/DNA complex and protein/RNA complex (if the headers
+    speak of a complex), sorted ligands without water, mutant (by compounds or title).
 
+    links: node_id, chain_id, release_id; compounds: chain_id, description; headers: release_id, title, class, keywords; ligands:
+    release_id, description.
+    """
+    mutant = F.coalesce(F.bool_or(F.lower("description").rlike("mutant|mutation")), F.lit(False))
+    of_node = links.join(compounds, "chain_id", "left").groupBy("node_id").agg(F.max("release_id").alias("release_id"), mutant.alias("mutant"))
+    bound = ligands.filter(F.lower("description") != "hoh").groupBy("release_id").agg(F.array_join(F.array_sort(F.collect_set(F.lower("description"))), ", ").alias("codes"))
+    rows = of_node.join(headers, "release_id", "left").join(bound, "release_id", "left")
+    text = F.concat_ws(" ; ", "title", "class", "keywords")
+    complexed = F.lower(text).contains("complex")
+    changed = F.col("mutant") | F.coalesce(F.lower("title").rlike("mutant|mutation"), F.lit(False))
+    parts = [F.when(complexed & text.contains("DNA"), "protein/DNA complex"), F.when(complexed & text.contains("RNA"), "protein/RNA complex"), F.when(F.col("codes").isNotNull(), F.concat(F.lit("complexed with "), "codes")), F.when(changed, "mutant")]
+    return rows.select("node_id", F.array_join(F.array_compact(F.array(*parts)), "; ").alias("description")).filter("description <> ''")

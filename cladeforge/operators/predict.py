@@ -30,8 +30,9 @@ def accept(hits: list[tuple], length: int, max_overlap: int = 10, fill: int = 50
     """Names and runs [start, end) of what is accepted on a chain, by start.
 
     hits: (is_model, log10e, total length, is_sequence_hit, name, runs). Ordered: models last, least E, longest, sequence hits
-    first, name. One that overlaps the accepted by at most the limit, or half of itself, joins without the overlap. Then holes
-    in an annotation shorter than `fill` close where nobody else is, and bare runs of at least `unmatched` are annotations.
+    first, name. One that overlaps the accepted by at most the limit, or half of itself, joins without the overlap. Then an
+    annotation's holes shorter than `fill` close, all or none: none if another one is in any of them. Bare runs of at least `unmatched` are
+    annotations.
     """
     taken: list[tuple[str, Runs]] = []
     for is_model, e, total, is_seq, name, runs in sorted(hits, key=lambda h: (h[0], h[1], -h[2], not h[3], h[4], h[5])):
@@ -40,15 +41,14 @@ def accept(hits: list[tuple], length: int, max_overlap: int = 10, fill: int = 50
             left = _minus(sorted(runs), every)
             if left:
                 taken.append((name, left))
-    for i, (name, runs) in enumerate(taken):
-        others = [r for j, (_, rs) in enumerate(taken) if j != i for r in rs]
+    filled: list[tuple[str, Runs]] = []
+    for i, (name, runs) in enumerate(taken):  # each as a whole or not at all, against the others as they were
         out = [runs[0]]
         for s, e in runs[1:]:
-            if s - out[-1][1] < fill and not _overlap([(out[-1][1], s)], others):
-                out[-1] = (out[-1][0], e)
-            else:
-                out.append((s, e))
-        taken[i] = (name, out)
+            out[-1:] = [(out[-1][0], e)] if s - out[-1][1] < fill else [out[-1], (s, e)]
+        free = not any(_overlap(out, rs) for j, (_, rs) in enumerate(taken) if j != i)
+        filled.append((name, out if free else runs))
+    taken = filled
     bare = _minus([(0, length)], [r for _, rs in taken for r in rs])
     taken += [("unmatched", [(s, e)]) for s, e in bare if e - s >= unmatched]
     return sorted(taken, key=lambda x: x[1])
@@ -59,7 +59,7 @@ def accept_annotations(hits: DataFrame, lengths: DataFrame, max_overlap: int = 1
 
     hits: chain_id, hit_id, name, is_model, is_sequence_hit, log10e, start, length (one row a region); lengths: chain_id,
     chain_length. The order decides, so a chain is one small group: sequence searches keep at most 5000 hits a chain, and
-    chains of one sequence should be given once. One whole-chain annotation has the suffix `_`.
+    chains of one sequence should be given once. One whole-chain annotation has the suffix `_`; 62 domains or more are an error.
     """
 
     h = F.struct("hit_id", "name", "is_model", "is_sequence_hit", "log10e", "start", "length")
@@ -74,9 +74,11 @@ def accept_annotations(hits: DataFrame, lengths: DataFrame, max_overlap: int = 1
                     groups.setdefault(x["hit_id"], (x, []))[1].append((x["start"], x["start"] + x["length"]))
                 sets = [(x["is_model"], x["log10e"], sum(e - s for s, e in runs), x["is_sequence_hit"], x["name"], sorted(runs)) for x, runs in groups.values()]
                 found = accept(sets, length, max_overlap, fill, unmatched)
+                if len(found) >= len(SUFFIXES):
+                    raise ValueError(f"chain {chain}: more domains than there are suffixes")
                 for i, (name, runs) in enumerate(found):
                     whole = len(found) == 1 and runs == [(0, length)]
-                    out += [(chain, i + 1, "_" if whole else SUFFIXES[i] if i < len(SUFFIXES) else None, name, s, e, j) for j, (s, e) in enumerate(runs)]
+                    out += [(chain, i + 1, "_" if whole else SUFFIXES[i], name, s, e, j) for j, (s, e) in enumerate(runs)]
             columns = zip(*out, strict=True) if out else [[]] * 7
             types = (pa.int64(), pa.int32(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int32())
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, types, strict=True)], ["chain_id", "number", "suffix", "name", "start", "end", "region"])
@@ -84,6 +86,37 @@ def accept_annotations(hits: DataFrame, lengths: DataFrame, max_overlap: int = 1
     return rows.mapInArrow(run, "chain_id long, number int, suffix string, name string, start long, end long, region int")
 
 
+def fill_gaps(regions: DataFrame, min_gap: int = 50) -> DataFrame:
+    """chain_id, id, start, end of annotations (one row a region, none overlapping) with their holes shorter than min_gap closed, all or none:
+    none if another annotation is in any of them. As nothing overlaps, that is where the chain's next region isn't the own next one."""
+    own, chain = Window.partitionBy("chain_id", "id").orderBy("start"), Window.partitionBy("chain_id").orderBy("start")
+    rows = regions.select("chain_id", "id", "start", "end").withColumn("next", F.lead("start").over(own)).withColumn("after", F.lead("start").over(chain)).withColumn("before", F.lag("end").over(own))
+    taken = (F.col("next") - F.col("end") < min_gap) & (F.col("after") < F.col("next"))
+    rows = rows.withColumn("taken", F.max(F.coalesce(taken, F.lit(False))).over(Window.partitionBy("chain_id", "id")))
+    opens = F.col("before").isNull() | (F.col("start") - F.col("before") >= min_gap) | F.col("taken")
+    rows = rows.withColumn("run", F.sum(opens.cast("int")).over(own))
+    return rows.groupBy("chain_id", "id", "run").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("run")
+
+
+def unmatched_regions(regions: DataFrame, lengths: DataFrame, min_length: int = 20) -> DataFrame:
+    """chain_id, start, end of bare runs of at least min_length. regions: chain_id, start, end; lengths: chain_id, chain_length."""
+    ends = lengths.select("chain_id", F.col("chain_length").alias("start"), F.col("chain_length").alias("end"))
+    every = regions.join(lengths.select("chain_id"), "chain_id", "left_semi").select("chain_id", "start", "end").union(ends)
+    before = Window.partitionBy("chain_id").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
+    rows = every.withColumn("free", F.coalesce(F.max("end").over(before), F.lit(0)))
+    return rows.filter(F.col("start") - F.col("free") >= min_length).select("chain_id", F.col("free").alias("start"), F.col("start").alias("end"))
+
+
+def number_domains(domains: DataFrame, prefix: str = "u") -> DataFrame:
+    """chain_id, id, sid of domains (chain_id, sid of the chain, id, start, is_whole) numbered by start: 1 to 9, a to z, A to Z; `_` for one that is the
+    whole chain. 62 or more on a chain are an error."""
+    own = Window.partitionBy("chain_id")
+    rows = domains.withColumn("n", F.count("*").over(own)).withColumn("number", F.row_number().over(own.orderBy("start", "id")))
+    suffix = F.when((F.col("n") == 1) & F.col("is_whole"), "_").otherwise(F.substr(F.lit(SUFFIXES), F.col("number"), F.lit(1)))
+    checked = F.when(F.col("n") >= len(SUFFIXES), F.raise_error(F.concat(F.lit("more domains than there are suffixes: chain "), "chain_id"))).otherwise(suffix)
+    return rows.select("chain_id", "id", F.concat(F.lit(prefix), "sid", checked).alias("sid"))
+
+
 def extend_to_ends(regions: DataFrame, observed: DataFrame, limit: int) -> DataFrame:
     """regions (chain_id, id, start, end) grown to the ends of the observed runs they end in, by at most a limit and not into others.
 

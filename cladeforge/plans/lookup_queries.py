@@ -103,18 +103,18 @@ def p9b(t: Tables) -> DataFrame:
     return lookup.with_all_chains_flag(t.sql(LINKS), t.sql(SUPPLIERS))
 
 
-GATED = "select p_partkey as id, case when p_size % 9 = 0 then 'NMR' else 'X-RAY' end as method, case when p_size % 7 = 0 then null else cast(p_size as double) / 10 end as resolution, case when p_partkey % 5 = 0 then 'Model of ' else '' end || p_type as title from {part}"
+GATED = "select p_partkey as id, case when p_size % 9 = 0 then 'NMR' when p_size % 9 = 1 then null else 'X-RAY' end as method, case when p_partkey % 7 = 0 then null when p_partkey % 7 < 3 then 0.0 else cast(p_size as double) / 10 end as resolution, case when p_partkey % 11 = 0 then null when p_partkey % 5 = 0 then 'a model of ' || p_type else p_type end as title from {part}"
 
 
-@query("p10_resolution_gate", f"select id, case when method = 'NMR' then case when regexp_matches(lower(title), 'model|backbone|predict|based on') then 'nmr-model' end when resolution is null then 'unk-res' when resolution >= 3.2 then 'low-res' end as reason from ({GATED})")
+@query("p10_resolution_gate", f"select id, case when method is null or resolution >= 3.2 then 'low-res' when coalesce(resolution, 0) > 0 then null when method <> 'NMR' then 'unk-res' when title is null or contains(title, 'model') then 'nmr-model' end as reason from ({GATED})")
 def p10(t: Tables) -> DataFrame:
     return lookup.resolution_gate(t.sql(GATED)).select("id", "reason")
 
 
-HEADERS = "select p_partkey as id, case when p_partkey % 2 = 0 then upper(p_type) || ' DNA AND ATP' else p_type end as header from {part}"
+HEADERS = "select p_partkey as id, case when p_partkey % 3 = 0 then upper(p_type) || ' DNA AND ATPASE' when p_partkey % 3 = 1 then 'RIBOSOMAL T7 RNA II, MHC T-CELL ' || upper(p_type) else 'Mixed DNA ' || p_type end as header from {part}"
 
 
-@query("p11_clean_case", f"select id, case when regexp_matches(header, '[a-z]') then header else replace(replace(lower(header), ' dna ', ' DNA '), ' atp', ' ATP') end as header from ({HEADERS})")
+@query("p11_clean_case", "select p_partkey as id, case when p_partkey % 3 = 0 then lower(p_type) || ' DNA and ATPase' when p_partkey % 3 = 1 then 'ribosomal T7 RNA II, MHC T-cell ' || lower(p_type) else 'Mixed DNA ' || p_type end as header from part")
 def p11(t: Tables) -> DataFrame:
     return t.sql(HEADERS).select("id", text.clean_case(F.col("header")).alias("header"))
 
@@ -133,35 +133,39 @@ def p12(t: Tables) -> DataFrame:
 @query(
     "p13_normalise_species",
     """with x as (select c_custkey as id, c_custkey % 4 as k, lower(c_mktsegment) as w, c_mktsegment as m from {customer})
- select id, case k when 0 then null when 1 then upper(substr(w, 1, 1)) || substr(w, 2) || ' alba' when 2 then upper(substr(w, 1, 1)) || substr(w, 2) || ' virus x' else upper(substr(w, 1, 1)) || substr(w, 2) || ' nova' end as name from x""",
+ select id, case k when 0 then null when 1 then upper(substr(w, 1, 1)) || substr(w, 2) || ' alba' when 2 then upper(substr(w, 1, 1)) || substr(w, 2) || ' virus x' else upper(substr(w, 1, 1)) || substr(w, 2) || ' (Old) nova' end as name from x""",
 )
 def p13(t: Tables) -> DataFrame:
-    given = t.sql("select c_custkey as id, case c_custkey % 4 when 0 then c_mktsegment when 1 then c_mktsegment || ' ALBA third' when 2 then c_mktsegment || ' VIRUS x' else lower(c_mktsegment) || ' (Old) Nova' end as name from {customer}")
+    given = t.sql("select c_custkey as id, case c_custkey % 4 when 0 then c_mktsegment when 1 then c_mktsegment || ' ALBA third' when 2 then c_mktsegment || ' VIRUS x' else lower(c_mktsegment) || ' (OLD) Nova sp.' end as name from {customer}")
     return given.select("id", text.normalise_species(F.col("name")).alias("name"))
 
 
-COMMENTS = "select doc_id as node_id, text || ' PF' || lpad(cast(doc_id % 100 as string), 5, '0') || ', PF00001; PubMed: ' || cast(doc_id as string) as description from {documents}"
+COMMENTS = "select doc_id as node_id, text || ' Pfam ' || lpad(cast(doc_id % 100 as string), 5, '0') || ', Pfam 00001 and Pfam 12; PfamB 0' || cast(10000 + doc_id % 9 as string) || ' PubMed ' || cast(doc_id as string) || case when doc_id % 3 = 0 then ' <a href=http://www.uniprot.org/uniprot/P1>P1234' || cast(doc_id % 10 as string) || '</a> SQ P00001' when doc_id % 3 = 1 then ' SQ Q9XYZ' || cast(doc_id % 10 as string) || ', SQ q12345' else '' end as description from {documents}"
 
 
-@query("p14_extract_xrefs", f"with c as ({COMMENTS}) select distinct node_id, 'pfam' as db, unnest(regexp_extract_all(description, '\\b(PF[0-9]{{5}})\\b', 1)) as accession from c union all select distinct node_id, 'pubmed', unnest(regexp_extract_all(description, '\\b(?:PubMed|PMID)[: ]+([0-9]+)\\b', 1)) from c")
+@query(
+    "p14_extract_xrefs",
+    f"""with c as ({COMMENTS}) select distinct node_id, 'pfam' as db, 'PF' || unnest(regexp_extract_all(description, 'Pfam ([0-9]{{5}})', 1)) as accession from c union all select distinct node_id, 'pfamb', 'PB' || unnest(regexp_extract_all(description, 'PfamB ([0-9]{{6}})', 1)) from c
+ union all select distinct node_id, 'pubmed', unnest(regexp_extract_all(description, 'PubMed ([0-9]+)', 1)) from c union all select distinct node_id, 'uniprot', 'P1234' || node_id % 10 from c where node_id % 3 = 0 union all select distinct node_id, 'uniprot', 'Q9XYZ' || node_id % 10 from c where node_id % 3 = 1""",
+)
 def p14(t: Tables) -> DataFrame:
     comments = t.sql(COMMENTS)
-    parts = [lookup.extract_xrefs(comments, lookup.ACCESSIONS[db]).select("node_id", F.lit(db).alias("db"), "accession") for db in ("pfam", "pubmed")]
-    return parts[0].union(parts[1])
+    parts = [lookup.extract_xrefs(comments, db).select("node_id", F.lit(db).alias("db"), "accession") for db in ("pfam", "pfamb", "pubmed", "uniprot")]
+    return parts[0].union(parts[1]).union(parts[2]).union(parts[3])
 
 
-NODE_ENTRIES = "select o_orderkey as node_id, o_custkey as entry_id from {orders}"
-COMPOUNDS = "select c_custkey as entry_id, case c_nationkey % 3 when 0 then 'dna' when 1 then 'rna' else 'protein' end as kind, case when c_custkey % 6 = 0 then 1 else 0 end as is_mutant from {customer}"
-LIGANDS = "select o_custkey as entry_id, case when o_orderpriority like '1%' then 'HOH' else substr(o_orderpriority, 3) end as code from {orders}"
+CHAIN_LINKS = "select l_orderkey as node_id, l_suppkey as chain_id, o_custkey as release_id from {lineitem} join {orders} on l_orderkey = o_orderkey"
+COMPOUNDS = "select s_suppkey as chain_id, case when s_suppkey % 17 = 0 then 'Mutant of ' || s_name else s_name end as description from {supplier}"
+TITLES = "select c_custkey as release_id, case when c_custkey % 7 = 0 then 'A Mutation in ' || c_mktsegment else c_mktsegment end as title, case c_nationkey % 4 when 0 then 'DNA Complex' when 1 then 'complex of RNA and DNA' when 2 then 'RNA' end as class, cast(null as string) as keywords from {customer}"
+LIGANDS = "select o_custkey as release_id, case when o_orderpriority like '1%' then 'HOH' else substr(o_orderpriority, 3) end as description from {orders} where o_custkey % 3 > 0"
 
 
 @query(
     "p15_auto_comments",
-    f"""with l as (select distinct * from ({NODE_ENTRIES})), f as (select entry_id, bool_or(kind = 'dna') as dna, bool_or(kind = 'rna') as rna, max(is_mutant) as mutant from ({COMPOUNDS}) group by entry_id),
- b as (select entry_id, array_to_string(list_sort(list_distinct(list(lower(code)))), ', ') as codes from ({LIGANDS}) where lower(code) <> 'hoh' group by entry_id),
- j as (select * from l left join f using (entry_id) left join b using (entry_id))
- select node_id, case when dna and rna then 'protein/DNA/RNA complex' when dna then 'protein/DNA complex' else 'protein/RNA complex' end as description from j where dna or rna
- union select node_id, 'complexed with ' || codes from j where codes is not null union select node_id, 'mutant' from j where mutant = 1""",
+    f"""with l as ({CHAIN_LINKS}), n as (select node_id, max(release_id) as release_id, bool_or(chain_id % 17 = 0) as mutant from l group by 1),
+ b as (select release_id, array_to_string(list_sort(list_distinct(list(lower(description)))), ', ') as codes from ({LIGANDS}) where description <> 'HOH' group by 1),
+ j as (select node_id, array_to_string(list_filter([case when c_nationkey % 4 < 2 then 'protein/DNA complex' end, case when c_nationkey % 4 = 1 then 'protein/RNA complex' end, 'complexed with ' || codes, case when mutant or release_id % 7 = 0 then 'mutant' end], lambda x: x is not null), '; ') as description
+  from n join customer on c_custkey = release_id left join b using (release_id)) select * from j where description <> ''""",
 )
 def p15(t: Tables) -> DataFrame:
-    return lookup.auto_comments(t.sql(NODE_ENTRIES), t.sql(COMPOUNDS), t.sql(LIGANDS))
+    return lookup.auto_comments(t.sql(CHAIN_LINKS), t.sql(COMPOUNDS), t.sql(TITLES), t.sql(LIGANDS))

@@ -18,6 +18,45 @@ def n1(t: Tables) -> DataFrame:
     return predict.accept_annotations(t.sql(HITS), t.sql("select o_orderkey as chain_id, 150 as chain_length from {orders}"))
 
 
+PIECES = f"select o as chain_id, supp % 3 as id, n * 40 as start, n * 40 + cast(qty as bigint) % 30 + 5 as end from ({LINES}) x"
+PIECES_SQL = PIECES.replace(" as end from", ' as "end" from')
+
+
+@query(
+    "n2_fill_gaps",
+    f"""with r as ({PIECES_SQL}), g as (select *, lead(start) over (partition by chain_id, id order by start) as nxt, lag("end") over (partition by chain_id, id order by start) as prv from r),
+ bad as (select distinct g.chain_id, g.id from g join r on r.chain_id = g.chain_id and r.id <> g.id and r.start < g.nxt and r."end" > g."end" where g.nxt - g."end" < 50),
+ k as (select g.*, sum(case when prv is null or start - prv >= 50 or bad.id is not null then 1 else 0 end) over (partition by g.chain_id, g.id order by start) as run from g left join bad on bad.chain_id = g.chain_id and bad.id = g.id)
+ select chain_id, id, min(start) as start, max("end") as "end" from k group by chain_id, id, run""",
+)
+def n2(t: Tables) -> DataFrame:
+    return predict.fill_gaps(t.sql(PIECES))
+
+
+CHAIN_SIZES = "select o_orderkey as chain_id, 330 as chain_length from {orders}"
+
+
+@query(
+    "n3_unmatched_regions",
+    f"""with r as ({PIECES_SQL}), e as (select chain_id, start, "end" from r union all select o_orderkey, 330, 330 from {{orders}}), f as (select *, coalesce(max("end") over (partition by chain_id order by start, "end" rows between unbounded preceding and 1 preceding), 0) as free from e)
+ select chain_id, free as start, start as "end" from f where start - free >= 20""",
+)
+def n3(t: Tables) -> DataFrame:
+    return predict.unmatched_regions(t.sql(PIECES), t.sql(CHAIN_SIZES))
+
+
+NUMBERED = f"select o as chain_id, 'e' || cast(o as string) || 'a' as sid, o * 10 + n as id, supp as start, part % 2 = 0 as is_whole from ({LINES}) x"
+
+
+@query(
+    "n4_number_domains",
+    f"""with d as ({NUMBERED}), k as (select *, count(*) over (partition by chain_id) as c, row_number() over (partition by chain_id order by start, id) as r from d)
+ select chain_id, id, 'u' || sid || case when c = 1 and is_whole then '_' else substr('{predict.SUFFIXES}', r, 1) end as sid from k""",
+)
+def n4(t: Tables) -> DataFrame:
+    return predict.number_domains(t.sql(NUMBERED))
+
+
 REGIONS = "select doc_id as chain_id, doc_id * 2 as id, doc_id % 40 as start, doc_id % 40 + 50 as end from {documents} union all select doc_id, doc_id * 2 + 1, doc_id % 40 + 60, doc_id % 40 + 90 from {documents}"
 
 

@@ -167,8 +167,65 @@ def test_loops_run_until_nothing_is_left(spark, monkeypatch):
     assert sorted(r["sid"] for r in tree.automatch_closure(matches, spark.createDataFrame([("s0",)], "sid string")).collect()) == [f"s{i}" for i in range(1, 7)]
 
 
-def test_every_query_has_sql_but_three():
-    assert set(QUERIES) - set(ORACLES) == {"c7_length_consistency", "n1_accept_annotations", "n7_predict_domains"}
+def test_resolution_gate(spark):
+    given = [("X-RAY", 3.2, "t", "low-res"), ("X-RAY", 3.1, "t", None), (None, 1.0, "t", "low-res"), ("X-RAY", 0.0, "t", "unk-res"), ("X-RAY", None, "t", "unk-res"), ("NMR", None, None, "nmr-model"), ("NMR, 10 structures", 0.0, "based on another", "nmr-model"), ("NMR", 0.0, "Model", None), ("NMR", 3.5, "t", "low-res"), ("NMR", 2.0, "a model", None)]
+    got = lookup.resolution_gate(spark.createDataFrame(given, "method string, resolution double, title string, want string"))
+    assert not got.filter("not (reason <=> want)").count()
+
+
+def test_texts(spark):
+    from cladeforge.functions import text
+
+    headers = {"RIBOSOMAL T7 RNA": "ribosomal T7 RNA", "F1-ATPASE II": "f1-ATPase II", "TYPE V DNASE, SSDNA": "type v DNAse, ssDNA", "T-CELL MHC I": "T-cell MHC I", "GROEL/GROES": "groEL/groES", "HIV NMR FAD": "hiv nmr fad", "Kept DNA as It IS": "Kept DNA as It IS"}
+    df = spark.createDataFrame(list(headers.items()), "given string, want string")
+    assert not df.filter(text.clean_case(F.col("given")) != F.col("want")).count()
+    species = {"ESCHERICHIA COLI K12": "Escherichia coli", "Genus (OLD) Species x": "Genus (Old) species", "hepatitis B VIRUS": "Hepatitis b virus", "Homo": None, "Genus (Old)": "Genus (old)"}
+    df = spark.createDataFrame(list(species.items()), "given string, want string")
+    assert not df.filter(~text.normalise_species(F.col("given")).eqNullSafe(F.col("want"))).count()
+
+
+def test_xrefs(spark):
+    said = "Pfam 00042; Pfam 1234; PfamB 123456; PubMed 77, PF00001 PMID: 5"
+    link = "<a href=http://www.uniprot.org/uniprot/P1>P12345</a> and http://www.uniprot.org/uniprot/x>nothing</a> SQ Q99999"
+    df = spark.createDataFrame([(1, said), (1, said), (2, link), (3, "SQ P12345, SQ p12345 SQ A0B1C2D3"), (4, None)], "node_id long, description string")
+    found = {db: rows(lookup.extract_xrefs(df, db), "node_id", "accession") for db in ("pfam", "pfamb", "pubmed", "uniprot")}
+    assert found == {"pfam": [(1, "PF00042")], "pfamb": [(1, "PB123456")], "pubmed": [(1, "77")], "uniprot": [(2, "P12345"), (3, "A0B1C2"), (3, "P12345")]}
+
+
+def test_auto_comments(spark):
+    links = spark.createDataFrame([(1, 10, 5), (1, 11, 5), (2, 12, 6), (3, 13, 7)], "node_id long, chain_id long, release_id long")
+    compounds = spark.createDataFrame([(11, "D5A MUTANT")], "chain_id long, description string")
+    headers = spark.createDataFrame([(5, "a complex", "DNA", "RNA binding"), (6, "DNA alone", None, None), (7, "mutation", None, None)], "release_id long, title string, class string, keywords string")
+    ligands = spark.createDataFrame([(5, "ZN"), (5, "hem"), (5, "HOH"), (6, "HOH")], "release_id long, description string")
+    assert rows(lookup.auto_comments(links, compounds, headers, ligands), "node_id") == [(1, "protein/DNA complex; protein/RNA complex; complexed with hem, zn; mutant"), (3, "mutant")]
+
+
+def test_gaps_close_all_or_none(spark):
+    a, b = (0, -9.0, 50, True, "a", [(0, 20), (30, 40), (60, 80)]), (0, -5.0, 10, True, "b", [(45, 55)])
+    assert predict.accept([a, b], 80, unmatched=99) == [("a", [(0, 20), (30, 40), (60, 80)]), ("b", [(45, 55)])]
+    assert predict.accept([a], 80, unmatched=99) == [("a", [(0, 80)])]
+    pieces = spark.createDataFrame([(1, "a", s, e) for s, e in a[5]] + [(1, "b", 45, 55)] + [(2, "a", s, e) for s, e in a[5]] + [(2, "b", 90, 99), (3, "c", 0, 9), (3, "c", 59, 70)], "chain_id long, id string, start long, end long")
+    assert rows(predict.fill_gaps(pieces), "chain_id", "start") == [(1, "a", 0, 20), (1, "a", 30, 40), (1, "b", 45, 55), (1, "a", 60, 80), (2, "a", 0, 80), (2, "b", 90, 99), (3, "c", 0, 9), (3, "c", 59, 70)]
+    lengths = spark.createDataFrame([(1, 100), (2, 100), (4, 20), (5, 19)], "chain_id long, chain_length long")
+    assert rows(predict.unmatched_regions(pieces, lengths), "chain_id", "start") == [(1, 80, 100), (4, 0, 20)]
+
+
+def test_suffixes_run_out(spark):
+    domains = lambda n: spark.createDataFrame([(1, "1abcA", i, i, False) for i in range(n)], "chain_id long, sid string, id long, start long, is_whole boolean")
+    sids = [r["sid"] for r in predict.number_domains(domains(61)).orderBy("id").collect()]
+    assert sids[0] == "u1abcA1" and sids[9] == "u1abcAa" and sids[60] == "u1abcAZ"
+    with pytest.raises(Exception, match="suffixes"):
+        predict.number_domains(domains(62)).collect()
+
+
+def test_identifier_forms(spark):
+    nodes = spark.createDataFrame([(1, 77, "d1UX8A_", "A.1.1.1", 8), (2, 0, None, "a.1", 3)], "id long, sunid long, sid string, sccs string, level_id int")
+    xrefs = spark.createDataFrame([(1, "code", "1UX8", None), (1, "chain", "1UX8", "a"), (1, "taxid", "9606", None), (1, "taxid", "0", None), (1, "gene", "HBA1", None), (1, "pfam", "PF00042", None)], "id long, kind string, value string, chain string")
+    from cladeforge.operators import search
+
+    got = {r["term"]: r["weight"] for r in search.identifier_tokens(nodes, xrefs).filter("id = 1").collect()}
+    assert got == dict.fromkeys(("77", "sunid:77", "sunid=77", "d1ux8a_", "sid:d1ux8a_", "sid=d1ux8a_"), 1000) | {"a.1.1.1": 350, "sccs:a.1.1.1": 950, "sccs=a.1.1.1": 950, "1ux8": 900, "pdb:1ux8": 900, "1ux8a": 850, "pdb:1ux8a": 850, "9606": 800, "taxid:9606": 800, "taxid=9606": 800, "HBA1": 700, "gene:HBA1": 700, "PF00042": 750, "pfam:PF00042": 750}
+    assert search.identifier_tokens(nodes, xrefs).filter("id = 2 and source = 'sunid'").count() == 0
 
 
 def test_entry_points(spark):
