@@ -9,7 +9,7 @@ from cladeforge.operators import tree
 from cladeforge.plans.registry import Tables, query
 from cladeforge.plans.shapes import NODES, SCORES, WITH_CLOSED
 
-PAIRS = "select 8000000000 + o_orderkey * 10 + 1 as a, 8000000000 + (o_orderkey * 7 % 1000 + 1) * 10 + 1 as b from {orders} where o_orderkey % 2 = 0"
+PAIRS = "select 8000000000 + o_orderkey * 10 + 1 as a, 8000000000 + (o_orderkey * 7 % 1000 + 1) * 10 + 1 as b from {orders}"
 
 
 @query("h0_closure", WITH_CLOSED + "select node_id, ancestor_id, ancestor_level, depth from closed")
