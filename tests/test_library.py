@@ -207,7 +207,7 @@ def test_gaps_close_all_or_none(spark):
     pieces = spark.createDataFrame([(1, "a", s, e) for s, e in a[5]] + [(1, "b", 45, 55)] + [(2, "a", s, e) for s, e in a[5]] + [(2, "b", 90, 99), (3, "c", 0, 9), (3, "c", 59, 70)], "chain_id long, id string, start long, end long")
     assert rows(predict.fill_gaps(pieces), "chain_id", "start") == [(1, "a", 0, 20), (1, "a", 30, 40), (1, "b", 45, 55), (1, "a", 60, 80), (2, "a", 0, 80), (2, "b", 90, 99), (3, "c", 0, 9), (3, "c", 59, 70)]
     lengths = spark.createDataFrame([(1, 100), (2, 100), (4, 20), (5, 19)], "chain_id long, chain_length long")
-    assert rows(predict.unmatched_regions(pieces, lengths), "chain_id", "start") == [(1, 80, 100), (4, 0, 20)]
+    assert rows(predict.unmatched_regions(pieces, lengths), "chain_id", "start") == [(1, 80, 100), (2, 40, 60), (4, 0, 20)]
 
 
 def test_suffixes_run_out(spark):
