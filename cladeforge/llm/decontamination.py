@@ -154,7 +154,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """docs without the rows that hold a window of the benchmark."""
+    """docs without the rows that hold a window of the benchmark. Null texts hold none, equal rows stay or go together, other columns are kept."""
     bad = _scored(docs, benchmark).filter("contaminated").select("rid").distinct()
     rid = F.xxhash64(F.col("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")))
     return docs.select(F.struct("*").alias("row"), rid.alias("rid")).join(bad, "rid", "left_anti").select("row.*")

@@ -148,7 +148,7 @@ def _scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """docs without the rows predicted 0."""
+    """docs without the rows predicted 0. Null texts are judged as empty ones, equal rows stay or go together, other columns are kept."""
     bad = _scored(docs, labels).filter("predicted = 0").select("rid").distinct()
     rid = F.xxhash64(F.col("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")))
     return docs.select(F.struct("*").alias("row"), rid.alias("rid")).join(bad, "rid", "left_anti").select("row.*")

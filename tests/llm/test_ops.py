@@ -584,3 +584,16 @@ def test_chat(spark):
     text = {(r["conv_id"], r["perspective"]): r["rendered"] for r in chat.dialogues(df).collect()}
     assert text[1, "bob"].count("<|im_end|>") == 4 and "< |im_end|>" in text[1, "bob"]
     assert chat.rotate_perspectives(df.limit(0)).count() == 0
+
+
+def test_stages_on_empty_tables_and_nulls(spark, docs, empty, tmp_path):
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    items = spark.createDataFrame([(1, words(17, 2)), (2, None)], "item_id long, text string")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    items.write.parquet(f"{tmp_path}/benchmark.parquet")
+    for rows in (empty, docs):
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, rows, str(tmp_path))
+            n = out.count()
+            assert name == "packing" or out.columns == docs.columns
+            assert n == 0 if rows is empty else n > 0 or name == "quality_classifier"  # its labels say nothing
