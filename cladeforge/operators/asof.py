@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -31,12 +31,18 @@ def asof_date(releases: DataFrame, date: str) -> DataFrame:
 def asof_with_tolerance(requests: DataFrame, releases: DataFrame, days: int = 7) -> DataFrame:
     """request_id and the release that was valid on its date: the newest before, else the first within some days after.
 
-    requests: request_id, entry_id, date.
+    requests: request_id, entry_id, date; of releases of one day the largest id counts. Requests and releases of an entry are
+    sorted together, so that each request looks at one release and not at all. Where none is before, the next one after is the
+    entry's first.
     """
-    near = requests.join(releases.select("entry_id", F.col("id").alias("release_id"), "revision_date"), "entry_id").filter(F.col("revision_date") <= F.date_add("date", days))
-    before = F.col("revision_date") <= F.col("date")
-    distance = F.abs(F.datediff("date", "revision_date"))
-    return near.groupBy("request_id").agg(F.min_by("release_id", F.struct(F.when(before, 0).otherwise(1), distance, -F.col("release_id"))).alias("release_id"))
+    days_of = releases.groupBy("entry_id", F.col("revision_date").alias("date")).agg(F.max("id").alias("release_id"))
+    first = days_of.groupBy("entry_id").agg(F.min(F.struct("date", "release_id")).alias("first"))
+    asked = requests.select("entry_id", "date", F.lit(None).cast(releases.schema["id"].dataType).alias("release_id"), "request_id", F.lit(1).alias("kind"))
+    held = days_of.select("entry_id", "date", "release_id", F.lit(None).cast(requests.schema["request_id"].dataType).alias("request_id"), F.lit(0).alias("kind"))
+    so_far = Window.partitionBy("entry_id").orderBy("date", "kind").rowsBetween(Window.unboundedPreceding, 0)
+    met = asked.union(held).withColumn("before", F.last("release_id", ignorenulls=True).over(so_far)).filter("kind = 1").join(first, "entry_id", "left")
+    after = F.when(F.col("first.date") <= F.date_add("date", days), F.col("first.release_id"))
+    return met.select("request_id", F.coalesce("before", after).alias("release_id")).filter("release_id is not null")
 
 
 def raf_at(raf: DataFrame, release_id: int | None) -> DataFrame:
@@ -158,14 +164,19 @@ def snapshot_diff(old: DataFrame, new: DataFrame) -> DataFrame:
     return both.select("entry", state.alias("state"))
 
 
+#: Positions that are joined together.
+SPAN = 64
+
+
 def variant_to_structure(variants: DataFrame, alignments: DataFrame, residues: DataFrame, quality: DataFrame) -> DataFrame:
     """Per variant the best structure whose aligned range covers its position, with the residue there.
 
     variants: variant_id, accession, position; alignments: accession, chain_id, db_start, db_end, chain_start;
     residues: chain_id, idx, res_id, observed; quality: chain_id, score. Best: observed, then score, then chain.
-    The accession carries the join; the range is checked on its rows.
+    The accession and the stretch of SPAN positions carry the join, so that a variant only meets ranges nearby.
     """
-    inside = variants.join(alignments, "accession").filter("position between db_start and db_end")
+    ranged = alignments.filter("db_start <= db_end").withColumn("stretch", F.explode(F.sequence(F.floor(F.col("db_start") / SPAN), F.floor(F.col("db_end") / SPAN))))
+    inside = variants.withColumn("stretch", F.floor(F.col("position") / SPAN)).join(ranged, ["accession", "stretch"]).filter("position between db_start and db_end")
     placed = inside.withColumn("idx", F.expr("chain_start + position - db_start")).join(residues, ["chain_id", "idx"]).join(quality, "chain_id", "left")
     order = F.struct(F.col("observed").cast("int"), F.coalesce("score", F.lit(0.0)), -F.col("chain_id"))
     return placed.groupBy("variant_id").agg(F.max_by(F.struct("chain_id", "res_id", "observed"), order).alias("best")).select("variant_id", "best.*")

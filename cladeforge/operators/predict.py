@@ -260,9 +260,10 @@ def assign_parents(p: DataFrame, genes: DataFrame, species: DataFrame, same_fami
     family = F.coalesce(F.col("pct") >= same_family, F.lit(False)) | F.coalesce((F.col("f0") == F.col("family_id")) & (F.col("f1") == F.col("family_id")), F.lit(False))
     protein = family & (F.coalesce(F.col("pct") >= same_protein, F.lit(False)) | F.coalesce("has_gene", F.lit(False)))
     rows = rows.select("id", "taxid", normalise_species(F.col("species")).alias("name"), F.when(family, F.col("family_id")).alias("family_id"), F.when(protein, F.col("protein_id")).alias("protein_id"))
-    known = species.select("protein_id", "species_id", F.col("scientific_name").alias("s_name"), F.col("taxid").alias("s_taxid"))
-    met = rows.join(known, "protein_id").filter((F.col("name") == F.col("s_name")) | (F.col("taxid") == F.col("s_taxid"))).groupBy("id").agg(F.min("species_id").alias("species_id"))
-    return rows.join(met, "id", "left").select("id", "family_id", "protein_id", "species_id", F.col("name").isNotNull().alias("has_species"))
+    for name, column in (("name", "scientific_name"), ("taxid", "taxid")):
+        least = species.filter(F.col(column).isNotNull()).groupBy("protein_id", F.col(column).alias(name)).agg(F.min("species_id").alias(f"by_{name}"))
+        rows = rows.join(least, ["protein_id", name], "left")
+    return rows.select("id", "family_id", "protein_id", F.least("by_name", "by_taxid").alias("species_id"), F.col("name").isNotNull().alias("has_species"))
 
 
 def find_tags(chains: DataFrame, annotated: DataFrame, known: DataFrame, references: DataFrame, min_len: int = 5) -> DataFrame:

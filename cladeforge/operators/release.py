@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -108,20 +110,24 @@ def stable_domain_ids(old: DataFrame, new: DataFrame, carried: DataFrame) -> Dat
     return known.union(numbered(fresh, ["unseen", "sid", "id"], "sunid", top + 1).select("id", F.col("sunid").cast("long")))
 
 
-def stable_clade_ids(old: DataFrame, new: DataFrame, levels: tuple[int, ...] = (2, 3, 4, 5, 6, 7)) -> DataFrame:
-    """id, sunid of new nodes above domains: level by level, one with the text of an old node under the parent of that sunid keeps
-    its sunid; others get numbers on, by id. old, new: id, sunid (old only), description, level_id, parent_node_id, root at level 1."""
-    top = old.agg(F.max("sunid").alias("top")).first()["top"]  # one number
+def stable_clade_ids(old: DataFrame, new: DataFrame, history: DataFrame, levels: tuple[int, ...] = (2, 3, 4, 5, 6, 7)) -> DataFrame:
+    """id, sunid of new nodes above domains, level by level: split or moved ones (history: new_node_id, change_type 5 or 6) get numbers on; one
+    with the text of an old node under the parent of that sunid keeps its sunid; one that has a sunid (above 0) keeps that; others get
+    numbers on, by id. old, new: id, sunid, description, level_id, parent_node_id, root at level 1. Of siblings with one text, the first counts."""
+    top = old.select("sunid").union(new.select("sunid")).agg(F.max("sunid").alias("top")).first()["top"]  # one number
     parents = old.select(F.col("id").alias("parent_node_id"), F.col("sunid").alias("parent_sunid"))
-    earlier = old.join(parents, "parent_node_id").groupBy("level_id", "parent_sunid", "description").agg(F.min("sunid").alias("sunid"))
+    earlier = old.join(parents, "parent_node_id").groupBy("level_id", "parent_sunid", "description").agg(F.min("sunid").alias("same_text"))
+    remade = history.filter("change_type in (5, 6)").select(F.col("new_node_id").alias("id"), F.lit(True).alias("remade")).distinct()
     done = new.filter("level_id = 1").select("id", F.lit(0).cast("long").alias("sunid"))
     above = done
     for level in levels:
-        own = new.filter(F.col("level_id") == level).join(above.toDF("parent_node_id", "parent_sunid"), "parent_node_id")
-        met = own.join(earlier, ["level_id", "parent_sunid", "description"], "left").select("id", "parent_sunid", "description", "sunid")
-        first = F.row_number().over(Window.partitionBy("parent_sunid", "description").orderBy("id"))  # of siblings with one text, the first keeps
-        met = kept(met.withColumn("sunid", F.when(first == 1, F.col("sunid"))))
-        fresh = numbered(met.filter("sunid is null").select("id"), ["id"], "sunid", top + 1).select("id", F.col("sunid").cast("long"))
+        own = new.filter(F.col("level_id") == level).select("id", "level_id", "parent_node_id", "description", F.col("sunid").alias("given"))
+        own = own.join(above.toDF("parent_node_id", "parent_sunid"), "parent_node_id").join(remade, "id", "left")
+        met = own.join(earlier, ["level_id", "parent_sunid", "description"], "left")
+        met = met.join(own.groupBy("parent_sunid", "description").agg(F.min("id").alias("id")).select("id", F.lit(True).alias("first")), "id", "left")
+        sunid = F.when(F.col("remade").isNull(), F.coalesce(F.when(F.col("first"), F.col("same_text")), F.when(F.col("given") > 0, F.col("given"))))
+        met = kept(met.select("id", F.coalesce("remade", F.lit(False)).alias("remade"), sunid.alias("sunid")))
+        fresh = numbered(met.filter("sunid is null").select("id", (~F.col("remade")).alias("late")), ["late", "id"], "sunid", top + 1).select("id", F.col("sunid").cast("long"))
         above = kept(met.filter("sunid is not null").select("id", "sunid").union(fresh))
         top = max(top, above.agg(F.max("sunid").alias("m")).first()["m"] or top)
         done = done.union(above)
@@ -154,28 +160,44 @@ def next_release_node(nodes: DataFrame) -> DataFrame:
 
 
 def check_ids(old: DataFrame, new: DataFrame, history: DataFrame) -> DataFrame:
-    """issue, key: sid changed or lost without history, sid, sunid or family class used twice, retired sunid reused, class string unlike the
-    parent's, `.0` not for automated matches alone, siblings with one text.
+    """issue, key (sunid or what is used twice) of a new release against the one before it.
+
+    sid-changed: another sid without history of both nodes by types 4 to 11; should-be-retired: kept in spite of a split or of types 7 or 8 (without
+    11); lost: gone without types 1 to 9 or 13; bogus-merge: merged (4), but the node with its text under the same parent has another sunid;
+    skipped: numbers above all old ones that no node has; sid-twice, sunid-twice, sccs-twice (levels 2 to 5); sccs-strange, without a dot;
+    sccs-parent, not the parent's; zero-rule: automated matches of level 5 that aren't the parent's `.0`; same-text, siblings with one text.
 
-    old, new: id, sunid, sid, sccs, description, level_id, parent_node_id; history: old_sunid. One full join on sunid feeds most rules.
+    old, new: id, sunid, sid, sccs, description, level_id, parent_node_id; history: old_node_id, new_node_id, change_type.
     """
-    both = old.select("sunid", F.col("sid").alias("sid0")).join(new.select("sunid", F.col("sid").alias("sid1"), F.lit(True).alias("here")), "sunid", "full").join(history.select(F.col("old_sunid").alias("sunid"), F.lit(True).alias("told")).distinct(), "sunid", "left")
-    issue = F.when(F.col("here") & (F.col("sid0") != F.col("sid1")) & F.col("told").isNull(), "sid-changed").when(F.col("here").isNull() & F.col("told").isNull(), "lost").when(F.col("here") & F.col("told") & F.col("sid0").isNotNull() & (F.col("sid0") == F.col("sid1")), "should-be-retired")
-    parts = [both.select(issue.alias("issue"), F.col("sunid").cast("string").alias("key")).filter("issue is not null")]
+
+    def told(keys: list[str], **types: tuple[int, ...]) -> DataFrame:
+        return history.groupBy(*keys).agg(*(F.bool_or(F.col("change_type").isin(*t)).alias(n) for n, t in types.items()))
+
+    def found(rows: DataFrame, issue: str, key: str = "sunid") -> DataFrame:
+        return rows.select(F.lit(issue).alias("issue"), F.col(key).cast("string").alias("key"))
+
+    was = old.select("sunid", F.col("id").alias("old_node_id"), F.col("sid").alias("old_sid"))
+    both = new.select("sunid", F.col("id").alias("new_node_id"), "sid", "level_id").join(was, "sunid").join(told(["old_node_id", "new_node_id"], excused=(4, 5, 6, 7, 8, 9, 10, 11), retires=(5, 7, 8), tagged=(11,)), ["old_node_id", "new_node_id"], "left")
+    gone = old.join(new.select("sunid"), "sunid", "left_anti").join(told(["old_node_id"], ended=(1, 2, 3, 4, 5, 6, 7, 8, 9, 13)).withColumnRenamed("old_node_id", "id"), "id", "left")
+    parts = [
+        found(both.filter("level_id = 8 and old_sid is not null and not coalesce(excused, false) and not (old_sid <=> sid)"), "sid-changed"),
+        found(both.filter("retires and not tagged"), "should-be-retired"),
+        found(gone.filter("not coalesce(ended, false)"), "lost"),
+    ]
+    merged = old.join(history.filter("change_type = 4").select(F.col("old_node_id").alias("id")).distinct(), "id", "left_semi")
+    up_old, up_new = old.select(F.col("id").alias("parent_node_id"), F.col("sunid").alias("up")), new.select(F.col("id").alias("parent_node_id"), F.col("sunid").alias("up"))
+    named = new.join(up_new, "parent_node_id").groupBy("up", "description").agg(F.max_by("sunid", "id").alias("new_sunid"))
+    parts.append(found(merged.join(up_old, "parent_node_id").join(named, ["up", "description"]).filter("new_sunid <> sunid"), "bogus-merge"))
+    top = old.agg(F.max("sunid")).first()[0] or 0, new.agg(F.max("sunid")).first()[0] or 0  # two numbers
+    parts.append(found(new.sparkSession.range(top[0] + 1, max(top) + 1).toDF("sunid").join(new.select("sunid"), "sunid", "left_anti"), "skipped"))
     for column, name, rows in (("sid", "sid-twice", new.filter("sid is not null")), ("sunid", "sunid-twice", new), ("sccs", "sccs-twice", new.filter("level_id between 2 and 5"))):
-        parts.append(rows.groupBy(column).agg(F.count("*").alias("n")).filter("n > 1").select(F.lit(name).alias("issue"), F.col(column).cast("string").alias("key")))
-    up = new.select(F.col("id").alias("parent_node_id"), F.col("sccs").alias("above"), F.col("level_id").alias("up_level"))
-    own = new.join(up, "parent_node_id")
-    fits = F.when(F.col("level_id") > 5, F.col("sccs") == F.col("above")).when(F.col("level_id") > 2, F.regexp_replace("sccs", r"\.\d+$", "") == F.col("above")).otherwise(True)
-    parts.append(own.filter(~fits).select(F.lit("sccs-parent"), F.col("sunid").cast("string")))
-    zero, automated = F.col("sccs").endswith(".0"), F.col("description") == "automated matches"
-    parts.append(new.filter(F.col("level_id").between(3, 5) & (zero != automated)).select(F.lit("zero-rule"), F.col("sunid").cast("string")))
-    twins = new.filter("level_id < 8").groupBy("parent_node_id", "level_id", "description").agg(F.count("*").alias("n"), F.min("sunid").alias("sunid")).filter("n > 1")
-    parts.append(twins.select(F.lit("same-text"), F.col("sunid").cast("string")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.union(p)
-    return out
+        parts.append(found(rows.groupBy(column).agg(F.count("*").alias("n")).filter("n > 1"), name, column))
+    own = new.filter("level_id > 2").join(new.select(F.col("id").alias("parent_node_id"), F.col("sccs").alias("above")), "parent_node_id")
+    parts.append(found(own.filter("level_id < 6 and not contains(sccs, '.')"), "sccs-strange"))
+    parts.append(found(own.filter(F.when(F.col("level_id") > 5, F.col("sccs")).otherwise(F.regexp_replace("sccs", r"\.[^.]*$", "")) != F.col("above")), "sccs-parent"))
+    parts.append(found(own.filter("level_id = 5 and description = 'automated matches' and sccs <> above || '.0'"), "zero-rule"))
+    parts.append(found(new.filter("parent_node_id is not null").groupBy("parent_node_id", "level_id", "description").agg(F.count("*").alias("n"), F.min("sunid").alias("sunid")).filter("n > 1"), "same-text"))
+    return reduce(DataFrame.union, parts)
 
 
 def change_summary(old: DataFrame, new: DataFrame) -> DataFrame:

@@ -50,9 +50,9 @@ def j4n(t: Tables) -> DataFrame:
     return asof.raf_at(t.sql(RAF), None)
 
 
-#: Hits: suppliers (sequences) of one part; items: customers (domains) whose sequence is a supplier.
-HITS = "select l_suppkey as seq1_id, l_partkey % 53 as seq2_id, -cast(l_quantity as double) as blast_log10_e, 100 - cast(l_linenumber as double) * 10 as pct_identical, cast(l_linenumber as int) - 1 as seq1_length, 5 as seq2_length from {lineitem} where l_orderkey % 4 = 0"
-ITEMS = "select c_custkey as id, c_custkey % 60 as seq_id, 1 + c_nationkey % 2 as source_id, 1 as style_id from {customer} where c_custkey % 5 = 0"
+#: Hits: a part and a supplier (sequences) of one line item; items: customers (domains), two of each sequence.
+HITS = "select l_partkey as seq1_id, l_suppkey as seq2_id, -cast(l_quantity as double) as blast_log10_e, 100 - cast(l_linenumber as double) * 10 as pct_identical, cast(l_linenumber as int) - 1 as seq1_length, 5 as seq2_length from {lineitem}"
+ITEMS = "select c_custkey as id, cast(floor((c_custkey + 1) / 2) as bigint) as seq_id, 1 + c_nationkey % 2 as source_id, 1 as style_id from {customer}"
 PAIRS = f"select a.id as id1, b.id as id2, a.source_id, a.style_id, blast_log10_e, pct_identical from ({HITS}) h join ({ITEMS}) a on a.seq_id = seq1_id join ({ITEMS}) b on b.seq_id = seq2_id where seq1_length > 0 and seq2_length > 0 and a.id <> b.id and a.source_id = b.source_id and a.style_id = b.style_id"
 
 
@@ -160,10 +160,10 @@ def j13(t: Tables) -> DataFrame:
     return asof.snapshot_diff(t.sql(HELD0), t.sql(HELD1))
 
 
-VARIANTS = "select event_id as variant_id, user_id % 40 as accession, cast(floor(value) as int) % 60 as position from {events}"
-ALIGNED = f"select part % 40 as accession, o * 10 + n as chain_id, cast(qty as int) as db_start, cast(qty as int) + 8 as db_end, n * 2 as chain_start from ({LINES}) x where o % 20 = 1"
-RESIDUES = f"select o * 10 + n as chain_id, i as idx, cast(i as string) || 'A' as res_id, i % 7 > 0 as observed from ({LINES}) x, (select distinct l_linenumber * 2 + l_partkey % 9 as i from {{lineitem}}) y where o % 20 = 1"
-SCORED = f"select o * 10 + n as chain_id, cast(supp % 5 as double) as score from ({LINES}) x where o % 20 = 1 and supp % 3 > 0"
+VARIANTS = "select event_id as variant_id, user_id as accession, cast(floor(value) as int) % 60 as position from {events}"
+ALIGNED = f"select part as accession, o * 10 + n as chain_id, cast(qty as int) as db_start, cast(qty as int) + 8 as db_end, n * 2 as chain_start from ({LINES}) x"
+RESIDUES = f"select o * 10 + n as chain_id, i as idx, cast(i as string) || 'A' as res_id, i % 7 > 0 as observed from ({LINES}) x, (select distinct l_linenumber * 2 + l_partkey % 9 as i from {{lineitem}}) y"
+SCORED = f"select o * 10 + n as chain_id, cast(supp % 5 as double) as score from ({LINES}) x where supp % 3 > 0"
 
 
 @query(

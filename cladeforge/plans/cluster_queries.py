@@ -123,7 +123,8 @@ def c5(t: Tables) -> DataFrame:
 
 
 SID_CHAINS = "select 's' || cast(o_custkey as string) as sid, o_orderkey as chain_id from {orders}"
-REPS = "select p_partkey as rep_id from {part} where p_size = 1 and p_partkey % 4 = 0"
+#: The first part of each brand and size.
+REPS = "select min(p_partkey) as rep_id from {part} group by p_brand, p_size"
 DONE = "select l_orderkey as chain_id from {lineitem}"
 
 

@@ -152,8 +152,8 @@ def n11(t: Tables) -> DataFrame:
 
 
 PLACED = "select o_orderkey as id, floor(o_totalprice) % 101 as pct, o_custkey % 40 as gene, case when o_orderkey % 9 = 0 then 'One' else 'homo SAPIENS' end as species, o_orderkey % 6 as taxid, o_custkey % 3 as superfamily_id, o_custkey % 6 as family_id, o_orderkey % 12 as protein_id from {orders}"
-GENES = "select c_custkey % 40 as gene, c_custkey % 3 as superfamily_id, c_custkey % 6 as family_id, c_custkey % 12 as protein_id from {customer} where c_nationkey < 3"
-SPECIES = "select p_partkey % 12 as protein_id, p_partkey as species_id, case when p_size % 5 = 0 then 'Homo sapiens' else 'Mus musculus' end as scientific_name, p_size % 13 as taxid from {part} where p_size < 15"
+GENES = "select c_custkey % 40 as gene, c_custkey % 3 as superfamily_id, c_custkey % 6 as family_id, c_custkey % 12 as protein_id from {customer}"
+SPECIES = "select p_partkey % 12 as protein_id, p_partkey as species_id, case when p_size % 5 = 0 then 'Homo sapiens' else 'Mus musculus' end as scientific_name, p_size % 13 as taxid from {part}"
 
 
 @query(

@@ -81,21 +81,22 @@ def r4(t: Tables) -> DataFrame:
 
 
 CLADES0 = f"select id, sunid, description, level_id, parent_node_id from ({NODES}) x where level_id <= 5 and id % 13 <> 5"
-CLADES1 = f"select id, case when id % 7 = 3 then description || ' II' else description end as description, level_id, parent_node_id from ({NODES}) x where level_id <= 5 and id % 17 <> 3"
+CLADES1 = f"select id, case when id % 19 = 4 then 10 * id else 0 end as sunid, case when id % 7 = 3 then description || ' II' else description end as description, level_id, parent_node_id from ({NODES}) x where level_id <= 5 and id % 17 <> 3"
+REMADE = f"select id as new_node_id, cast(4 + id % 4 as int) as change_type from ({NODES}) x where level_id between 2 and 5 and id % 23 = 6"
 
 
 def _clades() -> str:
-    out = f"with o as ({CLADES0}), w as ({CLADES1}), e as (select o.level_id, p.sunid as ps, o.description, min(o.sunid) as sunid from o join o p on p.id = o.parent_node_id group by 1, 2, 3), t1 as (select cast(max(sunid) as bigint) as top from o), a1 as (select id, cast(0 as bigint) as sunid from w where level_id = 1)"
+    out = f"with o as ({CLADES0}), w as ({CLADES1}), h as (select new_node_id from ({REMADE}) where change_type in (5, 6)), e as (select o.level_id, p.sunid as ps, o.description, min(o.sunid) as same from o join o p on p.id = o.parent_node_id group by 1, 2, 3), t1 as (select cast(greatest((select max(sunid) from o), (select max(sunid) from w)) as bigint) as top), a1 as (select id, cast(0 as bigint) as sunid from w where level_id = 1)"
     for level in (2, 3, 4, 5):
         b = f"a{level - 1}"
-        out += f""", m{level} as (select w.id, {b}.sunid as ps, w.description, case when row_number() over (partition by {b}.sunid, w.description order by w.id) = 1 then e.sunid end as sunid from w join {b} on {b}.id = w.parent_node_id left join e on e.level_id = w.level_id and e.ps = {b}.sunid and e.description = w.description where w.level_id = {level}),
- a{level} as (select id, sunid from m{level} where sunid is not null union all select id, (select top from t{level - 1}) + row_number() over (order by id) from m{level} where sunid is null), t{level} as (select greatest((select top from t{level - 1}), coalesce(max(sunid), 0)) as top from a{level})"""
+        out += f""", m{level} as (select w.id, w.id in (select new_node_id from h) as remade, case when w.id in (select new_node_id from h) then null when w.id = min(w.id) over (partition by {b}.sunid, w.description) and same is not null then same when w.sunid > 0 then w.sunid end as sunid from w join {b} on {b}.id = w.parent_node_id left join e on e.level_id = w.level_id and e.ps = {b}.sunid and e.description = w.description where w.level_id = {level}),
+ a{level} as (select id, sunid from m{level} where sunid is not null union all select id, (select top from t{level - 1}) + row_number() over (order by case when remade then 0 else 1 end, id) from m{level} where sunid is null), t{level} as (select greatest((select top from t{level - 1}), coalesce(max(sunid), 0)) as top from a{level})"""
     return out + " select * from a1 union all select * from a2 union all select * from a3 union all select * from a4 union all select * from a5"
 
 
 @query("r5_stable_clade_ids", _clades())
 def r5(t: Tables) -> DataFrame:
-    return release.stable_clade_ids(t.sql(CLADES0), t.sql(CLADES1), (2, 3, 4, 5))
+    return release.stable_clade_ids(t.sql(CLADES0), t.sql(CLADES1), t.sql(REMADE), (2, 3, 4, 5))
 
 
 SCCS0 = f"select sunid, sccs from ({NODES}) x where level_id between 2 and 5 and id % 6 <> 5"
@@ -124,18 +125,26 @@ def r7(t: Tables) -> DataFrame:
 
 
 CHECKED0 = f"select id, sunid, sid, sccs, description, level_id, parent_node_id from ({NODES}) x where id % 19 <> 2"
-CHECKED1 = f"select id, sunid, case when id % 23 = 4 then 'dother' else sid end as sid, case when id % 29 = 5 then 'a.1' else sccs end as sccs, description, level_id, parent_node_id from ({NODES}) x where id % 31 <> 7 or level_id < 5"
-TOLD = f"select id as old_sunid from ({NODES}) x where id % 5 = 1 and id > 5000000000"
+CHECKED1 = f"select id, case when level_id = 5 and id % 37 = 3 then 3000000000 + id + 10 * (select max(o_orderkey) from {{orders}}) else sunid end as sunid, case when id % 23 = 4 then 'dother' else sid end as sid, case when id % 29 = 5 then 'a.1' when id % 59 = 6 then 'x' else sccs end as sccs, description, level_id, parent_node_id from ({NODES}) x where id % 31 <> 7 or level_id < 5"
+TOLD = f"select id as old_node_id, case when id % 3 > 0 then id end as new_node_id, cast(1 + id % 13 as int) as change_type from ({NODES}) x where id % 5 in (1, 3) and id > 5000000000"
 
 
 @query(
     "r8_check_ids",
-    f"""with o as ({CHECKED0}), w as ({CHECKED1}), h as ({TOLD}), b as (select coalesce(o.sunid, w.sunid) as sunid, o.sid as s0, w.sid as s1, w.id is not null as here, coalesce(o.sunid, w.sunid) in (select old_sunid from h) as told from o full join w on o.sunid = w.sunid),
- v as (select *, case when level_id > 5 then regexp_replace(sccs, '$', '') else regexp_replace(sccs, '\\.[0-9]+$', '') end as up from w)
- select case when here and s0 <> s1 and not told then 'sid-changed' when not here and not told then 'lost' when here and told and s0 = s1 then 'should-be-retired' end as issue, cast(sunid as string) as key from b where (here and s0 <> s1 and not told) or (not here and not told) or (here and told and s0 = s1)
+    f"""with o as ({CHECKED0}), w as ({CHECKED1}), h as ({TOLD}),
+ b as (select w.sunid, w.sid, w.level_id, o.sid as s0, (o.id, w.id) in (select (old_node_id, new_node_id) from h where change_type between 4 and 11) as excused, (o.id, w.id) in (select (old_node_id, new_node_id) from h where change_type in (5, 7, 8)) as retires from w join o using (sunid)),
+ u as (select w.*, p.sccs as above from w join w p on p.id = w.parent_node_id where w.level_id > 2),
+ n as (select p.sunid as up, w.description, arg_max(w.sunid, w.id) as ns from w join w p on p.id = w.parent_node_id group by 1, 2)
+ select 'sid-changed' as issue, cast(sunid as string) as key from b where level_id = 8 and s0 is not null and not coalesce(excused, false) and s0 is distinct from sid
+ union all select 'should-be-retired', cast(sunid as string) from b where retires
+ union all select 'lost', cast(sunid as string) from o where sunid not in (select sunid from w) and id not in (select old_node_id from h where change_type in (1, 2, 3, 4, 5, 6, 7, 8, 9, 13))
+ union all select 'bogus-merge', cast(o.sunid as string) from o join o p on p.id = o.parent_node_id join n on n.up = p.sunid and n.description = o.description where ns <> o.sunid and o.id in (select old_node_id from h where change_type = 4)
+ union all select 'skipped', cast(s as string) from (select unnest(generate_series((select max(sunid) + 1 from o), (select max(sunid) from w))) as s) where s not in (select sunid from w)
  union all select 'sid-twice', sid from w where sid is not null group by sid having count(*) > 1 union all select 'sunid-twice', cast(sunid as string) from w group by sunid having count(*) > 1 union all select 'sccs-twice', sccs from w where level_id between 2 and 5 group by sccs having count(*) > 1
- union all select 'sccs-parent', cast(v.sunid as string) from v join w p on p.id = v.parent_node_id where v.level_id > 2 and v.up <> p.sccs union all select 'zero-rule', cast(sunid as string) from w where level_id between 3 and 5 and ends_with(sccs, '.0') <> (description = 'automated matches')
- union all select 'same-text', cast(min(sunid) as string) from w where level_id < 8 group by parent_node_id, level_id, description having count(*) > 1""",
+ union all select 'sccs-strange', cast(sunid as string) from u where level_id < 6 and not contains(sccs, '.')
+ union all select 'sccs-parent', cast(sunid as string) from u where case when level_id > 5 then sccs else regexp_replace(sccs, '[.][^.]*$', '') end <> above
+ union all select 'zero-rule', cast(sunid as string) from u where level_id = 5 and description = 'automated matches' and sccs <> above || '.0'
+ union all select 'same-text', cast(min(sunid) as string) from w where parent_node_id is not null group by parent_node_id, level_id, description having count(*) > 1""",
 )
 def r8(t: Tables) -> DataFrame:
     return release.check_ids(t.sql(CHECKED0), t.sql(CHECKED1), t.sql(TOLD))

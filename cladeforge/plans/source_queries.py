@@ -69,10 +69,14 @@ def s6(t: Tables) -> DataFrame:
     return f.read_quality(t.spark, _written(t, lambda p: f.write_quality(t.sql(SCORES), p)), 3)
 
 
-PAIRS = f"select 'd' || cast(o as string) as sid1, 'd' || cast(part as string) as sid2, cast(supp % 5 as int) as depth, case when qty = 7 then -9999.0 else -cast(qty as double) end as blast_log10_e, cast(n as int) as start1, cast(10 + n as int) as length1, cast(2 * n as int) as start2, cast(9 + n as int) as length2, cast(qty as double) as pct_identical from ({LINES}) x where qty > 3"
+PAIRS = f"select 'd' || cast(o as string) as sid1, 'd' || cast(part as string) as sid2, cast(supp % 5 as int) as depth, case when qty = 7 then -9999.0 else -cast(qty as double) / 2 end as blast_log10_e, cast(n as int) as start1, cast(case when supp % 11 = 0 then 0 else 10 + n end as int) as length1, cast(2 * n as int) as start2, cast(9 + n as int) as length2, cast(qty as double) as pct_identical from ({LINES}) x"
 
 
-@query("s7_read_hit_summary", f"select sid1, sid2, blast_log10_e, start1, length1, start2, length2 from ({PAIRS})".replace("select sid1, sid2, blast_log10_e", "select sid1, sid2, cast(blast_log10_e as double) as blast_log10_e"))
+LOG_E = "case when blast_log10_e <= -9999 then -9999 when blast_log10_e > -4 then log10(round(pow(10, blast_log10_e), cast(2 - floor(blast_log10_e) as int))) else floor(blast_log10_e) + log10(round(pow(10, blast_log10_e - floor(blast_log10_e)), 2)) end"
+E_TEXT = "case when blast_log10_e <= -9999 then '0' when blast_log10_e > -4 then regexp_replace(printf('%.6f', round(pow(10, blast_log10_e), cast(2 - floor(blast_log10_e) as int))), '[.]?0+$', '') else regexp_replace(printf('%.2f', pow(10, blast_log10_e - floor(blast_log10_e))), '[.]?0+$', '') || 'e' || printf('%03d', cast(floor(blast_log10_e) as int)) end"
+
+
+@query("s7_read_hit_summary", f"select sid1, sid2, cast(round({LOG_E}, 6) as double) as blast_log10_e, start1, length1, start2, length2 from ({PAIRS}) where length1 > 0")
 def s7(t: Tables) -> DataFrame:
     return f.read_hit_summary(t.spark, _written(t, lambda p: f.write_pairs(t.sql(PAIRS), "bg", p)), "bg").withColumn("blast_log10_e", F.round("blast_log10_e", 6))
 
@@ -165,7 +169,7 @@ def s18(t: Tables) -> DataFrame:
     return _text(t, lambda p: f.write_pairs(t.sql(PAIRS), "bib", p))
 
 
-@query("s18_write_pairs_bg", f"select sid1 || ' ' || sid2 || ' ' || case when blast_log10_e <= -9999 then '0.0' else '1e-' || cast(-blast_log10_e as int) end || ' ' || depth || ' ' || (start1 + 1) || ' ' || (start1 + length1) || ' ' || (start2 + 1) || ' ' || (start2 + length2) as line from ({PAIRS})")
+@query("s18_write_pairs_bg", f"select sid1 || ' ' || sid2 || ' ' || {E_TEXT} || ' ' || depth || ' ' || (start1 + 1) || ' ' || (start1 + length1) || ' ' || (start2 + 1) || ' ' || (start2 + length2) as line from ({PAIRS}) where length1 > 0")
 def s18b(t: Tables) -> DataFrame:
     return _text(t, lambda p: f.write_pairs(t.sql(PAIRS), "bg", p))
 

@@ -146,14 +146,28 @@ def write_xrefs(xrefs: DataFrame, path: str) -> None:
 # hits
 
 
+def e_value(log10_e: Column) -> Column:
+    """An E value as hit summaries write it: three significant digits, no zeros at their end; `0` for -9999, an exponent of two digits
+    or more from 1e-4 down."""
+    short = lambda x: F.regexp_replace(x, r"\.?0+$", "")
+    power = F.floor(log10_e).cast("int")
+    value = F.pow(F.lit(10.0), log10_e)
+    plain = F.format_string("%.0f", value)
+    for digits in range(1, 7):
+        plain = F.when(power == 2 - digits, short(F.format_string(f"%.{digits}f", value))).otherwise(plain)
+    coefficient = short(F.format_string("%.2f", F.pow(F.lit(10.0), log10_e - power)))
+    carried = coefficient == "10"
+    small = F.format_string("%se%03d", F.when(carried, "1").otherwise(coefficient), power + carried.cast("int"))
+    return F.when(log10_e <= -9999, "0").when(log10_e > -4, plain).otherwise(small)
+
+
 def write_pairs(pairs: DataFrame, kind: str, path: str) -> None:
-    """bg: both sids, E, depth of likeness, first and last places of both; bib: both sids, percent, depth. pairs: sid1, sid2, depth and
-    blast_log10_e, start1, length1, start2, length2 or pct_identical."""
+    """bg: both sids, E, depth of likeness, first and last places of both, without hits of length 0; bib: both sids, percent, depth.
+    pairs: sid1, sid2, depth and blast_log10_e, start1, length1, start2, length2 or pct_identical."""
     if kind == "bg":
-        exponent = F.floor("blast_log10_e").cast("int")
-        e = F.when(F.col("blast_log10_e") <= -9999, "0.0").when(F.col("blast_log10_e") > -3, F.format_string("%.4f", F.pow(F.lit(10.0), "blast_log10_e"))).otherwise(F.format_string("%.0fe%d", F.floor(F.pow(F.lit(10.0), F.col("blast_log10_e") - exponent)).cast("double"), exponent))
+        pairs = pairs.filter("length1 <> 0 and length2 <> 0")
         places = [x for s, n in (("start1", "length1"), ("start2", "length2")) for x in ((F.col(s) + 1).cast("string"), (F.col(s) + F.col(n)).cast("string"))]
-        line = F.concat_ws(" ", "sid1", "sid2", e, F.col("depth").cast("string"), *places)
+        line = F.concat_ws(" ", "sid1", "sid2", e_value(F.col("blast_log10_e").cast("double")), F.col("depth").cast("string"), *places)
     else:
         line = F.concat_ws(" ", "sid1", "sid2", F.format_string("%.2f", "pct_identical"), F.col("depth").cast("string"))
     _write(pairs.select("sid1", "sid2", line.alias("line")), path, "sid1", "sid2", "line")
