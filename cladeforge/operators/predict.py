@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from cladeforge.functions.text import normalise_species
 from cladeforge.operators.regions import best_region_match
+from cladeforge.operators.tree import numbered
 
 SUFFIXES = "123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0"
 
@@ -224,8 +225,6 @@ def precision_recall(evaluated: DataFrame, by: str) -> DataFrame:
     Running sums go within ranges of values; the ranges' totals are added before them.
     """
     bins = evaluated.groupBy(by).agg(F.count("*").alias("k"), F.sum(F.col("is_correct").cast("int")).alias("c"))
-    from cladeforge.operators.tree import numbered
-
     dealt = numbered(bins, [by], "order").withColumn("block", F.floor(F.col("order") / 10_000))
     totals = dealt.groupBy("block").agg(F.sum("k").alias("bk"), F.sum("c").alias("bc"))
     before = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)  # a row for 10,000 values
@@ -295,16 +294,20 @@ def find_tags(chains: DataFrame, annotated: DataFrame, known: DataFrame, referen
     return placed.select("chain_id", "type", start.cast("int").alias("start"), end.cast("int").alias("end"), source.alias("source")).filter("start <= end")
 
 
+def longer_call(tags: DataFrame) -> DataFrame:
+    """chain_id, type, t0, t1: the longer of two calls, the second of equal ones. tags: chain_id, type, first_start, first_end, second_start, second_end."""
+    second = F.col("second_end") - F.col("second_start") >= F.col("first_end") - F.col("first_start")
+    pick = lambda k: F.coalesce(F.when(F.coalesce(second, F.col("first_start").isNull()), F.col(f"second_{k}")), F.col(f"first_{k}"))
+    return tags.select("chain_id", "type", pick("start").alias("t0"), pick("end").alias("t1"))
+
+
 def split_tag_domains(domains: DataFrame, tags: DataFrame, linker: int = 10) -> DataFrame:
-    """chain_id, id, start, end, action of domains (chain_id, id, start, end) against two tag calls (chain_id, type, first_start,
-    first_end, second_start, second_end).
+    """chain_id, id, type, start, end, action of domains (chain_id, id, start, end) against two tag calls of a chain's end (see longer_call).
 
-    The longer call counts, the second of equal ones. A domain within the tag, or several that overlap it, are `manual`; one
-    that overlaps is cut (`cut`); where none does, the nearest one within a linker grows up to it (`grown`); others `kept`.
+    A domain within the tag, or several that overlap it, are `manual`; one that overlaps is cut (`cut`); where none does, the
+    nearest one within a linker grows up to it (`grown`); others `kept`.
     """
-    second = F.col("second_end") - F.col("second_start") >= F.col("first_end") - F.col("first_start")
-    pick = lambda k: F.coalesce(F.when(F.coalesce(second, F.col("first_start").isNull()), F.col(f"second_{k}")), F.col(f"first_{k}"))
-    called = tags.select("chain_id", "type", pick("start").alias("t0"), pick("end").alias("t1"))
+    called = longer_call(tags)
     rows = domains.join(called, "chain_id", "left")
     over = (F.col("start") <= F.col("t1")) & (F.col("end") >= F.col("t0"))
     own = Window.partitionBy("chain_id", "type")
@@ -321,6 +324,26 @@ def split_tag_domains(domains: DataFrame, tags: DataFrame, linker: int = 10) ->
     return rows.select("chain_id", "id", "type", start.alias("start"), end.alias("end"), "action")
 
 
+def tag_nodes(split: DataFrame, tags: DataFrame, parents: dict[str, int], next_id: int) -> DataFrame:
+    """id, chain_id, type, start, end, sccs, level_id, parent_node_id, made_from of the new domains that tags become where a domain was cut or grown up to
+    one; made_from is that domain. split: from split_tag_domains; tags: its calls; parents: the node of each type (N, C) under the tag class."""
+    moved = split.filter("action in ('cut', 'grown')").select("chain_id", "type", F.col("id").alias("made_from"))
+    kinds = F.create_map(*(F.lit(x) for pair in parents.items() for x in pair))
+    rows = longer_call(tags).join(moved, ["chain_id", "type"]).select("chain_id", "type", F.col("t0").alias("start"), F.col("t1").alias("end"), "made_from")
+    made = rows.withColumn("parent_node_id", kinds[F.col("type")].cast("long")).withColumn("sccs", F.lit("l.1.1.1")).withColumn("level_id", F.lit(8))
+    return numbered(made, ["chain_id", "type", "made_from"], "id", next_id).select("id", "chain_id", "type", "start", "end", "sccs", "level_id", "parent_node_id", "made_from")
+
+
+def tag_history(split: DataFrame, made: DataFrame, before: DataFrame) -> DataFrame:
+    """old_node_id, new_node_id, change_type of domains that the release before has (before: id, old_node_id): 11 for each that was cut or grown; where it
+    was cut, also 5 for itself and for the tag's domain (made: id, chain_id, type, made_from)."""
+    moved = split.filter("action in ('cut', 'grown')").join(before, "id").select("old_node_id", "id", "chain_id", "type", "action")
+    cut = moved.filter("action = 'cut'")
+    told = moved.select("old_node_id", F.col("id").alias("new_node_id"), F.lit(11).alias("change_type"))
+    new = cut.withColumnRenamed("id", "made_from").join(made.select("id", "chain_id", "type", "made_from"), ["chain_id", "type", "made_from"])
+    return told.union(cut.select("old_node_id", "id", F.lit(5))).union(new.select("old_node_id", "id", F.lit(5)))
+
+
 def exact_sequence_match(chains: DataFrame, classified: DataFrame) -> DataFrame:
     """chain_id, donor_chain_id, node_id, start, length, log10e, pct of unclassified chains whose sequence a classified one has.
 

@@ -247,28 +247,47 @@ def check_promoted(nodes: DataFrame, rules: dict[str, DataFrame], parents: DataF
     return out
 
 
-def apply_edits(nodes: DataFrame, edits: DataFrame, closed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """nodes after a set of edits, and history (old_node_id, new_node_id, change_type).
+def apply_edits(nodes: DataFrame, edits: DataFrame, closed: DataFrame, before: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """nodes after a set of edits, and history (old_node_id, new_node_id, change_type) of those that the release before has by sunid.
 
-    edits: kind (delete, move, merge, split), node_id, target_id. A deleted node goes with all below it (2, domains only). A move goes to a
-    parent one level above only, class strings below follow (6). A merged node's children go to the target and it goes itself (4). A split
-    names the node (node_id) that target_id was made from it (5).
+    edits: kind, node_id, target_id, text. delete: the node goes with all below it (2). move: to a parent one level above only; from level 6 on, it and all
+    below take the parent's class string, above that one that doesn't begin with the parent's is emptied, on all below too; told (6) only if the parent's sunid
+    is another than before. merge: into a node of the same level, which gets the children (4). split: into targets made here with their texts, without
+    sunid; the least one gets the children (5). edit: another description. Targets are nodes that stay. before: id, sunid, parent_node_id.
     """
     ids = lambda k: edits.filter(F.col("kind") == k)
+    facts = nodes.select("id", "level_id", "sccs", "sunid")
+    own, up = facts.toDF("node_id", "own_level", "own_sccs", "sunid"), facts.toDF("target_id", "up_level", "up_sccs", "target_sunid")
     gone = closed.join(ids("delete").select(F.col("node_id").alias("ancestor_id")), "ancestor_id", "left_semi").select(F.col("node_id").alias("id")).distinct()
-    level = nodes.select("id", "level_id", "sccs")
-    moves = ids("move").join(level.toDF("node_id", "own_level", "own_sccs"), "node_id").join(level.toDF("target_id", "up_level", "up_sccs"), "target_id").filter("own_level = up_level + 1")
-    merges = ids("merge").select("node_id", "target_id")
-    parent = moves.select(F.col("node_id").alias("id"), F.col("target_id").alias("moved_to"))
-    adopted = merges.select(F.col("node_id").alias("parent_node_id"), F.col("target_id").alias("adopted_by"))
-    kept_rows = nodes.join(gone, "id", "left_anti").join(merges.select(F.col("node_id").alias("id")), "id", "left_anti")
-    rows = kept_rows.join(parent, "id", "left").join(adopted, "parent_node_id", "left")
-    below = closed.join(moves.filter("own_level > 5").select(F.col("node_id").alias("ancestor_id"), "up_sccs"), "ancestor_id").groupBy(F.col("node_id").alias("id")).agg(F.max("up_sccs").alias("inherited"))
-    out = rows.join(below, "id", "left").withColumn("parent_node_id", F.coalesce("moved_to", "adopted_by", "parent_node_id")).withColumn("sccs", F.coalesce("inherited", "sccs")).select(*nodes.columns)
-    none = F.lit(None).cast("long")
-    lost = nodes.filter("level_id = 8").join(gone, "id", "left_semi").select(F.col("id").alias("old_node_id"), none.alias("new_node_id"), F.lit(2).alias("change_type"))
-    told = lost.union(moves.select("node_id", F.col("node_id"), F.lit(6))).union(merges.select("node_id", "target_id", F.lit(4))).union(ids("split").select("node_id", "target_id", F.lit(5)))
-    return out, told
+    named = edits.select("kind", "node_id", "target_id").join(own, "node_id").join(up, "target_id")
+    moves = named.filter("kind = 'move' and own_level = up_level + 1").join(nodes.select(F.col("id").alias("node_id"), "parent_node_id"), "node_id").filter("parent_node_id <> target_id")
+    merges = named.filter("kind = 'merge' and own_level = up_level")
+    splits = ids("split").select("node_id", "target_id", "text").join(own, "node_id")
+    adopted = merges.select("node_id", "target_id").union(splits.groupBy("node_id").agg(F.min("target_id"))).toDF("parent_node_id", "adopted_by")
+    ended = reduce(DataFrame.union, [gone, merges.select("node_id"), splits.select("node_id")]).distinct()
+    string = moves.withColumn("given", F.when(F.col("own_level") > 5, F.col("up_sccs")).when(~F.startswith("own_sccs", F.concat("up_sccs", F.lit("."))), F.lit(""))).filter("given is not null")
+    below = closed.join(string.select(F.col("node_id").alias("ancestor_id"), "given"), "ancestor_id").groupBy(F.col("node_id").alias("id")).agg(F.min_by("given", "depth").alias("given"))
+    rows = nodes.join(ended, "id", "left_anti").join(moves.select(F.col("node_id").alias("id"), F.col("target_id").alias("moved_to")), "id", "left").join(adopted, "parent_node_id", "left").join(below, "id", "left")
+    rows = rows.join(ids("edit").select(F.col("node_id").alias("id"), F.regexp_replace("text", r"\[TaxId:(?! )", "[TaxId: ").alias("text")), "id", "left")
+    changed = {"parent_node_id": F.coalesce("moved_to", "adopted_by", "parent_node_id"), "sccs": F.coalesce("given", "sccs"), "description": F.coalesce("text", "description")}
+    made = nodes.join(splits.select(F.col("node_id").alias("id"), "target_id", "text"), "id")
+    fresh = {"id": F.col("target_id"), "sunid": F.lit(0).cast("long"), "sid": F.lit(None).cast("string"), "description": F.col("text")}
+    out = rows.select(*(changed.get(c, F.col(c)).alias(c) for c in nodes.columns)).union(made.select(*(fresh.get(c, F.col(c)).alias(c) for c in nodes.columns)))
+    ups = before.select(F.col("id").alias("parent_node_id"), F.col("sunid").alias("old_up"))
+    was = before.filter("sunid > 0").join(ups, "parent_node_id", "left").select("sunid", F.col("id").alias("old_node_id"), "old_up")
+    told = lambda d, new, kind: d.join(was, "sunid").select("old_node_id", new.alias("new_node_id"), F.lit(kind).alias("change_type"))
+    moved = moves.join(was, "sunid").filter("not (old_up <=> target_sunid)").select("old_node_id", F.col("node_id").alias("new_node_id"), F.lit(6).alias("change_type"))
+    lost = told(nodes.select("id", "sunid").join(gone, "id", "left_semi"), F.lit(None).cast("long"), 2)
+    return out, lost.union(moved).union(told(merges, F.col("target_id"), 4)).union(told(splits, F.col("target_id"), 5))
+
+
+def edit_comments(comments: DataFrame, edits: DataFrame) -> DataFrame:
+    """comments (node_id, description, is_auto) after edits (kind, node_id, text): `remove` takes those of the node that begin with the text, `add` then
+    adds it unless it is there; one that begins with "automat" is automatic."""
+    prefixes = edits.filter("kind = 'remove'").select(F.col("node_id").alias("n"), "text").distinct()
+    left = comments.join(prefixes, (F.col("node_id") == F.col("n")) & F.startswith("description", "text"), "left_anti").select("node_id", "description", "is_auto")
+    added = edits.filter("kind = 'add'").select("node_id", F.col("text").alias("description")).distinct().join(left, ["node_id", "description"], "left_anti")
+    return left.union(added.select("node_id", "description", F.startswith("description", F.lit("automat")).cast("int")))
 
 
 def propagate_inconsistent(flags: DataFrame, closed: DataFrame, nodes: DataFrame) -> DataFrame:

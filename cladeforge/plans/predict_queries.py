@@ -9,6 +9,7 @@ from cladeforge.operators import predict, residues, tree
 from cladeforge.plans.registry import Tables, query
 from cladeforge.plans.residue_queries import WITH, maps
 from cladeforge.plans.shapes import LINES, NODES, WITH_CLOSED
+from cladeforge.sources.scratch import kept
 
 HITS = f"select o as chain_id, o * 10 + n as hit_id, 'h' || cast(supp as string) as name, case when part % 4 = 0 then 1 else 0 end as is_model, part % 2 = 0 as is_sequence_hit, -cast(qty as double) as log10e, n * 12 as start, cast(qty as bigint) + 3 as length from ({LINES}) x union all select o, o * 10 + n, 'h' || cast(supp as string), case when part % 4 = 0 then 1 else 0 end, part % 2 = 0, -cast(qty as double), n * 12 + 70, cast(qty as bigint) % 7 + 1 from ({LINES}) x where part % 3 = 0"
 
@@ -190,17 +191,36 @@ TAG_DOMAINS = f"select o as chain_id, o * 10 + n as id, n * 20 - part % 9 as sta
 CALLS = "select o_orderkey as chain_id, 'N' as type, 0 as first_start, 10 + o_custkey % 20 as first_end, 0 as second_start, 8 + o_orderkey % 30 as second_end from {orders} where o_orderkey % 2 = 0"
 
 
-@query(
-    "n14_split_tag_domains",
-    f"""with t as (select chain_id, type, 0 as t0, case when second_end >= first_end then second_end else first_end end as t1 from ({CALLS})), r as (select d.*, type, t0, t1, coalesce(start <= t1 and "end" >= t0, false) as over_, coalesce(start >= t0 and "end" <= t1, false) as sw, start - t1 - 1 as away from ({TAG_DOMAINS}) d left join t using (chain_id)),
+SPLIT = f"""t as (select chain_id, type, 0 as t0, case when second_end >= first_end then second_end else first_end end as t1 from ({CALLS})), r as (select d.*, type, t0, t1, coalesce(start <= t1 and "end" >= t0, false) as over_, coalesce(start >= t0 and "end" <= t1, false) as sw, start - t1 - 1 as away from ({TAG_DOMAINS}) d left join t using (chain_id)),
  s as (select *, sum(case when over_ then 1 else 0 end) over w as n, min(case when away >= 0 then away end) over w as near from r window w as (partition by chain_id, type)),
- a as (select *, case when t0 is null then 'kept' when over_ and (n > 1 or sw) then 'manual' when over_ then 'cut' when n = 0 and away = near and away > 0 and away <= 10 then 'grown' else 'kept' end as action from s)
- select chain_id, id, type, case when action in ('cut', 'grown') then t1 + 1 else start end as start, "end", action from a""",
-)
+ a as (select *, case when t0 is null then 'kept' when over_ and (n > 1 or sw) then 'manual' when over_ then 'cut' when n = 0 and away = near and away > 0 and away <= 10 then 'grown' else 'kept' end as action from s)"""
+
+
+@query("n14_split_tag_domains", f"with {SPLIT} select chain_id, id, type, case when action in ('cut', 'grown') then t1 + 1 else start end as start, \"end\", action from a")
 def n14(t: Tables) -> DataFrame:
     return predict.split_tag_domains(t.sql(TAG_DOMAINS.replace('"end"', "`end`")), t.sql(CALLS))
 
 
+MADE = f"{SPLIT}, made as (select 9000000000 + row_number() over (order by chain_id, type, id) as id, chain_id, type, t0 as start, t1 as \"end\", 'l.1.1.1' as sccs, 8 as level_id, 101 as parent_node_id, id as made_from from a where action in ('cut', 'grown'))"
+KNOWN_BEFORE = f"select o * 10 + n as id, o * 100 + n as old_node_id from ({LINES}) x where part % 4 > 0"
+
+
+@query("n14_tag_nodes", f"with {MADE} select * from made")
+def n14t(t: Tables) -> DataFrame:
+    calls = t.sql(CALLS)
+    return predict.tag_nodes(predict.split_tag_domains(t.sql(TAG_DOMAINS.replace('"end"', "`end`")), calls), calls, {"N": 101, "C": 102}, 9_000_000_001)
+
+
+@query(
+    "n14_tag_history",
+    f"with {MADE}, k as (select a.*, old_node_id from a join ({KNOWN_BEFORE}) b using (id) where action in ('cut', 'grown')) select old_node_id, id as new_node_id, 11 as change_type from k union all select old_node_id, id, 5 from k where action = 'cut' union all select old_node_id, made.id, 5 from k join made on made_from = k.id and made.type = k.type where action = 'cut'",
+)
+def n14h(t: Tables) -> DataFrame:
+    calls = t.sql(CALLS)
+    split = kept(predict.split_tag_domains(t.sql(TAG_DOMAINS.replace('"end"', "`end`")), calls))
+    return predict.tag_history(split, predict.tag_nodes(split, calls, {"N": 101, "C": 102}, 9_000_000_001), t.sql(KNOWN_BEFORE))
+
+
 SEQ_CHAINS = "select o_orderkey as chain_id, o_custkey as seq_id from {orders}"
 DONE = f"select o as chain_id, o_custkey as seq_id, o * 10 + n as node_id, n * 10 as start, cast(qty as bigint) as length from ({LINES}) x join {{orders}} on o = o_orderkey where o % 3 = 0"
 

@@ -190,27 +190,47 @@ def r11(t: Tables) -> DataFrame:
     return release.check_promoted(t.sql(PROMOTED), {k: t.sql(v) for k, v in RULES.items()}, t.sql(PARENTS))
 
 
-EDITS = "select 'delete' as kind, 5000000000 + o_orderkey as node_id, cast(null as bigint) as target_id from {orders} where o_orderkey % 40 = 1 union all select 'move', 4000000000 + c_custkey, 3000000000 + c_custkey % 25 from {customer} where c_custkey % 10 = 2 union all select 'merge', 5000000000 + o_orderkey, 5000000000 + o_orderkey + 1 from {orders} where o_orderkey % 40 = 11 union all select 'split', 5000000000 + o_orderkey, 5000000000 + o_orderkey + 2 from {orders} where o_orderkey % 40 = 21"
+EDITS = "select 'delete' as kind, 5000000000 + o_orderkey as node_id, cast(null as bigint) as target_id, cast(null as string) as text from {orders} where o_orderkey % 40 = 1 union all select 'move', 4000000000 + c_custkey, 3000000000 + c_custkey % 25, null from {customer} where c_custkey % 10 = 2 union all select 'merge', 5000000000 + o_orderkey, 5000000000 + o_orderkey + 1, null from {orders} where o_orderkey % 40 = 11 union all select 'split', 5000000000 + o_orderkey, 6000000000 + 2 * o_orderkey + r_regionkey, r_name from {orders}, {region} where o_orderkey % 40 = 21 and r_regionkey < 2 union all select 'edit', 4000000000 + c_custkey, null, c_mktsegment || ' [TaxId:' || cast(c_custkey as string) || ']' from {customer} where c_custkey % 10 = 3"
+#: The release before: another id of each node, some customers already where they are moved to.
+BEFORE = f"select 10 * id as id, sunid, case when level_id = 4 and id % 20 = 2 then 10 * (3000000000 + id % 25) else 10 * parent_node_id end as parent_node_id from ({NODES}) x where id % 7 <> 3"
+EDITED = f""", e as ({EDITS}), gone as (select distinct c.node_id as id from closed c join e on e.kind = 'delete' and e.node_id = c.ancestor_id), mv as (select e.node_id, e.target_id, n.sunid, p.sunid as up, n.level_id, n.sccs, p.sccs as psccs from e join nodes n on n.id = e.node_id join nodes p on p.id = e.target_id where kind = 'move' and n.level_id = p.level_id + 1 and n.parent_node_id <> e.target_id),
+ mg as (select e.node_id, e.target_id from e join nodes n on n.id = e.node_id join nodes p on p.id = e.target_id where kind = 'merge' and n.level_id = p.level_id), sp as (select e.node_id, e.target_id, text from e join nodes n on n.id = e.node_id where kind = 'split')"""
 
 
 @query(
     "r12_apply_edits",
-    WITH_CLOSED + f""", e as ({EDITS}), gone as (select distinct c.node_id as id from closed c join e on e.kind = 'delete' and e.node_id = c.ancestor_id), mv as (select e.node_id, e.target_id from e join nodes n on n.id = e.node_id join nodes p on p.id = e.target_id where kind = 'move' and n.level_id = p.level_id + 1), mg as (select node_id, target_id from e where kind = 'merge')
- select n.id, n.sunid, n.sccs, n.sid, n.description, n.level_id, coalesce(mv.target_id, mg.target_id, n.parent_node_id) as parent_node_id from nodes n left join mv on mv.node_id = n.id left join mg on mg.node_id = n.parent_node_id where n.id not in (select id from gone) and n.id not in (select node_id from mg)""",
+    WITH_CLOSED + EDITED + """, ad as (select * from mg union all select node_id, min(target_id) from sp group by 1), cut as (select c.node_id from closed c join mv on mv.node_id = c.ancestor_id where not starts_with(mv.sccs, psccs || '.') group by 1)
+ select n.id, n.sunid, case when n.id in (select node_id from cut) then '' else n.sccs end as sccs, n.sid, coalesce(replace(replace(ed.text, '[TaxId: ', '[TaxId:'), '[TaxId:', '[TaxId: '), n.description) as description, n.level_id, coalesce(mv.target_id, ad.target_id, n.parent_node_id) as parent_node_id
+ from nodes n left join mv on mv.node_id = n.id left join ad on ad.node_id = n.parent_node_id left join (select node_id, text from e where kind = 'edit') ed on ed.node_id = n.id where n.id not in (select id from gone) and n.id not in (select node_id from ad)
+ union all select sp.target_id, 0, n.sccs, null, sp.text, n.level_id, n.parent_node_id from sp join nodes n on n.id = sp.node_id""",
 )
 def r12(t: Tables) -> DataFrame:
     nodes = t.sql(NODES)
-    return release.apply_edits(nodes, t.sql(EDITS), kept(tree.closure(nodes)))[0]
+    return release.apply_edits(nodes, t.sql(EDITS), kept(tree.closure(nodes)), t.sql(BEFORE))[0]
 
 
 @query(
     "r12_edit_history",
-    WITH_CLOSED + f""", e as ({EDITS}) select distinct c.node_id as old_node_id, cast(null as bigint) as new_node_id, 2 as change_type from closed c join e on e.kind = 'delete' and e.node_id = c.ancestor_id join nodes n on n.id = c.node_id where n.level_id = 8
- union all select e.node_id, e.node_id, 6 from e join nodes n on n.id = e.node_id join nodes p on p.id = e.target_id where kind = 'move' and n.level_id = p.level_id + 1 union all select node_id, target_id, 4 from e where kind = 'merge' union all select node_id, target_id, 5 from e where kind = 'split'""",
+    WITH_CLOSED + EDITED + f""", b as (select x.sunid, x.id as old, y.sunid as up from ({BEFORE}) x left join ({BEFORE}) y on y.id = x.parent_node_id where x.sunid > 0)
+ select old as old_node_id, cast(null as bigint) as new_node_id, 2 as change_type from gone join nodes n using (id) join b using (sunid) union all select old, mv.node_id, 6 from mv join b using (sunid) where b.up is distinct from mv.up
+ union all select old, mg.target_id, 4 from mg join nodes n on n.id = mg.node_id join b using (sunid) union all select old, sp.target_id, 5 from sp join nodes n on n.id = sp.node_id join b using (sunid)""",
 )
 def r12h(t: Tables) -> DataFrame:
     nodes = t.sql(NODES)
-    return release.apply_edits(nodes, t.sql(EDITS), kept(tree.closure(nodes)))[1]
+    return release.apply_edits(nodes, t.sql(EDITS), kept(tree.closure(nodes)), t.sql(BEFORE))[1]
+
+
+COMMENTS = "select 4000000000 + o_custkey as node_id, o_orderpriority as description, 0 as is_auto from {orders} group by 1, 2"
+COMMENT_EDITS = "select 'remove' as kind, 4000000000 + c_custkey as node_id, '1-' as text from {customer} where c_custkey % 3 = 0 union all select 'add', 4000000000 + c_custkey, 'automatic note' from {customer} where c_custkey % 4 = 0 union all select 'add', 4000000000 + c_custkey, '2-HIGH' from {customer} where c_custkey % 5 < 2"
+
+
+@query(
+    "r12_edit_comments",
+    f"""with c as ({COMMENTS}), e as ({COMMENT_EDITS}), l as (select * from c where not exists(select 1 from e where kind = 'remove' and e.node_id = c.node_id and starts_with(c.description, e.text)))
+ select * from l union all select distinct node_id, text, case when starts_with(text, 'automat') then 1 else 0 end from e where kind = 'add' and not exists(select 1 from l where l.node_id = e.node_id and l.description = e.text)""",
+)
+def r12c(t: Tables) -> DataFrame:
+    return release.edit_comments(t.sql(COMMENTS), t.sql(COMMENT_EDITS))
 
 
 FLAGS = "select 4000000000 + c_custkey as node_id from {customer} where c_custkey % 12 = 0"

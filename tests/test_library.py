@@ -264,3 +264,39 @@ def test_stable_clade_ids(spark):
     got = release.stable_clade_ids(spark.createDataFrame(old, NODE), spark.createDataFrame(new, NODE), spark.createDataFrame([(23, 6), (22, 4)], "new_node_id long, change_type int"), (2, 3))
     # B was moved: a new number, before C's; so F under it is new too; G has had its number
     assert {r["id"]: r["sunid"] for r in got.collect()} == {21: 0, 22: 10, 23: 41, 27: 42, 24: 12, 25: 40, 26: 43}
+
+
+def test_edits(spark):
+    rows = [_clade(1, 1, "root", "root", 1, None), _clade(2, 2, "a", "A", 2, 1), _clade(3, 3, "a.1", "F", 3, 2), _clade(4, 4, "a.1.1", "S", 4, 3), _clade(5, 5, "a.1.1.1", "M", 5, 4), _clade(6, 6, "a.1.1.2", "N", 5, 4)]
+    rows += [_clade(7, 7, "a.1.1.1", "P", 6, 5), _clade(8, 8, "a.1.1.1", "Q", 7, 7), _clade(9, 9, "a.1.1.1", "d", 8, 8, "d1abca_"), _clade(10, 10, "a.2", "G", 3, 2)]
+    nodes = spark.createDataFrame(rows, NODE)
+    closed = tree.closure(nodes)
+    before = spark.createDataFrame([(100 + r[0], r[1], None if r[6] is None else 100 + r[6]) for r in rows], "id long, sunid long, parent_node_id long")
+
+    def edited(*edits):
+        out, told = release.apply_edits(nodes, spark.createDataFrame(edits, "kind string, node_id long, target_id long, text string"), closed, before)
+        return {r["id"]: (r["sccs"], r["parent_node_id"], r["description"]) for r in out.collect()}, {tuple(r) for r in told.collect()}
+
+    out, told = edited(("move", 7, 6, None), ("edit", 10, None, "H [TaxId:9]"))
+    assert [out[i][0] for i in (7, 8, 9)] == ["a.1.1.2"] * 3 and out[7][1] == 6 and out[10][2] == "H [TaxId: 9]" and told == {(107, 7, 6)}
+    out, told = edited(("move", 4, 10, None))  # a class string that doesn't begin with the parent's is emptied, below too
+    assert [out[i][0] for i in (4, 5, 6, 9)] == [""] * 4 and told == {(104, 4, 6)}
+    out, told = edited(("move", 4, 2, None), ("move", 4, 3, None), ("merge", 4, 3, None))  # not adjacent; the own parent; another level
+    assert out[4] == ("a.1.1", 3, "S") and not told
+    out, told = edited(("merge", 5, 6, None), ("delete", 10, None, None))
+    assert 5 not in out and 10 not in out and out[7][1] == 6 and told == {(105, 6, 4), (110, None, 2)}
+    out, told = edited(("split", 5, 21, "M1"), ("split", 5, 22, "M2"))
+    assert 5 not in out and out[7][1] == 21 and out[22] == ("a.1.1.1", 4, "M2") and told == {(105, 21, 5), (105, 22, 5)}
+    told = spark.createDataFrame([(1, "old note", 0), (1, "other", 0), (2, "old note", 0)], "node_id long, description string, is_auto int")
+    edits = spark.createDataFrame([("remove", 1, "old"), ("add", 1, "other"), ("add", 2, "automatic x")], "kind string, node_id long, text string")
+    assert {tuple(r) for r in release.edit_comments(told, edits).collect()} == {(1, "other", 0), (2, "old note", 0), (2, "automatic x", 1)}
+
+
+def test_tag_domains(spark):
+    domains = spark.createDataFrame([(1, 11, 5, 90), (2, 12, 14, 80), (3, 13, 40, 90)], "chain_id long, id long, start int, end int")
+    tags = spark.createDataFrame([(1, "N", 0, 8, 0, 6), (2, "N", 0, 9, None, None), (3, "N", 0, 9, None, None)], "chain_id long, type string, first_start int, first_end int, second_start int, second_end int")
+    split = predict.split_tag_domains(domains, tags)
+    made = predict.tag_nodes(split, tags, {"N": 101, "C": 102}, 50)
+    assert {(r["id"], r["made_from"], r["start"], r["end"], r["parent_node_id"]) for r in made.collect()} == {(50, 11, 0, 8, 101), (51, 12, 0, 9, 101)}
+    told = predict.tag_history(split, made, spark.createDataFrame([(11, 1011), (12, 1012), (13, 1013)], "id long, old_node_id long"))
+    assert {tuple(r) for r in told.collect()} == {(1011, 11, 11), (1012, 12, 11), (1011, 11, 5), (1011, 50, 5)}
