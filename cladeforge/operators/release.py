@@ -134,23 +134,33 @@ def stable_clade_ids(old: DataFrame, new: DataFrame, history: DataFrame, levels:
     return done
 
 
-def stable_sccs(old: DataFrame, new: DataFrame) -> DataFrame:
-    """id, sccs of new nodes of levels 2 to 5: kept by sunid where the parent's still fits; else the parent's with the next number ever,
-    by id; `.0` for automated matches. old: sunid, sccs over all releases; new: id, sunid, level_id, parent_node_id, description."""
-    known = old.groupBy("sunid").agg(F.max("sccs").alias("kept"))
+def stable_sccs(old: DataFrame, new: DataFrame, every: DataFrame, history: DataFrame, levels: tuple[int, ...] = (3, 4, 5, 6, 7, 8)) -> tuple[DataFrame, DataFrame]:
+    """id, sccs of new nodes from level 2 down, and history (old_node_id, new_node_id, change_type 6) of those found under another class string than before.
+
+    Down to level 5 a node keeps its class string by sunid; others get the parent's with the next number ever, by id, `.0` for automated matches, and
+    `l` for the class of artifacts; null where a class or parent has none. Below, a node has its parent's. A node whose old string isn't that of its parent is told to have moved, unless history
+    (new_node_id, change_type) has that. old: id, sunid, sccs of the release before; every: sccs of all releases; new: id, sunid, level_id, parent_node_id, description.
+    """
+    known = old.groupBy("sunid").agg(F.min_by(F.struct(F.col("sccs").alias("kept"), F.col("id").alias("old_node_id")), "id").alias("k")).select("sunid", "k.*")
     number = F.element_at(F.split("sccs", r"\."), -1).try_cast("int")
-    largest = old.filter(F.col("sccs").contains(".")).select(F.regexp_replace("sccs", r"\.\d+$", "").alias("parent_sccs"), number.alias("n")).groupBy("parent_sccs").agg(F.max("n").alias("largest"))
-    above = new.filter("level_id = 2").join(known, "sunid", "left").select("id", F.col("kept").alias("sccs"))
-    done = above
-    for level in (3, 4, 5):
+    largest = every.filter(F.col("sccs").contains(".")).select(F.regexp_replace("sccs", r"\.\d+$", "").alias("parent_sccs"), number.alias("n")).groupBy("parent_sccs").agg(F.max("n").alias("largest"))
+    above = new.filter("level_id = 2").join(known, "sunid", "left").select("id", F.coalesce("kept", F.when(F.col("description") == "Artifacts", "l")).alias("sccs"))
+    done, moved = above, []
+    for level in levels:
         own = new.filter(F.col("level_id") == level).join(above.toDF("parent_node_id", "parent_sccs"), "parent_node_id").join(known, "sunid", "left")
-        fits = F.col("kept").isNotNull() & (F.regexp_replace("kept", r"\.\d+$", "") == F.col("parent_sccs"))
-        own = own.withColumn("sccs", F.when(fits, F.col("kept")).when(F.col("description") == "automated matches", F.concat("parent_sccs", F.lit(".0"))))
-        rank = F.row_number().over(Window.partitionBy("parent_sccs").orderBy("id"))
-        fresh = own.filter("sccs is null").withColumn("rank", rank).join(largest, "parent_sccs", "left").select("id", F.concat("parent_sccs", F.lit("."), F.coalesce("largest", F.lit(0)) + F.col("rank")).alias("sccs"))
-        above = kept(own.filter("sccs is not null").select("id", "sccs").union(fresh))
+        stem = F.col("kept") if level > 5 else F.regexp_replace("kept", r"\.[^.]*$", "")
+        moved.append(own.filter(stem != F.col("parent_sccs")).select("old_node_id", F.col("id").alias("new_node_id"), F.lit(6).alias("change_type")))
+        if level > 5:
+            above = kept(own.select("id", F.col("parent_sccs").alias("sccs")))
+        else:
+            own = own.withColumn("sccs", F.coalesce("kept", F.when(F.col("description") == "automated matches", F.concat("parent_sccs", F.lit(".0")))))
+            fresh = kept(numbered(own.filter("sccs is null and parent_sccs is not null").select("parent_sccs", "id"), ["parent_sccs", "id"], "at"))
+            begin = fresh.groupBy("parent_sccs").agg(F.min("at").alias("begin"))
+            fresh = fresh.join(begin, "parent_sccs").join(largest, "parent_sccs", "left").select("id", F.concat("parent_sccs", F.lit("."), F.coalesce("largest", F.lit(0)) + 1 + F.col("at") - F.col("begin")).alias("sccs"))
+            above = kept(own.filter("sccs is not null or parent_sccs is null").select("id", "sccs").union(fresh))
         done = done.union(above)
-    return done
+    told = history.filter("change_type = 6").select("new_node_id").distinct()
+    return done, reduce(DataFrame.union, moved).join(told, "new_node_id", "left_anti").select("old_node_id", "new_node_id", "change_type")
 
 
 def next_release_node(nodes: DataFrame) -> DataFrame:

@@ -99,21 +99,28 @@ def r5(t: Tables) -> DataFrame:
     return release.stable_clade_ids(t.sql(CLADES0), t.sql(CLADES1), t.sql(REMADE), (2, 3, 4, 5))
 
 
-SCCS0 = f"select sunid, sccs from ({NODES}) x where level_id between 2 and 5 and id % 6 <> 5"
-SCCS1 = f"select id, case when id % 6 = 1 then id * 10 else sunid end as sunid, level_id, parent_node_id, description from ({NODES}) x where level_id between 2 and 5"
+SCCS0 = f"select 10 * id as id, sunid, case when level_id in (5, 8) and id % 11 = 2 then 'a.0.0.' || cast(id as string) else sccs end as sccs from ({NODES}) x where level_id > 1 and id % 6 <> 5"
+SCCS1 = f"select id, case when id % 6 = 1 then id * 10 else sunid end as sunid, level_id, parent_node_id, description from ({NODES}) x where level_id > 1"
+EVERY = f"select sccs from ({NODES}) x where level_id > 1"
+MOVED = f"select id as new_node_id, 6 as change_type from ({NODES}) x where id % 5 = 1"
 
 
 def _sccs() -> str:
-    out = f"with o as ({SCCS0}), w as ({SCCS1}), k as (select sunid, max(sccs) as kept from o group by 1), g as (select regexp_replace(sccs, '\\.[0-9]+$', '') as ps, max(cast(list_last(string_split(sccs, '.')) as integer)) as big from o where contains(sccs, '.') group by 1), a2 as (select w.id, kept as sccs from w left join k using (sunid) where level_id = 2)"
-    for level in (3, 4, 5):
-        out += f""", m{level} as (select w.id, p.sccs as ps, case when regexp_replace(kept, '\\.[0-9]+$', '') = p.sccs then kept when description = 'automated matches' then p.sccs || '.0' end as sccs from w join a{level - 1} p on p.id = w.parent_node_id left join k using (sunid) where level_id = {level}),
+    out = f"with o as ({SCCS0}), w as ({SCCS1}), k as (select sunid, arg_min(sccs, id) as kept, min(id) as old from o group by 1), g as (select regexp_replace(sccs, '\\.[0-9]+$', '') as ps, max(cast(list_last(string_split(sccs, '.')) as integer)) as big from ({EVERY}) where contains(sccs, '.') group by 1), a2 as (select w.id, coalesce(kept, case when description = 'Artifacts' then 'l' end) as sccs from w left join k using (sunid) where level_id = 2)"
+    for level, up in ((3, 2), (4, 3), (5, 4)):
+        out += f""", m{level} as (select w.id, p.sccs as ps, old, kept, regexp_replace(kept, '[.][^.]*$', '') as stem, case when kept is not null then kept when description = 'automated matches' then p.sccs || '.0' end as sccs from w join a{up} p on p.id = w.parent_node_id left join k using (sunid) where level_id = {level}),
  a{level} as (select id, sccs from m{level} where sccs is not null union all select id, ps || '.' || (coalesce(big, 0) + row_number() over (partition by ps order by id)) from m{level} left join g using (ps) where sccs is null)"""
-    return out + " select * from a2 union all select * from a3 union all select * from a4 union all select * from a5"
+    return out + ", m8 as (select w.id, p.sccs as ps, old, kept as stem from w join a5 p on p.id = w.parent_node_id left join k using (sunid) where level_id = 8), a8 as (select id, ps as sccs from m8)"
 
 
-@query("r6_stable_sccs", _sccs())
+@query("r6_stable_sccs", _sccs() + " select * from a2 union all select * from a3 union all select * from a4 union all select * from a5 union all select * from a8")
 def r6(t: Tables) -> DataFrame:
-    return release.stable_sccs(t.sql(SCCS0), t.sql(SCCS1))
+    return release.stable_sccs(t.sql(SCCS0), t.sql(SCCS1), t.sql(EVERY), t.sql(MOVED), (3, 4, 5, 8))[0]
+
+
+@query("r6_move_history", _sccs() + ", mm as (select id, ps, old, stem from m3 union all select id, ps, old, stem from m4 union all select id, ps, old, stem from m5 union all select * from m8)" + f" select old as old_node_id, id as new_node_id, 6 as change_type from mm where stem <> ps and id not in (select new_node_id from ({MOVED}))")
+def r6h(t: Tables) -> DataFrame:
+    return release.stable_sccs(t.sql(SCCS0), t.sql(SCCS1), t.sql(EVERY), t.sql(MOVED), (3, 4, 5, 8))[1]
 
 
 BOTH = f"select id, sunid, sccs, 1 as release_id from ({OLD}) x union all select id, sunid, sccs, 2 from ({NEW}) y"

@@ -7,7 +7,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from cladeforge.operators import asof, cluster, lookup, predict, regions, release, residues, tree
+from cladeforge.operators import asof, cluster, lookup, predict, regions, release, residues, search, tree
 from cladeforge.plans.queries import ORACLES, QUERIES
 from cladeforge.plans.registry import TABLES
 from cladeforge.sources import flatfiles
@@ -300,3 +300,25 @@ def test_tag_domains(spark):
     assert {(r["id"], r["made_from"], r["start"], r["end"], r["parent_node_id"]) for r in made.collect()} == {(50, 11, 0, 8, 101), (51, 12, 0, 9, 101)}
     told = predict.tag_history(split, made, spark.createDataFrame([(11, 1011), (12, 1012), (13, 1013)], "id long, old_node_id long"))
     assert {tuple(r) for r in told.collect()} == {(1011, 11, 11), (1012, 12, 11), (1011, 11, 5), (1011, 50, 5)}
+
+
+def test_stable_sccs(spark):
+    old = [_clade(1, 10, "a", "A", 2, 0), _clade(2, 11, "a.1", "F", 3, 1), _clade(3, 12, "a.1.1", "S", 4, 2), _clade(4, 14, "a.1.1", "P", 6, 3)]
+    new = [_clade(21, 10, None, "A", 2, 0), _clade(22, 11, None, "F", 3, 21), _clade(23, 30, None, "G", 3, 21), _clade(24, 12, None, "S", 4, 23), _clade(25, 31, None, "T", 4, 23), _clade(26, 32, None, "automated matches", 5, 24), _clade(27, 14, None, "P", 6, 26), _clade(28, 33, None, "Artifacts", 2, 0)]
+    every = spark.createDataFrame([("a",), ("a.1",), ("a.7",), ("a.1.1",)], "sccs string")
+    done, told = release.stable_sccs(spark.createDataFrame(old, NODE), spark.createDataFrame(new, NODE), every, spark.createDataFrame([(27, 6)], "new_node_id long, change_type int"))
+    # G gets the number after all ever used; S keeps its string though it is under G now, and is told; P's move is told already
+    assert {r["id"]: r["sccs"] for r in done.collect()} == {21: "a", 22: "a.1", 23: "a.8", 24: "a.1.1", 25: "a.8.1", 26: "a.1.1.0", 27: "a.1.1.0", 28: "l"}
+    assert {tuple(r) for r in told.collect()} == {(3, 24, 6)}
+
+
+def test_search_index(spark):
+    nodes = spark.createDataFrame([_clade(1, 0, "root", "root", 1, None), _clade(2, 10, "a", "Alpha proteins", 2, 1), _clade(9, 19, "a.1.1.1", "1abc A:", 8, 2, "d1abca_")], NODE)
+    texts = spark.createDataFrame([(9, "pdb_title", "Crystal"), (9, "gene", "ABCD"), (9, "synthetic", None), (2, "comment", "fine words")], "id long, kind string, text string")
+    index = {tuple(r) for r in search.build_search_index(nodes, tree.closure(nodes), spark.createDataFrame([], "id long, kind string, value string, chain string"), texts).collect()}
+    assert {(2, "class", "node", 120), (2, "cla", "node", 24), (2, "class alpha", "node", 360), (9, "domain", "node", 80), (9, "crystal", "pdb_title", 20), (9, "abcd", "gene", 80), (9, "abc", "gene", 16), (9, "synthetic", "species_common", 20), (2, "fine", "comment", 12)} <= index
+    assert not {(9, "cry", "pdb_title", 4), (2, "fin", "comment", 2)} & index
+    entries = spark.createDataFrame([("1ABC", "Crystal of x1"), (" ", "none")], "code string, title string")
+    assert {("1abc", "1abc", "pdb_code", 1000), ("1abc", "pdb:1abc", "pdb_code", 1000), ("1abc", "crystal", "pdb_title", 30)} <= {tuple(r) for r in search.entry_tokens(entries).collect()}
+    targets = {(r["target_kind"], r["target_id"], r["display_name"], r["parent_sunid"]) for r in search.search_targets(nodes, entries).collect()}
+    assert targets == {("node", "10", "Alpha proteins", 0), ("node", "19", "d1abca_ 1abc A:", 10), ("pdb_entry", "1abc", "Crystal of x1", None)}
