@@ -24,7 +24,7 @@ def j2(t: Tables) -> DataFrame:
     return asof.asof_date(t.sql(VERSIONS), "2024-01-15").withColumn("revision_date", F.col("revision_date").cast("string"))
 
 
-REQUESTS = "select event_id as request_id, user_id as entry_id, cast(ts as date) - 1 as date from {events} where event_type = 'click' or event_id % 3 = 0"
+REQUESTS = "select event_id as request_id, user_id as entry_id, cast(ts as date) - 1 as date from {events}"
 
 
 @query(

@@ -187,7 +187,7 @@ def r10(t: Tables) -> DataFrame:
     return release.check_representatives(*_reps(t))
 
 
-PROMOTED = "select l_orderkey * 10 + l_linenumber as id, case when l_partkey % 8 = 0 then -1 else l_orderkey end as parent_node_id from {lineitem} where l_suppkey % 2 = 0 group by 1, 2"
+PROMOTED = "select l_orderkey * 10 + l_linenumber as id, case when l_partkey % 8 = 0 then -1 else l_orderkey end as parent_node_id from {lineitem} group by 1, 2"
 RULES = {"history": "select l_orderkey * 10 + l_linenumber as node_id from {lineitem} where l_partkey % 3 > 0", "chain": "select l_orderkey * 10 + l_linenumber as node_id from {lineitem} where l_partkey % 4 > 0", "map": "select l_orderkey * 10 + l_linenumber as node_id from {lineitem} where l_quantity < 40", "sequence": "select l_orderkey * 10 + l_linenumber as node_id from {lineitem} where l_quantity > 3"}
 PARENTS = "select o_orderkey as id from {orders}"
 
@@ -296,7 +296,7 @@ def r17(t: Tables) -> DataFrame:
 
 AUTOMATIC = "select o_orderkey as id, o_custkey % 50 as family_id, o_orderkey % 20 as gene, 'S' || cast(o_custkey % 9 as string) as name, o_orderkey % 11 as taxid from {orders}"
 GENES = "select c_custkey % 50 as family_id, c_nationkey % 20 as gene, c_custkey % 60 as protein_id from {customer}"
-UNDER = "select p_partkey % 60 as protein_id, p_partkey as species_id, 'S' || cast(p_size % 9 as string) as name, p_size % 11 as taxid from {part} where p_partkey % 3 = 0"
+UNDER = "select p_partkey % 60 as protein_id, p_partkey as species_id, 'S' || cast(p_size % 9 as string) as name, p_size % 11 as taxid from {part}"
 
 
 @query(
