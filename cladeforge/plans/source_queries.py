@@ -182,6 +182,14 @@ def s19(t: Tables) -> DataFrame:
     return _text(t, lambda p: f.write_subsets(t.sql(SUBSET).withColumn("score", F.col("score").cast("double")), "log", p))
 
 
+SUBSET_SEQS = "select c_custkey as item, 'd' || cast(c_custkey as string) as sid, 'd' || cast(c_custkey as string) || ' ' || c_name as header, lower(c_mktsegment) as seq from {customer}"
+
+
+@query("s19_write_subsets_fasta", f"with q as ({SUBSET_SEQS}), r as (select * from q where item in (select rep from ({SUBSET}))) select '>' || header as line from r union all select seq from r")
+def s19f(t: Tables) -> DataFrame:
+    return _text(t, lambda p: f.write_subsets(t.sql(SUBSET), "fasta", p, t.sql(SUBSET_SEQS)))
+
+
 ANNOTATED = f"select o as chain_id, cast(n as int) as number, cast(n as string) as suffix, 'h' || cast(n as string) as name, n * 10 as start, n * 10 + 5 as \"end\", 0 as region from ({LINES}) x union all select o, cast(n as int), cast(n as string), 'h' || cast(n as string), n * 10 + 7, n * 10 + 9, 1 from ({LINES}) x where part % 2 = 0"
 
 

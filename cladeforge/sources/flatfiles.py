@@ -236,8 +236,12 @@ def read_alignment_stats(spark: SparkSession, path: str) -> DataFrame:
 # subsets and predictions
 
 
-def write_subsets(assigned: DataFrame, mode: str, path: str) -> None:
-    """ids: the reps; log: each rep and its members with their scores. assigned: threshold, rep, item, score."""
+def write_subsets(assigned: DataFrame, mode: str, path: str, seqs: DataFrame | None = None, style: str = "domain") -> None:
+    """ids: the reps; log: each rep and its members with their scores; fasta: the reps' sequences. assigned: threshold, rep, item, score; seqs: item and
+    what write_fasta takes in that style."""
+    if mode == "fasta":
+        write_fasta(seqs.join(assigned.select(F.col("rep").alias("item")).distinct(), "item", "left_semi"), path, style)
+        return
     if mode == "ids":
         _write(assigned.select("rep", F.col("rep").cast("string").alias("line")).distinct(), path, "rep")
         return
