@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cladeforge.llm import chat, decontamination, language_id, licenses, packing, ppm, quality_model, quality_rules, simhash, suffix_dedup
+from cladeforge.llm import chat, decontamination, language_id, licenses, packing, periodic, pieces, ppm, quality_model, quality_rules, simhash, suffix_dedup, whitening
 from cladeforge.llm.common import table
 
 
@@ -16,6 +16,12 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def piece_model_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.without_repeats(table(spark, sf_dir, "documents"))
 
@@ -56,9 +62,24 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode_digests(table(spark, sf_dir, "documents"), piece_model_path())
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.run_digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_suffix_dedup, op2_packing, op3_license_scan, op4_language_id, op5_quality_rules, op6_lm_scoring, op7_quality_classifier, op8_chat_formatting, op9_decontamination, op10_simhash)
+    for f in (
+        op1_suffix_dedup, op2_packing, op3_license_scan, op4_language_id, op5_quality_rules, op6_lm_scoring, op7_quality_classifier, op8_chat_formatting, op9_decontamination, op10_simhash,
+        op11_whitening, op12_pieces, op13_periodic_runs,
+    )
 }
 
 _WORD = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
