@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -17,74 +18,137 @@ SUFFIXES = "123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0"
 Runs = list[tuple[int, int]]
 
 
-def _overlap(a: Runs, b: Runs) -> int:
-    return sum(max(0, min(e, f) - max(s, t)) for s, e in a for t, f in b)
-
-
-def _minus(a: Runs, b: Runs) -> Runs:
-    for t, f in b:
-        a = [x for s, e in a for x in ((s, min(e, t)), (max(s, f), e)) if x[1] > x[0]]
-    return a
+class Taken:
+    """A set of disjoint runs [start, end) in order, looked up by bisection."""
+
+    def __init__(self) -> None:
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+
+    def _near(self, start: int, end: int) -> range:
+        """Places of the runs that share a residue with [start, end)."""
+        return range(bisect_right(self.ends, start), bisect_left(self.starts, end))
+
+    def overlap(self, start: int, end: int) -> int:
+        return sum(min(end, self.ends[i]) - max(start, self.starts[i]) for i in self._near(start, end))
+
+    def free(self, start: int, end: int) -> Runs:
+        """What of [start, end) isn't taken."""
+        out, at = [], start
+        for i in self._near(start, end):
+            if self.starts[i] > at:
+                out.append((at, self.starts[i]))
+            at = self.ends[i]
+        return out + [(at, end)] if at < end else out
+
+    def add(self, start: int, end: int) -> None:
+        for s, e in self.free(start, end):
+            i = bisect_left(self.starts, s)
+            self.starts.insert(i, s)
+            self.ends.insert(i, e)
+
+
+class Chain:
+    """What is accepted on a chain, from hits that come one by one in their order; nothing of a rejected hit is held."""
+
+    def __init__(self, max_overlap: int = 10, fill: int = 50, unmatched: int = 20) -> None:
+        self.limits = max_overlap, fill, unmatched
+        self.taken = Taken()
+        self.found: list[tuple[str, Runs]] = []
+
+    def offer(self, name: str, runs: Runs) -> None:
+        """One that overlaps the accepted by at most the limit, or half of itself, joins without the overlap. Regions of its own that overlap are one."""
+        joined: Runs = []
+        for s, e in sorted(runs):
+            joined[-1:] = [(joined[-1][0], max(e, joined[-1][1]))] if joined and s < joined[-1][1] else [*joined[-1:], (s, e)]
+        runs = joined
+        total = sum(e - s for s, e in runs)
+        if sum(self.taken.overlap(s, e) for s, e in runs) > min(self.limits[0], total // 2):
+            return
+        left = [x for s, e in runs for x in self.taken.free(s, e)]
+        if left:
+            if len(self.found) >= len(SUFFIXES):
+                raise ValueError("more domains than there are suffixes")
+            self.found.append((name, left))
+            for s, e in left:
+                self.taken.add(s, e)
+
+    def annotations(self, length: int) -> list[tuple[str, Runs]]:
+        """Names and runs by start. An annotation's holes shorter than `fill` close, all or none: none if another one is in any of them.
+        Bare runs of at least `unmatched` are annotations."""
+        _, fill, unmatched = self.limits
+        out, every = [], Taken()
+        for name, runs in self.found:
+            holes = [(e, s) for (_, e), (s, _) in zip(runs, runs[1:], strict=False) if s - e < fill]
+            closed = bool(holes) and not any(self.taken.overlap(e, s) for e, s in holes)
+            joined = [runs[0]]
+            for s, e in runs[1:]:
+                joined[-1:] = [(joined[-1][0], e)] if closed and s - joined[-1][1] < fill else [joined[-1], (s, e)]
+            out.append((name, joined))
+            for s, e in joined:
+                every.add(s, e)
+        bare = [("unmatched", [(s, e)]) for s, e in every.free(0, length) if e - s >= unmatched]
+        return sorted(out + bare, key=lambda x: x[1])
 
 
 def accept(hits: list[tuple], length: int, max_overlap: int = 10, fill: int = 50, unmatched: int = 20) -> list[tuple[str, Runs]]:
-    """Names and runs [start, end) of what is accepted on a chain, by start.
-
-    hits: (is_model, log10e, total length, is_sequence_hit, name, runs). Ordered: models last, least E, longest, sequence hits
-    first, name. One that overlaps the accepted by at most the limit, or half of itself, joins without the overlap. Then an
-    annotation's holes shorter than `fill` close, all or none: none if another one is in any of them. Bare runs of at least `unmatched` are
-    annotations.
-    """
-    taken: list[tuple[str, Runs]] = []
-    for is_model, e, total, is_seq, name, runs in sorted(hits, key=lambda h: (h[0], h[1], -h[2], not h[3], h[4], h[5])):
-        every = [r for _, rs in taken for r in rs]
-        if _overlap(every, runs) <= min(max_overlap, total // 2):
-            left = _minus(sorted(runs), every)
-            if left:
-                taken.append((name, left))
-    filled: list[tuple[str, Runs]] = []
-    for i, (name, runs) in enumerate(taken):  # each as a whole or not at all, against the others as they were
-        out = [runs[0]]
-        for s, e in runs[1:]:
-            out[-1:] = [(out[-1][0], e)] if s - out[-1][1] < fill else [out[-1], (s, e)]
-        free = not any(_overlap(out, rs) for j, (_, rs) in enumerate(taken) if j != i)
-        filled.append((name, out if free else runs))
-    taken = filled
-    bare = _minus([(0, length)], [r for _, rs in taken for r in rs])
-    taken += [("unmatched", [(s, e)]) for s, e in bare if e - s >= unmatched]
-    return sorted(taken, key=lambda x: x[1])
+    """Names and runs of what is accepted of one chain's hits (is_model, log10e, total length, is_sequence_hit, name, runs), in any order."""
+    chain = Chain(max_overlap, fill, unmatched)
+    for _, _, _, _, name, runs in sorted(hits, key=lambda h: (h[0], h[1], -h[2], not h[3], h[4], h[5])):
+        chain.offer(name, runs)
+    return chain.annotations(length)
 
 
 def accept_annotations(hits: DataFrame, lengths: DataFrame, max_overlap: int = 10, fill: int = 50, unmatched: int = 20) -> DataFrame:
     """chain_id, number, suffix, name, start, end, region of the accepted annotations, one row a region.
 
-    hits: chain_id, hit_id, name, is_model, is_sequence_hit, log10e, start, length (one row a region); lengths: chain_id,
-    chain_length. The order decides, so a chain is one small group: sequence searches keep at most 5000 hits a chain, and
-    chains of one sequence should be given once. One whole-chain annotation has the suffix `_`; 62 domains or more are an error.
-    """
+    hits: chain_id, hit_id, name, is_model, is_sequence_hit, log10e, start, length (one row a region, the regions of a hit apart; equal rows
+    count once); lengths: chain_id, chain_length. Models come last; then least E, longest, sequence hits first, name, regions and
+    hit_id decide, each hit against those accepted before it.
 
-    h = F.struct("hit_id", "name", "is_model", "is_sequence_hit", "log10e", "start", "length")
-    rows = lengths.join(hits.groupBy("chain_id").agg(F.collect_list(h).alias("hits")), "chain_id", "left").select("chain_id", "chain_length", "hits")
+    The hits of a chain pass through one task in this order, dealt by chain and sorted within partitions (which spills): of a chain
+    of any number of hits only the accepted runs are held, those of 62 domains at most. One whole-chain annotation has the suffix
+    `_`; 62 domains or more are an error. A chain without hits is unmatched.
+    """
+    runs = F.array_sort(F.collect_set(F.struct("start", (F.col("start") + F.col("length")).alias("end"))))
+    facts = [F.min(c).alias(c) for c in ("name", "is_model", "is_sequence_hit", "log10e")]
+    whole = hits.groupBy("chain_id", "hit_id").agg(*facts, runs.alias("runs"))
+    total = F.aggregate("runs", F.lit(0).cast("long"), lambda a, r: a + r["end"] - r["start"])
+    order = ["chain_id", "is_model", "log10e", F.desc("total"), F.desc("is_sequence_hit"), "name", "runs", "hit_id"]
+    rows = lengths.join(whole, "chain_id", "left").withColumn("total", total)
+    dealt = rows.repartition("chain_id").sortWithinPartitions(*order).select("chain_id", "chain_length", "name", "runs")
+
+    def lines(chain_id: int, length: int, chain: Chain) -> list[tuple]:
+        found = chain.annotations(length)
+        if len(found) >= len(SUFFIXES):
+            raise ValueError(f"chain {chain_id}: more domains than there are suffixes")
+        whole = len(found) == 1 and found[0][1] == [(0, length)]
+        return [(chain_id, i + 1, "_" if whole else SUFFIXES[i], name, s, e, j) for i, (name, runs) in enumerate(found) for j, (s, e) in enumerate(runs)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["chain_id", "number", "suffix", "name", "start", "end", "region"]
+        types = (pa.int64(), pa.int32(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int32())
+        now: tuple[int, int] | None = None
+        chain = Chain(max_overlap, fill, unmatched)
+
+        def batch_of(out: list[tuple]) -> pa.RecordBatch:
+            columns = zip(*out, strict=True) if out else [[]] * len(names)
+            return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, types, strict=True)], names)
+
         for batch in batches:
-            out = []
-            for chain, length, own in zip(*(batch.column(k).to_pylist() for k in ("chain_id", "chain_length", "hits")), strict=True):
-                groups: dict[int, tuple[dict, Runs]] = {}
-                for x in own or []:
-                    groups.setdefault(x["hit_id"], (x, []))[1].append((x["start"], x["start"] + x["length"]))
-                sets = [(x["is_model"], x["log10e"], sum(e - s for s, e in runs), x["is_sequence_hit"], x["name"], sorted(runs)) for x, runs in groups.values()]
-                found = accept(sets, length, max_overlap, fill, unmatched)
-                if len(found) >= len(SUFFIXES):
-                    raise ValueError(f"chain {chain}: more domains than there are suffixes")
-                for i, (name, runs) in enumerate(found):
-                    whole = len(found) == 1 and runs == [(0, length)]
-                    out += [(chain, i + 1, "_" if whole else SUFFIXES[i], name, s, e, j) for j, (s, e) in enumerate(runs)]
-            columns = zip(*out, strict=True) if out else [[]] * 7
-            types = (pa.int64(), pa.int32(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, types, strict=True)], ["chain_id", "number", "suffix", "name", "start", "end", "region"])
-
-    return rows.mapInArrow(run, "chain_id long, number int, suffix string, name string, start long, end long, region int")
+            out: list[tuple] = []
+            for chain_id, length, name, runs in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if now != (chain_id, length):
+                    if now:
+                        out += lines(*now, chain)
+                    now, chain = (chain_id, length), Chain(max_overlap, fill, unmatched)
+                if runs:
+                    chain.offer(name, [(r["start"], r["end"]) for r in runs])
+            yield batch_of(out)
+        if now:
+            yield batch_of(lines(*now, chain))
+
+    return dealt.mapInArrow(run, "chain_id long, number int, suffix string, name string, start long, end long, region int")
 
 
 def fill_gaps(regions: DataFrame, min_gap: int = 50) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cladeforge.operators import predict, residues, tree
+from cladeforge.operators.predict import SUFFIXES
 from cladeforge.plans.registry import Tables, query
 from cladeforge.plans.residue_queries import WITH, maps
 from cladeforge.plans.shapes import LINES, NODES, WITH_CLOSED
@@ -14,7 +15,33 @@ from cladeforge.sources.scratch import kept
 HITS = f"select o as chain_id, o * 10 + n as hit_id, 'h' || cast(supp as string) as name, case when part % 4 = 0 then 1 else 0 end as is_model, part % 2 = 0 as is_sequence_hit, -cast(qty as double) as log10e, n * 12 as start, cast(qty as bigint) + 3 as length from ({LINES}) x union all select o, o * 10 + n, 'h' || cast(supp as string), case when part % 4 = 0 then 1 else 0 end, part % 2 = 0, -cast(qty as double), n * 12 + 70, cast(qty as bigint) % 7 + 1 from ({LINES}) x where part % 3 = 0"
 
 
-@query("n1_accept_annotations")
+#: Acceptance residue by residue: of each chain, hit after hit in their order, the residues taken so far, and those that the hit got.
+ACCEPTED = f"""with recursive hits as ({HITS}),
+ hit as (select chain_id, hit_id, min(name) as name, min(is_model) as is_model, bool_or(is_sequence_hit) as is_seq, min(log10e) as log10e, cast(sum(length) as bigint) as total,
+  flatten(list(range(start, start + length) order by start)) as pos, list([start, start + length] order by start) as runs from (select distinct * from hits) group by chain_id, hit_id),
+ ranked as (select *, row_number() over (partition by chain_id order by is_model, log10e, -total, is_seq desc, name, runs, hit_id) as k from hit),
+ walk(chain_id, k, name, got, taken) as (
+  select o_orderkey, cast(0 as bigint), '', cast([] as bigint[]), cast([] as bigint[]) from orders
+  union all
+  select chain_id, k, name, got, list_concat(taken, got) from (
+   select w.chain_id, r.k, r.name, w.taken, case when len(list_intersect(w.taken, r.pos)) <= least(10, r.total // 2) then list_filter(r.pos, lambda p: not list_contains(w.taken, p)) else [] end as got
+   from walk w join ranked r on r.chain_id = w.chain_id and r.k = w.k + 1)),
+ pos as (select chain_id, k, name, unnest(got) as p from walk),
+ isle as (select chain_id, k, name, min(p) as s, max(p) + 1 as e from (select *, p - row_number() over (partition by chain_id, k order by p) as g from pos) group by chain_id, k, name, g),
+ hole as (select *, lead(s) over (partition by chain_id, k order by s) as next from isle),
+ spoilt as (select distinct h.chain_id, h.k from hole h join isle i on i.chain_id = h.chain_id and i.k <> h.k and i.s >= h.e and i.s < h.next where h.next - h.e < 50),
+ run as (select h.*, sum(case when before is null or s - before >= 50 or spoilt.k is not null then 1 else 0 end) over (partition by h.chain_id, h.k order by s) as run
+  from (select *, lag(e) over (partition by chain_id, k order by s) as before from isle) h left join spoilt using (chain_id, k)),
+ own as (select chain_id, k, name, min(s) as s, max(e) as e from run group by chain_id, k, name, run),
+ ends as (select chain_id, s, e from own union all select o_orderkey, 150, 150 from orders),
+ bare as (select chain_id, coalesce(max(e) over (partition by chain_id order by s, e rows between unbounded preceding and 1 preceding), 0) as s, s as e from ends),
+ every as (select chain_id, k, name, s, e from own union all select chain_id, -s - 1, 'unmatched', s, e from bare where e - s >= 20),
+ first as (select *, min(s) over (partition by chain_id, k) as begins, count(*) over (partition by chain_id) as n from every),
+ told as (select chain_id, dense_rank() over (partition by chain_id order by begins) as number, name, s, e, n, row_number() over (partition by chain_id, k order by s) - 1 as region from first),
+ accepted as (select chain_id, cast(number as int) as number, case when n = 1 and s = 0 and e = 150 then '_' else substr('{SUFFIXES}', number, 1) end as suffix, name, s as start, e as "end", cast(region as int) as region from told)"""
+
+
+@query("n1_accept_annotations", f"{ACCEPTED} select * from accepted")
 def n1(t: Tables) -> DataFrame:
     return predict.accept_annotations(t.sql(HITS), t.sql("select o_orderkey as chain_id, 150 as chain_length from {orders}"))
 
@@ -87,10 +114,19 @@ def n6(t: Tables) -> DataFrame:
     return predict.split_linkers(t.sql(LINKED.replace('"end"', "`end`")), 12)
 
 
-@query("n7_predict_domains")
+ACCEPTED_CHAINS = "select o_orderkey as chain_id, 'c' || cast(o_custkey as string) as code, 'A' as chain, rpad('mk', 150, o_orderpriority) as seq from {orders}"
+
+
+@query(
+    "n7_predict_domains",
+    f"""{ACCEPTED}, c as ({ACCEPTED_CHAINS}),
+ d as (select a.chain_id, number, suffix, name, any_value(code) as code, any_value(chain) as chain, string_agg(chain || ':' || (start + 1) || '-' || "end", ',' order by region) as regions, string_agg(substr(seq, start + 1, "end" - start), 'X' order by region) as seq
+  from accepted a join c using (chain_id) group by all),
+ s as (select *, 'e' || lower(code) || lower(chain) || suffix as sid from d)
+ select chain_id, sid, regions, seq, sid || ' (' || regions || ') ' || name as header from s""",
+)
 def n7(t: Tables) -> DataFrame:
-    chains = t.sql("select o_orderkey as chain_id, 'c' || cast(o_custkey as string) as code, 'A' as chain, rpad('mk', 150, o_orderpriority) as seq from {orders}")
-    return predict.predict_domains(t.sql(HITS), chains)
+    return predict.predict_domains(t.sql(HITS), t.sql(ACCEPTED_CHAINS))
 
 
 CHECKED = """select l_orderkey * 10 + l_linenumber + l_partkey * 1000000 as id, l_orderkey as chain_id, case when l_partkey % 31 = 0 then null else 'd' end as description, l_partkey % 7 % 2 as unmatched_parts, l_linenumber as domains_in_chain, l_suppkey % 29 = 0 as is_genetic, l_partkey % 12 as hit_start, 100 as hit_end,

@@ -94,6 +94,74 @@ def test_accepted_never_overlap(spark):
     assert [(x["suffix"], x["name"]) for x in got if x["chain_id"] == 20] == [("_", "unmatched")]
 
 
+def plain_accept(hits, length, max_overlap=10, fill=50, unmatched=20):
+    """Acceptance by residues, one hit after the other. hits: (order, name, runs)."""
+    taken, found = set(), []
+    for _, name, runs in sorted(hits):
+        own = {p for s, e in runs for p in range(s, e)}
+        if len(own & taken) <= min(max_overlap, len(own) // 2) and own - taken:
+            found.append((name, own - taken))
+            taken |= own
+
+    def isles(places):
+        out = []
+        for p in sorted(places):
+            out[-1:] = [(out[-1][0], p + 1)] if out and p == out[-1][1] else [*out[-1:], (p, p + 1)]
+        return out
+
+    closed = []
+    for name, own in found:
+        holes = {p for (_, e), (s, _) in zip(isles(own), isles(own)[1:], strict=False) if s - e < fill for p in range(e, s)}
+        closed.append((name, isles(own if holes & taken else own | holes)))
+    covered = {p for _, runs in closed for s, e in runs for p in range(s, e)}
+    closed += [("unmatched", [(s, e)]) for s, e in isles(set(range(length)) - covered) if e - s >= unmatched]
+    return sorted(closed, key=lambda x: x[1])
+
+
+def many_hits(r, n, length):
+    out = []
+    for h in range(n):
+        start = r.randrange(length - 30)
+        runs = [(start, start + r.randint(5, 25))]
+        if r.random() < 0.5 and start + 60 < length:
+            runs.append((start + 30 + r.randrange(20), start + 55))
+        out.append((h, f"h{r.randrange(50)}", runs))
+    return out
+
+
+def test_acceptance_by_residues():
+    r = random.Random(4)
+    for _ in range(300):
+        length = r.choice((60, 200, 900))
+        hits = many_hits(r, r.choice((1, 5, 40)), length)
+        chain = predict.Chain()
+        for _, name, runs in hits:
+            chain.offer(name, runs)
+        assert chain.annotations(length) == plain_accept(hits, length)
+
+
+def test_a_chain_of_very_many_hits(spark):
+    """All hits of a hot chain pass through one set of runs; a quiet chain and one without hits stand beside it."""
+    n, length = 100_000, 1500
+    hits = spark.range(n).selectExpr("1L as chain_id", "id as hit_id", "concat('h', id % 50) as name", "0 as is_model", "true as is_sequence_hit", "cast(hash(id) as double) as log10e", "pmod(hash(id, 7), 1400) as start", "20 + pmod(hash(id, 9), 60) as length")
+    few = spark.createDataFrame([(2, 1, "a", 0, True, -3.0, 10, 300)], hits.schema)
+    got = predict.accept_annotations(hits.union(few), spark.createDataFrame([(1, length), (2, 400), (3, 30)], "chain_id long, chain_length int")).collect()
+    own = [((x.log10e, -x.length, x.name, x.start, x.hit_id), x.name, [(x.start, x.start + x.length)]) for x in hits.collect()]
+    want = [(name, s, e) for name, runs in plain_accept(own, length) for s, e in runs]
+    assert [(x["name"], x["start"], x["end"]) for x in sorted(got, key=lambda x: (x["number"], x["region"])) if x["chain_id"] == 1] == want
+    assert sorted((x["chain_id"], x["suffix"], x["name"], x["start"], x["end"]) for x in got if x["chain_id"] > 1) == [(2, "1", "a", 10, 310), (2, "2", "unmatched", 310, 400), (3, "_", "unmatched", 0, 30)]
+
+
+def test_a_long_path_takes_few_rounds(spark, monkeypatch):
+    tables = []
+    real = cluster.written
+    monkeypatch.setattr(cluster, "written", lambda df: tables.append(1) or real(df))
+    n = 100_000
+    got = cluster.greedy_cover(spark.range(n).selectExpr("id as item", "id as rank"), spark.range(n - 1).selectExpr("id as a", "id + 1 as b"))
+    assert got.filter("rep <> item - item % 2").isEmpty() and got.count() == n  # even ones are reps, each claims the next
+    assert len(tables) < 2 * 40
+
+
 def test_automatch_cycle(spark):
     matches = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a"), ("x", "y")], "sid string, target string")
     assert rows(tree.automatch_closure(matches, spark.createDataFrame([("c",)], "sid string")), "sid") == [("a",), ("b",)]
