@@ -168,18 +168,28 @@ def snapshot_diff(old: DataFrame, new: DataFrame) -> DataFrame:
 SPAN = 64
 
 
-def variant_to_structure(variants: DataFrame, alignments: DataFrame, residues: DataFrame, quality: DataFrame) -> DataFrame:
-    """Per variant the best structure whose aligned range covers its position, with the residue there.
+def variant_to_structure(variants: DataFrame, alignments: DataFrame, residues: DataFrame, chains: DataFrame) -> DataFrame:
+    """variant_id, chain_id, in_range, res_id, observed, nearest_before, nearest_after: per variant the best structure whose aligned range holds its position.
 
     variants: variant_id, accession, position; alignments: accession, chain_id, db_start, db_end, chain_start;
-    residues: chain_id, idx, res_id, observed; quality: chain_id, score. Best: observed, then score, then chain.
-    The accession and the stretch of SPAN positions carry the join, so that a variant only meets ranges nearby.
+    residues: chain_id, idx, res_id, observed (the chains' maps); chains: chain_id, length, is_classified, score.
+    Best: a residue in the map first, then classified chains, then observed residues, then long chains, then score, then the least chain. A
+    structure whose map ends before the residue stays, as not in range. Of a residue that isn't observed, the nearest observed
+    ones before and after it are named. The accession and the stretch of SPAN positions carry the join, so that a variant only
+    meets ranges nearby.
     """
     ranged = alignments.filter("db_start <= db_end").withColumn("stretch", F.explode(F.sequence(F.floor(F.col("db_start") / SPAN), F.floor(F.col("db_end") / SPAN))))
     inside = variants.withColumn("stretch", F.floor(F.col("position") / SPAN)).join(ranged, ["accession", "stretch"]).filter("position between db_start and db_end")
-    placed = inside.withColumn("idx", F.expr("chain_start + position - db_start")).join(residues, ["chain_id", "idx"]).join(quality, "chain_id", "left")
-    order = F.struct(F.col("observed").cast("int"), F.coalesce("score", F.lit(0.0)), -F.col("chain_id"))
-    return placed.groupBy("variant_id").agg(F.max_by(F.struct("chain_id", "res_id", "observed"), order).alias("best")).select("variant_id", "best.*")
+    used = residues.join(alignments.select("chain_id").distinct(), "chain_id", "left_semi")
+    seen = F.when(F.col("observed"), F.col("res_id"))
+    own = Window.partitionBy("chain_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    near = used.withColumn("before", F.last(seen, True).over(own.orderBy("idx"))).withColumn("after", F.last(seen, True).over(own.orderBy(F.desc("idx"))))
+    placed = inside.withColumn("idx", F.expr("chain_start + position - db_start")).join(near, ["chain_id", "idx"], "left").join(chains, "chain_id", "left")
+    in_range, hidden = F.col("res_id").isNotNull(), ~F.coalesce("observed", F.lit(True))
+    facts = ["chain_id", in_range.alias("in_range"), "res_id", F.coalesce("observed", F.lit(False)).alias("observed"), F.when(hidden, F.col("before")).alias("nearest_before"), F.when(hidden, F.col("after")).alias("nearest_after")]
+    told = lambda c: F.coalesce(F.col(c).cast("int"), F.lit(0))
+    order = F.struct(in_range.cast("int").alias("a"), told("is_classified").alias("b"), told("observed").alias("c"), told("length").alias("d"), F.coalesce("score", F.lit(0.0)).alias("e"), (-F.col("chain_id")).alias("f"))
+    return placed.groupBy("variant_id").agg(F.max_by(F.struct(*facts), order).alias("best")).select("variant_id", "best.*")
 
 
 def domain_xrefs(links: DataFrame, xrefs: DataFrame, nodes: DataFrame) -> DataFrame:

@@ -210,30 +210,43 @@ def check_ids(old: DataFrame, new: DataFrame, history: DataFrame) -> DataFrame:
     return reduce(DataFrame.union, parts)
 
 
-def change_summary(old: DataFrame, new: DataFrame) -> DataFrame:
-    """category, curation, n of domains over two releases. old, new: sunid, sid, description, sccs, curation_type_id, level_id.
+def change_summary(old: DataFrame, new: DataFrame, history: DataFrame) -> DataFrame:
+    """category, curation, n of the old release's domains, without those that history ends (types 1 to 3).
 
-    unchanged; silent (text alone); region-to-chain; minor (sid kept but for case or suffix) or major; moved (class string), at
-    the level where it parts; new; obsolete.
+    Of each domain, by its sunid, two things are told. Its change: unchanged (text and sid), major (gone), region-to-chain (a new
+    sid that ends in `_`, the same sequence), minor (such a sid with another sequence, or the old sid with another one), silent (old sid, old
+    sequence), other-sid (any other new sid). Its place, unless it is gone: unmoved (parent and grandparent have the old sunids), else moved,
+    of automatic ones moved-overly-specific where the new grandparent is "automated matches", and moved-incorrect.
+    Curation is the old node's: curated (1), automatic, or all where it doesn't count.
+
+    old, new: id, sunid, sid, description, curation_type_id, level_id, parent_node_id, seq_id, all nodes; history: old_node_id, change_type.
     """
-    o = old.filter("level_id = 8").select("sunid", *(F.col(c).alias(f"{c}0") for c in ("sid", "description", "sccs")))
-    n = new.filter("level_id = 8").select("sunid", "sid", "description", "sccs", "curation_type_id")
-    both = o.join(n, "sunid", "full")
-    from cladeforge.functions.text import sccs_depth
-
-    depth = sccs_depth(F.col("sccs0"), F.col("sccs"))
-    category = (
-        F.when(F.col("sid0").isNull(), "new")
-        .when(F.col("sid").isNull(), "obsolete")
-        .when(F.col("sccs0") != F.col("sccs"), F.concat(F.lit("moved-"), depth))
-        .when((F.col("sid0") == F.col("sid")) & (F.col("description0") == F.col("description")), "unchanged")
-        .when(F.col("sid0") == F.col("sid"), "silent")
-        .when(F.col("sid").endswith("_") & ~F.col("sid0").endswith("_"), "region-to-chain")
-        .when(F.lower(F.substring("sid0", 1, 6)) == F.lower(F.substring("sid", 1, 6)), "minor")
-        .otherwise("major")
+
+    def placed(nodes: DataFrame, tag: str) -> DataFrame:
+        up = nodes.select(F.col("id").alias("parent_node_id"), F.col("sunid").alias("up"), F.col("parent_node_id").alias("grand_id"))
+        grand = nodes.select(F.col("id").alias("grand_id"), F.col("sunid").alias("grand"), F.col("description").alias("grand_text"))
+        own = nodes.filter("level_id = 8").select("id", "sunid", "sid", "description", "curation_type_id", "seq_id", "parent_node_id")
+        rows = own.join(up, "parent_node_id", "left").join(grand, "grand_id", "left")
+        return rows.select("sunid", *(F.col(c).alias(f"{tag}_{c}") for c in ("id", "sid", "description", "curation_type_id", "seq_id", "up", "grand", "grand_text")))
+
+    ended = history.filter("change_type in (1, 2, 3)").select(F.col("old_node_id").alias("old_id")).distinct()
+    rows = placed(old, "old").join(ended, "old_id", "left_anti").join(placed(new, "new"), "sunid", "left")
+    same = lambda c: F.col(f"old_{c}").eqNullSafe(F.col(f"new_{c}"))
+    there, curated = F.col("new_id").isNotNull(), F.coalesce(F.col("old_curation_type_id") == 1, F.lit(False))
+    whose = F.when(curated, "curated").otherwise("automatic")
+    change = (
+        F.when(there & same("description") & same("sid"), "unchanged")
+        .when(~there, "major")
+        .when(~same("sid") & F.endswith("new_sid", F.lit("_")), F.when(same("seq_id"), "region-to-chain").otherwise("minor"))
+        .when(~same("sid"), "other-sid")
+        .when(same("seq_id"), "silent")
+        .otherwise("minor")
     )
-    curation = F.when(F.col("curation_type_id") == 1, "curated").when(F.col("curation_type_id").isNull(), "none").otherwise("automatic")
-    return both.select(category.alias("category"), curation.alias("curation")).groupBy("category", "curation").agg(F.count("*").alias("n"))
+    place = F.when(same("up") & same("grand"), "unmoved").when(curated, "moved").when(F.col("new_grand_text") == "automated matches", "moved-overly-specific").otherwise("moved-incorrect")
+    told = F.array_compact(F.array(change, F.when(there, place)))
+    each = rows.select(whose.alias("whose"), F.explode(told).alias("category"))
+    by = F.when(F.col("category").isin("major", "minor") | F.startswith("category", F.lit("moved")), F.col("whose")).otherwise("all")
+    return each.select("category", by.alias("curation")).groupBy("category", "curation").agg(F.count("*").alias("n"))
 
 
 def check_representatives(reps: DataFrame, closed: DataFrame, nodes: DataFrame, levels: tuple[int, ...] = (2, 3, 4, 5, 6, 7)) -> DataFrame:

@@ -157,14 +157,36 @@ def r8(t: Tables) -> DataFrame:
     return release.check_ids(t.sql(CHECKED0), t.sql(CHECKED1), t.sql(TOLD))
 
 
+#: Two releases of whole lines: domains, their orders as parents, and seven grandparents, one of automated matches; in the later one some are under another parent, or
+#: their parents under another grandparent, and some sequences are others.
+_TENTH = "cast(floor(cast(sunid as double) / 10) as bigint)"
+
+
+def _tree(domains: str, base: int, parent: str, grand: str, seq: str) -> str:
+    parents = f"(select distinct {parent} as o from ({domains}) d)"
+    return f"""select id, sunid, sid, description, curation_type_id, 8 as level_id, {base} + 500000000 + {parent} as parent_node_id, {seq} as seq_id from ({domains}) d
+ union all select {base} + 500000000 + o, o, null, 'protein', 1, 7, {base} + 900000000 + {grand}, null from {parents} p
+ union all select {base} + 900000000 + k, 900000000 + k, null, case when k = 3 then 'automated matches' else 'family' end, 1, 6, null, null from (select distinct {grand} as k from {parents} p) g"""
+
+
+TREE0 = _tree(OLD, 0, _TENTH, "o % 7", "sunid % 7")
+TREE1 = _tree(NEW, 1000000000, f"({_TENTH} + case when sunid % 11 = 0 then 1 else 0 end)", "case when o % 13 = 0 then (o + 3) % 7 else o % 7 end", "sunid % 7 + case when sunid % 5 = 0 then 1 else 0 end")
+ENDED = f"select id as old_node_id, cast(1 + sunid % 9 as int) as change_type from ({OLD}) x where sunid % 4 = 1"
+
+
 @query(
     "r9_change_summary",
-    f"""with o as ({OLD}), w as ({NEW}), b as (select o.sid as s0, o.description as d0, o.sccs as c0, w.sid, w.description, w.sccs, w.curation_type_id as cur from o full join w on o.sunid = w.sunid)
- select case when s0 is null then 'new' when sid is null then 'obsolete' when c0 <> sccs then 'moved-' || case when split_part(c0, '.', 1) <> split_part(sccs, '.', 1) then 0 when split_part(c0, '.', 2) <> split_part(sccs, '.', 2) then 1 else 2 end when s0 = sid and d0 = description then 'unchanged' when s0 = sid then 'silent'
-  when ends_with(sid, '_') and not ends_with(s0, '_') then 'region-to-chain' when lower(substr(s0, 1, 6)) = lower(substr(sid, 1, 6)) then 'minor' else 'major' end as category, case when cur = 1 then 'curated' when cur is null then 'none' else 'automatic' end as curation, count(*) as n from b group by 1, 2""",
+    f"""with o as ({TREE0}), w as ({TREE1}), h as ({ENDED}),
+ ow as (select d.*, p.sunid as up, g.sunid as grand from o d left join o p on p.id = d.parent_node_id left join o g on g.id = p.parent_node_id where d.level_id = 8),
+ nw as (select d.*, p.sunid as up, g.sunid as grand, g.description as gtext from w d left join w p on p.id = d.parent_node_id left join w g on g.id = p.parent_node_id where d.level_id = 8),
+ b as (select ow.sid as s0, ow.description as d0, ow.seq_id as q0, ow.up as u0, ow.grand as g0, ow.curation_type_id = 1 as cur, nw.* from ow left join nw on nw.sunid = ow.sunid where ow.id not in (select old_node_id from h where change_type <= 3)),
+ c as (select case when cur then 'curated' else 'automatic' end as whose, case when d0 is not distinct from description and s0 is not distinct from sid then 'unchanged' when id is null then 'major'
+  when s0 is distinct from sid and ends_with(sid, '_') then case when q0 = seq_id then 'region-to-chain' else 'minor' end when s0 is distinct from sid then 'other-sid' when q0 = seq_id then 'silent' else 'minor' end as category from b
+  union all select case when cur then 'curated' else 'automatic' end, case when u0 = up and g0 = grand then 'unmoved' when cur then 'moved' when gtext = 'automated matches' then 'moved-overly-specific' else 'moved-incorrect' end from b where id is not null)
+ select category, case when category in ('major', 'minor') or category like 'moved%' then whose else 'all' end as curation, count(*) as n from c group by 1, 2""",
 )
 def r9(t: Tables) -> DataFrame:
-    return release.change_summary(t.sql(OLD), t.sql(NEW))
+    return release.change_summary(kept(t.sql(TREE0)), kept(t.sql(TREE1)), t.sql(ENDED))
 
 
 def _reps(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:

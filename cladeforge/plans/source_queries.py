@@ -190,9 +190,19 @@ def s19f(t: Tables) -> DataFrame:
     return _text(t, lambda p: f.write_subsets(t.sql(SUBSET), "fasta", p, t.sql(SUBSET_SEQS)))
 
 
-ANNOTATED = f"select o as chain_id, cast(n as int) as number, cast(n as string) as suffix, 'h' || cast(n as string) as name, n * 10 as start, n * 10 + 5 as \"end\", 0 as region from ({LINES}) x union all select o, cast(n as int), cast(n as string), 'h' || cast(n as string), n * 10 + 7, n * 10 + 9, 1 from ({LINES}) x where part % 2 = 0"
-
-
-@query("s20_write_predictions", f"select chain_id || chr(9) || suffix || chr(9) || name || chr(9) || string_agg((start + 1) || '-' || \"end\", ',' order by region) as line from ({ANNOTATED}) group by chain_id, number, suffix, name")
+ANNOTATED = f"""select o as chain_id, cast(n as int) as number, cast(n as string) as suffix, case when n % 5 = 0 then 'none' when n % 5 = 1 then 'blast' when n % 5 = 2 then 'pfam' when n % 5 = 3 then 'fam' else 'sf' end as source, case when n % 5 = 1 then '1.5' || chr(32) || 'd' || cast(supp as string) else '2.0' end as info,
+ 'a.1.' || cast(part as string) as family, n * 10 as start, n * 10 + 5 as "end", 0 as region, case when part % 7 = 0 then -9999.0 else cast(-qty * qty / 4 as double) end as log10e from ({LINES}) x"""
+ANNOTATED += ANNOTATED.replace("select o as", " union all select o as", 1).replace("n * 10 as start, n * 10 + 5", "n * 10 + 7, n * 10 + 9").replace("0 as region", "1") + " where part % 2 = 0"
+PREDICTED_CHAINS = "select o_orderkey as chain_id, 'e' || cast(o_orderkey as string) as sid from {orders}"
+_VERBOSE = "case source when 'none' then '[UNMATCHED]' when 'blast' then '[ASTRAL-1.5-BLAST-' || substr(info, 5) || ']a.1' when 'pfam' then '[PFAM-' || info || ']' || family when 'fam' then '[ASTRALfam-' || info || ']' || family else '[ASTRALsf-' || info || ']' || family end"
+
+
+@query(
+    "s20_write_predictions",
+    f"""with a as (select *, {_VERBOSE} as name from ({ANNOTATED})), g as (select chain_id, number, name, min(start) + 1 as s, max("end") as e, string_agg((start + 1) || '-' || "end", ',' order by region) as regions, min(log10e) as v from a group by 1, 2, 3)
+ select name || ' ' || s || ' ' || e || ' ' || regions || ' 0.0 ' || case when v = -9999 then '-9999' when v > -10 then printf('%.14f', v) when v > -100 then printf('%.13f', v) else printf('%.12f', v) end as line from g union all select '>' || sid from ({PREDICTED_CHAINS})""",
+)
 def s20(t: Tables) -> DataFrame:
-    return _text(t, lambda p: f.write_predictions(t.sql(ANNOTATED.replace('"end"', "`end`")), p))
+    rows = t.sql(ANNOTATED.replace('"end"', "`end`"))
+    named = rows.withColumn("name", f.prediction_name(F.col("source"), F.col("info"), F.col("family"), verbose=True))
+    return _text(t, lambda p: f.write_predictions(named, t.sql(PREDICTED_CHAINS), p))

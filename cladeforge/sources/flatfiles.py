@@ -250,9 +250,31 @@ def write_subsets(assigned: DataFrame, mode: str, path: str, seqs: DataFrame | N
     _write(rows.select("rep", F.concat(F.col("rep").cast("string"), F.lit(": "), F.col("members")).alias("line")), path, "rep")
 
 
-def write_predictions(annotations: DataFrame, path: str) -> None:
-    """chain, then each accepted annotation with its regions. annotations: chain_id, number, suffix, name, start, end, region."""
-    regions = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("region", "start", "end"))), lambda x: F.concat((x["start"] + 1).cast("string"), F.lit("-"), x["end"].cast("string"))), ",")
-    one = annotations.groupBy("chain_id", "number", "suffix", "name").agg(regions.alias("regions"))
-    line = F.concat_ws("\t", F.col("chain_id").cast("string"), F.coalesce("suffix", F.lit("?")), "name", "regions")
-    _write(one.select("chain_id", "number", line.alias("line")), path, "chain_id", "number")
+def prediction_name(source: Column, info: Column, family: Column, verbose: bool = False) -> Column:
+    """The name of an annotation in a file of predictions, by its source (blast, pfam, fam, sf; anything else is unmatched). info is `release sid` for
+    sequence matches, which then name the sid and the family, or, verbose, release, sid and superfamily; else the model's release."""
+    place = F.instr(info, " ")
+    sid, told = F.when(place > 0, F.substr(info, place + 1)), F.regexp_extract(family, r"^(.*)\.[^.]*$", 1)
+    if not verbose:
+        return F.when(source == "blast", F.coalesce(F.concat(sid, F.lit("-"), family), F.lit(""))).when(source.isin("pfam", "fam", "sf"), family).otherwise("[UNMATCHED]")
+    match = F.when(F.contains(family, F.lit(".")), F.concat(F.lit("[ASTRAL-"), F.substring_index(info, " ", 1), F.lit("-BLAST-"), sid, F.lit("]"), told))
+    out = F.when(source == "blast", F.coalesce(match, F.lit("")))
+    for kind, mark in (("pfam", "PFAM"), ("fam", "ASTRALfam"), ("sf", "ASTRALsf")):
+        out = out.when(source == kind, F.concat(F.lit(f"[{mark}-"), info, F.lit("]"), family))
+    return out.otherwise("[UNMATCHED]")
+
+
+def write_predictions(annotations: DataFrame, chains: DataFrame, path: str) -> None:
+    """Of each chain a line `>sid`, then one for each annotation by start: name, first and last residue, regions, 0.0 and log10 E.
+
+    annotations: chain_id, number, name, start, end, region, log10e; chains: chain_id, sid. Residues count from 1; an E value of -9999 has no
+    decimals, others have 14, from -10 down 13, from -100 down 12.
+    """
+    parts = F.array_sort(F.collect_list(F.struct("region", "start", "end")))
+    e = F.col("log10e")
+    value = F.when(e == -9999, "-9999").when(e > -10, F.format_string("%.14f", e)).when(e > -100, F.format_string("%.13f", e)).otherwise(F.format_string("%.12f", e))
+    one = annotations.groupBy("chain_id", "number", "name").agg(parts.alias("parts"), F.min("start").alias("first"), F.max("end").alias("last"), F.min("log10e").alias("log10e"))
+    regions = F.array_join(F.transform("parts", lambda x: F.concat((x["start"] + 1).cast("string"), F.lit("-"), x["end"].cast("string"))), ",")
+    lines = one.join(chains.select("chain_id"), "chain_id", "left_semi").select("chain_id", (F.col("first") + 1).alias("at"), "number", F.concat_ws(" ", "name", (F.col("first") + 1).cast("string"), F.col("last").cast("string"), regions, F.lit("0.0"), value).alias("line"))
+    heads = chains.select("chain_id", F.lit(0).cast("long").alias("at"), F.lit(0).alias("number"), F.concat(F.lit(">"), "sid").alias("line"))
+    _write(lines.union(heads), path, "chain_id", "at", "number")

@@ -384,9 +384,63 @@ def test_search_index(spark):
     nodes = spark.createDataFrame([_clade(1, 0, "root", "root", 1, None), _clade(2, 10, "a", "Alpha proteins", 2, 1), _clade(9, 19, "a.1.1.1", "1abc A:", 8, 2, "d1abca_")], NODE)
     texts = spark.createDataFrame([(9, "pdb_title", "Crystal"), (9, "gene", "ABCD"), (9, "synthetic", None), (2, "comment", "fine words")], "id long, kind string, text string")
     index = {tuple(r) for r in search.build_search_index(nodes, tree.closure(nodes), spark.createDataFrame([], "id long, kind string, value string, chain string"), texts).collect()}
-    assert {(2, "class", "node", 120), (2, "cla", "node", 24), (2, "class alpha", "node", 360), (9, "domain", "node", 80), (9, "crystal", "pdb_title", 20), (9, "abcd", "gene", 80), (9, "abc", "gene", 16), (9, "synthetic", "species_common", 20), (2, "fine", "comment", 12)} <= index
-    assert not {(9, "cry", "pdb_title", 4), (2, "fin", "comment", 2)} & index
-    entries = spark.createDataFrame([("1ABC", "Crystal of x1"), (" ", "none")], "code string, title string")
-    assert {("1abc", "1abc", "pdb_code", 1000), ("1abc", "pdb:1abc", "pdb_code", 1000), ("1abc", "crystal", "pdb_title", 30)} <= {tuple(r) for r in search.entry_tokens(entries).collect()}
+    assert {
+        (2, "class", "word", "node_description", 120), (2, "cla", "prefix", "node_description", 24), (2, "class alpha", "phrase", "node_description", 360), (9, "domain", "word", "node_description", 80),
+        (9, "crystal", "word", "pdb_title", 20), (9, "abcd", "word", "gene", 80), (9, "abc", "prefix", "gene", 16), (9, "synthetic", "word", "species_common", 20), (2, "fine", "word", "comment", 12),
+        (9, "a", "identifier", "sccs", 250), (9, "alpha", "word", "lineage_description", 35), (9, "d1abca_", "identifier", "sid", 1000),
+    } <= index
+    assert not {(i, term) for i, term, *_ in index} & {(9, "cry"), (2, "fin")}
+    entries = spark.createDataFrame([("1ABC", "Crystal of x1"), (" ", "none"), ("2XYZ", None)], "code string, title string")
+    assert {("1abc", "1abc", "identifier", "pdb_code", 1000), ("1abc", "pdb:1abc", "identifier", "pdb_code", 1000), ("1abc", "crystal", "word", "pdb_title", 30)} <= {tuple(r) for r in search.entry_tokens(entries).collect()}
     targets = {(r["target_kind"], r["target_id"], r["display_name"], r["parent_sunid"]) for r in search.search_targets(nodes, entries).collect()}
-    assert targets == {("node", "10", "Alpha proteins", 0), ("node", "19", "d1abca_ 1abc A:", 10), ("pdb_entry", "1abc", "Crystal of x1", None)}
+    assert targets == {("node", "10", "Alpha proteins", 0), ("node", "19", "d1abca_ 1abc A:", 10), ("pdb_entry", "1abc", "Crystal of x1", None), ("pdb_entry", "2xyz", "2xyz", None)}
+
+
+def test_change_summary_by_old_curation(spark):
+    """Gone and curated is major of a curated one, whatever the new release says; places count by sunids beside the change."""
+    schema = "id long, sunid long, sid string, description string, curation_type_id int, level_id int, parent_node_id long, seq_id long"
+    tree0 = [(900, 900, None, "family", 1, 6, None, None), (901, 901, None, "automated matches", 1, 6, None, None), (800, 800, None, "p", 1, 7, 900, None), (801, 801, None, "q", 1, 7, 901, None)]
+    tree1 = [(i + 1000, *x, p and p + 1000, q) for i, *x, p, q in tree0]
+    d = lambda i, sunid, sid, text, cur, up, seq: (i, sunid, sid, text, cur, 8, up, seq)
+    old = [
+        d(1, 1, "d1a1", "a:1-9", 1, 800, 1), d(2, 2, "d2a1", "b:1-9", 2, 800, 2), d(3, 3, "d3a1", "c:1-9", 1, 800, 3), d(4, 4, "d4a1", "d:1-9", 2, 800, 4), d(5, 5, "d5a1", "e:1-9", 1, 800, 5),
+        d(6, 6, "d6a1", "f:1-9", 2, 800, 6), d(7, 7, "d7a1", "g", 2, 801, 7), d(8, 8, "d8a1", "h", 1, 800, 8), d(9, 9, "d9a1", "i", 1, 800, 9), d(10, 10, "d10a1", "j", 1, 800, 10),
+    ]
+    new = [
+        d(1003, 3, "d3a_", "c:", 2, 1800, 3), d(1004, 4, "d4a_", "d:", 2, 1801, 40), d(1005, 5, "d5a1", "e:2-9", 1, 1800, 5), d(1006, 6, "d6a1", "f:1-8", 2, 1800, 60), d(1007, 7, "d7a1", "g", 2, 1800, 7),
+        d(1008, 8, "d8a1", "h", 2, 1801, 8), d(1009, 9, "d9a2", "i", 1, 1800, 9),
+    ]
+    make = lambda r: spark.createDataFrame(r, schema)
+    history = spark.createDataFrame([(10, 2), (9, 7)], "old_node_id long, change_type int")
+    got = set(rows(release.change_summary(make(tree0 + old), make(tree1 + new), history), "category"))
+    assert got == {
+        ("major", "curated", 1), ("major", "automatic", 1), ("region-to-chain", "all", 1), ("minor", "automatic", 2), ("silent", "all", 1), ("unchanged", "all", 2), ("other-sid", "all", 1),
+        ("unmoved", "all", 4), ("moved", "curated", 1), ("moved-overly-specific", "automatic", 1), ("moved-incorrect", "automatic", 1),
+    }
+
+
+def test_variants_prefer_classified_chains(spark):
+    variants = spark.createDataFrame([(1, "P", 10), (2, "P", 12), (3, "Q", 5), (4, "R", 2)], "variant_id long, accession string, position long")
+    alignments = spark.createDataFrame([("P", 1, 5, 14, 0), ("P", 2, 5, 14, 0), ("P", 3, 5, 14, 0), ("Q", 1, 1, 400, 100), ("R", 4, 1, 9, 0)], "accession string, chain_id long, db_start long, db_end long, chain_start long")
+    maps = [(c, i, f"{i + 100}", not (c == 2 and i == 5) and not (c == 3 and i > 2)) for c in (1, 2, 3) for i in range(10)]
+    residues_ = spark.createDataFrame(maps, "chain_id long, idx long, res_id string, observed boolean")
+    chains = spark.createDataFrame([(1, 10, False, 9.0), (2, 10, True, 0.1), (3, 10, True, 5.0)], "chain_id long, length int, is_classified boolean, score double")
+    got = {r[0]: tuple(r[1:]) for r in asof.variant_to_structure(variants, alignments, residues_, chains).collect()}
+    assert got[1] == (3, True, "105", False, "102", None)  # both classified ones are blank there: as long, a better score
+    assert got[2] == (2, True, "107", True, None, None)  # classified and seen, before a better score
+    assert got[3] == (1, False, None, False, None, None)  # beyond the map
+    assert got[4] == (4, False, None, False, None, None)  # no map at all
+
+
+def test_prediction_lines(spark, tmp_path):
+    found = spark.createDataFrame(
+        [(7, 1, "blast", "1.75 d1abca_", "a.1.1.1", 0, 20, 0, -9999.0), (7, 1, "blast", "1.75 d1abca_", "a.1.1.1", 30, 40, 1, -9999.0), (7, 2, "pfam", "27", "PF1", 20, 30, 0, -5.5), (8, 1, "x", "", "", 0, 25, 0, -250.25)],
+        "chain_id long, number int, source string, info string, family string, start long, `end` long, region int, log10e double",
+    )
+    chains = spark.createDataFrame([(7, "e1xyza"), (8, "e1xyzb"), (9, "e1xyzc")], "chain_id long, sid string")
+    name = flatfiles.prediction_name(F.col("source"), F.col("info"), F.col("family"))
+    flatfiles.write_predictions(found.withColumn("name", name), chains, f"file://{tmp_path}/p")
+    lines = [r[0] for p in sorted((tmp_path / "p").glob("part-*")) for r in [(x,) for x in p.read_text().splitlines()]]
+    assert lines == [">e1xyza", "d1abca_-a.1.1.1 1 40 1-20,31-40 0.0 -9999", "PF1 21 30 21-30 0.0 -5.50000000000000", ">e1xyzb", "[UNMATCHED] 1 25 1-25 0.0 -250.250000000000", ">e1xyzc"]
+    told = found.select(flatfiles.prediction_name(F.col("source"), F.col("info"), F.col("family"), verbose=True)).distinct()
+    assert {r[0] for r in told.collect()} == {"[ASTRAL-1.75-BLAST-d1abca_]a.1.1", "[PFAM-27]PF1", "[UNMATCHED]"}
