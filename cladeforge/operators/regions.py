@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cladeforge.operators.residues import explode_residues, residues
+from cladeforge.sources.scratch import written
 
 
 def hit_metrics(hits: DataFrame) -> DataFrame:
@@ -91,17 +92,70 @@ def region_overlap(pairs: DataFrame) -> DataFrame:
     return pairs.filter(F.size("a") == F.size("b")).select("pair_id", both.alias("overlap"), (either - 2 * both).alias("unmatched"), error.alias("max_end_error"))
 
 
+#: Places of one bin of ranges. Pairs of a chain's regions from which on the best matches are sought by distance. Distances of those rounds.
+BIN, MANY, ROUNDS = 256, 1_000_000, (2, 16, 128)
+
+
+def _overlapping(one: DataFrame, two: DataFrame) -> DataFrame:
+    """chain_id, a_id, b_id, end_error of ranges (chain_id, a_id, s1, e1 and chain_id, b_id, s2, e2) that overlap: each lies in all bins that it
+    touches, and a pair comes out in the bin of its later start alone."""
+
+    def binned(rows: DataFrame, s: str, e: str) -> DataFrame:
+        return rows.filter(f"{e} > {s}").withColumn("bin", F.explode(F.sequence(F.floor(F.col(s) / BIN), F.floor((F.col(e) - 1) / BIN))))
+
+    met = binned(one, "s1", "e1").join(binned(two, "s2", "e2"), ["chain_id", "bin"]).filter("s1 < e2 and s2 < e1").filter(F.col("bin") == F.floor(F.greatest("s1", "s2") / BIN))
+    return met.select("chain_id", "a_id", "b_id", F.greatest(F.abs(F.expr("s1 - s2")), F.abs(F.expr("e1 - e2"))).alias("end_error"))
+
+
+def _sides(a: DataFrame, b: DataFrame) -> tuple[DataFrame, DataFrame]:
+    end = F.col("start") + F.col("length")
+    return a.select("chain_id", F.col("id").alias("a_id"), F.col("start").alias("s1"), end.alias("e1")), b.select("chain_id", F.col("id").alias("b_id"), F.col("start").alias("s2"), end.alias("e2"))
+
+
 def all_region_matches(a: DataFrame, b: DataFrame) -> DataFrame:
-    """chain_id, a_id, b_id, end_error of annotations (chain_id, id, start, length) that overlap on a chain."""
-    one = a.select("chain_id", F.col("id").alias("a_id"), F.col("start").alias("s1"), F.col("length").alias("l1"))
-    two = b.select("chain_id", F.col("id").alias("b_id"), F.col("start").alias("s2"), F.col("length").alias("l2"))
-    met = one.join(two, "chain_id").filter("s1 < s2 + l2 and s2 < s1 + l1")
-    return met.select("chain_id", "a_id", "b_id", F.greatest(F.abs(F.col("s1") - F.col("s2")), F.abs(F.expr("s1 + l1 - s2 - l2"))).alias("end_error"))
+    """chain_id, a_id, b_id, end_error of annotations (chain_id, id, start, length) that overlap on a chain. Empty regions overlap nothing."""
+    return _overlapping(*_sides(a, b))
+
+
+def _nearest(one: DataFrame, two: DataFrame) -> DataFrame:
+    """The best matches on chains with many regions, without all their pairs.
+
+    Regions are points (start, end), the end error is their distance by the larger difference. Equal points are one. Rounds of growing
+    distance look for partners in the own and the neighbouring cells of a grid of that width: a best partner at most that far away can't lie elsewhere,
+    and what has found one is done. What is left after the last round meets all that it overlaps.
+    """
+    points = written(one.filter("e1 > s1").groupBy("chain_id", "s1", "e1").agg(F.count("*").alias("n")).drop("n"))
+    partners = written(two.filter("e2 > s2").groupBy("chain_id", "s2", "e2").agg(F.min("b_id").alias("b_id")))
+    best = F.min_by(F.struct("b_id", "end_error"), F.struct("end_error", "b_id")).alias("m")
+    left, found = points, None
+    for width in ROUNDS:
+        near = F.explode(F.array(*(F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x in (-1, 0, 1) for y in (-1, 0, 1))))
+        mine = left.withColumn("near", near).select("chain_id", "s1", "e1", (F.floor(F.col("s1") / width) + F.col("near.x")).alias("x"), (F.floor(F.col("e1") / width) + F.col("near.y")).alias("y"))
+        theirs = partners.select("*", F.floor(F.col("s2") / width).alias("x"), F.floor(F.col("e2") / width).alias("y"))
+        error = F.greatest(F.abs(F.expr("s1 - s2")), F.abs(F.expr("e1 - e2")))
+        met = mine.join(theirs, ["chain_id", "x", "y"]).filter("s1 < e2 and s2 < e1").withColumn("end_error", error).filter(F.col("end_error") <= width)
+        done = written(met.groupBy("chain_id", "s1", "e1").agg(best))
+        found = done if found is None else found.union(done)
+        left = written(left.join(done, ["chain_id", "s1", "e1"], "left_anti"))
+        if left.isEmpty():
+            break
+    rest = _overlapping(left.withColumn("a_id", F.struct("s1", "e1")), partners).groupBy("chain_id", F.col("a_id.s1").alias("s1"), F.col("a_id.e1").alias("e1")).agg(best)
+    return one.join(found.union(rest), ["chain_id", "s1", "e1"]).groupBy("a_id").agg(F.min_by("m", F.struct("m.end_error", "m.b_id")).alias("m")).select("a_id", "m.*")
 
 
 def best_region_match(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Per annotation of a the one of b that it overlaps with the least end error, the smaller id of equal ones."""
-    return all_region_matches(a, b).groupBy("a_id").agg(F.min_by(F.struct("b_id", "end_error"), F.struct("end_error", "b_id")).alias("m")).select("a_id", "m.*")
+    """a_id, b_id, end_error: per annotation of a the one of b that it overlaps with the least end error, the smaller id of equal ones.
+
+    On chains whose regions make up to MANY pairs by their numbers, all that overlap are compared; on larger ones nearby ones first.
+    """
+    one, two = _sides(a, b)
+    sizes = one.groupBy("chain_id").agg(F.count("*").alias("n1")).join(two.groupBy("chain_id").agg(F.count("*").alias("n2")), "chain_id")
+    large = written(sizes.filter(F.col("n1") * F.col("n2") > MANY).select("chain_id"))
+    best = F.min_by(F.struct("b_id", "end_error"), F.struct("end_error", "b_id")).alias("m")
+    if large.isEmpty():
+        return _overlapping(one, two).groupBy("a_id").agg(best).select("a_id", "m.*")
+    few = _overlapping(one.join(large, "chain_id", "left_anti"), two).groupBy("a_id").agg(best).select("a_id", "m.*")
+    return few.union(_nearest(one.join(large, "chain_id", "left_semi"), two.join(large, "chain_id", "left_semi")))
 
 
 def parse_regions(df: DataFrame, raf: DataFrame) -> DataFrame:

@@ -133,11 +133,33 @@ def c6(t: Tables) -> DataFrame:
     return cluster.comparison_worklist(t.sql(SID_CHAINS), t.sql(REPS), t.sql(DONE), 5)
 
 
-@query("c7_length_consistency")
+MEMBERS = "select lang || source as family, cast(floor(cast(n_chars as double) / 10) as int) as seqres, cast(n_chars as double) / 10 - doc_id % 30 as atom from {documents} where doc_id % 7 > 0"
+NEWCOMERS = "select lang || source as family, doc_id as entry, cast(floor(cast(n_chars as double) / 10) as int) as seqres, cast(n_chars as double) / 10 - doc_id % 40 as atom from {documents} where doc_id % 7 = 0"
+BAD_FAMILIES = "select distinct lang || source as family from {documents} where source = 'src3'"
+
+
+@query(
+    "c7_length_consistency",
+    f"""with m as (select *, case when 0.8 * seqres > atom and seqres - atom > 15 then 1 else 0 end as differ from ({MEMBERS})), e as (select *, case when 0.8 * seqres > atom and seqres - atom > 15 then 1 else 0 end as own from ({NEWCOMERS})),
+ b as (select family, seqres, count(*) as n from m group by 1, 2), f as (select family, min(seqres) as low, max(seqres) as high, count(*) as total, max(differ) as differ, greatest(0, min(seqres) - 30) as base from m group by 1),
+ p as (select family, base, seqres, n, total, unnest(range(greatest(0, (seqres - base) * 10 - 400), least((high + 30 - base) * 10, (seqres - base) * 10 + 401))) as i from b join f using (family) where total > 5),
+ d as (select family, i, sum(n * exp(-0.5 * (base + cast(i as double) / 10 - seqres) * (base + cast(i as double) / 10 - seqres))) / (any_value(total) * sqrt(2 * pi())) as density from p group by 1, 2),
+ s as (select family, i, coalesce(lead(density, 1) over w, 0) - density as d0, coalesce(lead(density, 2) over w, 0) - coalesce(lead(density, 1) over w, 0) as d1, coalesce(lead(density, 3) over w, 0) - coalesce(lead(density, 2) over w, 0) as d2 from d window w as (partition by family order by i)),
+ k as (select family, any_value(low) as low, min(base + cast(i + 2 as double) / 10) as first, max(base + cast(i + 2 as double) / 10) as last, count(*) as n from s join f using (family)
+  where i >= 1 and i <= (high + 30 - base) * 10 - 4 and ((d0 > 0 and d1 < 0) or (d0 > 0 and d1 < d0 and d2 > d1) or (d0 < 0 and d1 > d0 and d2 < d1)) group by 1),
+ v as (select family from k where case when low * 1.5 < first then n + 1 > 1 and low <> 0 and last / low > 1.6 else n > 1 and first <> 0 and last / first > 1.6 end),
+ r as (select e.*, f.*, coalesce(density, 0) as density, e.family in (select family from v) as varied, exists (select 1 from b where b.family = e.family and (abs(e.seqres - b.seqres) < 10 or (e.seqres > b.seqres * 0.9 and e.seqres < b.seqres * 1.1))) as alike
+  from e join f on f.family = e.family left join d on d.family = e.family and d.i = (e.seqres - base) * 10)
+ select family, entry, cast(case when total > 5 then case when density <= 0.0005 then 1 else 0 end when alike then 0 else 1 end + 2 * own + case when seqres > high + 20 or seqres < low - 20 then 4 else 0 end
+  + case when total > 5 then case when varied then 8 else 0 end when low <> 0 and high > 1.5 * low then 8 else 0 end + 16 * differ + case when family in ({BAD_FAMILIES}) then 32 else 0 end as int) as code from r""",
+)
 def c7(t: Tables) -> DataFrame:
-    members = t.sql("select lang || source as family, n_chars / 10 as seqres, n_chars / 10 - doc_id % 30 as atom from {documents} where doc_id % 7 > 0").selectExpr("family", "cast(seqres as int) as seqres", "atom")
-    new = t.sql("select lang || source as family, doc_id as entry, n_chars / 10 as seqres, n_chars / 10 - doc_id % 40 as atom from {documents} where doc_id % 7 = 0")
-    return cluster.length_consistency(members, new, t.sql("select distinct lang || source as family from {documents} where source = 'src3'"))
+    return cluster.length_consistency(t.sql(MEMBERS), t.sql(NEWCOMERS), t.sql(BAD_FAMILIES))
+
+
+@query("c7_repeat_families", f"with n as ({NODES}), r as (select sccs, level_id from n where level_id between 2 and 5 and contains(description, 'repeat')), f as (select distinct sccs as family from n where level_id = 5) select family from f where (split_part(family, '.', 1), 2) in (select (sccs, level_id) from r) or (array_to_string(string_split(family, '.')[1:2], '.'), 3) in (select (sccs, level_id) from r) or (array_to_string(string_split(family, '.')[1:3], '.'), 4) in (select (sccs, level_id) from r) or (family, 5) in (select (sccs, level_id) from r)".replace("description, 'repeat'", "lower(description), 'un'"))
+def c7r(t: Tables) -> DataFrame:
+    return cluster.repeat_families(t.sql(NODES).withColumn("description", F.regexp_replace(F.lower("description"), "un", "repeat")))
 
 
 PENDING = "select o_orderdate as date, case when o_orderkey % 4 = 0 then 'seq' end as seq from {orders} where month(o_orderdate) <> 5"

@@ -209,14 +209,21 @@ def read_fasta(spark: SparkSession, path: str) -> DataFrame:
 
 def read_structural_clusters(spark: SparkSession, path: str, nodes: DataFrame) -> DataFrame:
     """rep, member of clusters in a text: a line that names a class (a.1.1.1) or a group (1:) starts one, domains follow. The rep is the first
-    member that there is; the last cluster ends with its file. nodes: sid."""
-    files = spark.read.text(path, wholetext=True).select(F.monotonically_increasing_id().alias("file"), F.posexplode(F.split("value", "\n")).alias("at", "text"))
-    own = Window.partitionBy("file").orderBy("at")
+    member that there is; the last cluster ends with its file. nodes: sid.
+
+    A file is read in splits, each a task. Lines follow the last start in their own split; those before its first start, the last
+    one of the splits before, which is carried over from one row a split.
+    """
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("at"), F.col("value").alias("text"))
     starts = F.col("text").rlike(r"^\s*[a-l]\.\d+") | F.col("text").rlike(r"^\s*\d+:")
-    rows = files.withColumn("cluster", F.sum(starts.cast("int")).over(own))
-    found = rows.select("file", "cluster", "at", F.posexplode(F.regexp_extract_all("text", F.lit(r"\b(d[a-z0-9_.]{5,})"), F.lit(1))).alias("i", "sid"))
+    sids = F.regexp_extract_all("text", F.lit(r"\b(d[a-z0-9_.]{5,})"), F.lit(1))
+    told = lines.select("file", "split", "at", F.when(starts, F.col("at")).alias("start"), sids.alias("sids")).filter("start is not null or size(sids) > 0")
+    carried = told.groupBy("file", "split").agg(F.max("start").alias("last")).withColumn("before", F.last("last", True).over(Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)))
+    inside = F.last("start", True).over(Window.partitionBy("file", "split").orderBy("at"))
+    rows = told.withColumn("own", inside).filter("size(sids) > 0").join(carried, ["file", "split"])
+    found = rows.select("file", F.coalesce("own", "before", F.lit(-1)).alias("cluster"), "split", "at", F.posexplode("sids").alias("i", "sid"))
     here = found.join(nodes.select("sid").distinct(), "sid")
-    rep = here.groupBy("file", "cluster").agg(F.min_by("sid", F.struct("at", "i")).alias("rep"))
+    rep = here.groupBy("file", "cluster").agg(F.min_by("sid", F.struct("split", "at", "i")).alias("rep"))
     return here.join(rep, ["file", "cluster"]).select("rep", F.col("sid").alias("member"))
 
 

@@ -1,7 +1,9 @@
 """Operators on hand-made tables, order-dependent ones against plain sequential versions, and all queries against their SQL."""
 
+import math
 import os
 import random
+import re
 
 import duckdb
 import pytest
@@ -444,3 +446,96 @@ def test_prediction_lines(spark, tmp_path):
     assert lines == [">e1xyza", "d1abca_-a.1.1.1 1 40 1-20,31-40 0.0 -9999", "PF1 21 30 21-30 0.0 -5.50000000000000", ">e1xyzb", "[UNMATCHED] 1 25 1-25 0.0 -250.250000000000", ">e1xyzc"]
     told = found.select(flatfiles.prediction_name(F.col("source"), F.col("info"), F.col("family"), verbose=True)).distinct()
     assert {r[0] for r in told.collect()} == {"[ASTRAL-1.75-BLAST-d1abca_]a.1.1", "[PFAM-27]PF1", "[UNMATCHED]"}
+
+
+def plain_varied(lengths):
+    """Whether the density of lengths, summed up over the whole grid, has peaks or shoulders far apart."""
+    low, high = min(lengths), max(lengths)
+    base = max(0, low - 30)
+    n = (high + 30 - base) * 10
+    d = [sum(math.exp(-0.5 * (base + i / 10 - x) ** 2) for x in lengths) for i in range(n)]
+    d1 = [b - a for a, b in zip(d, d[1:], strict=False)]
+    d2 = [b - a for a, b in zip(d1, d1[1:], strict=False)]
+    peaks = [base + (i + 2) / 10 for i in range(1, n - 3) if (d1[i] > 0 > d1[i + 1]) or (d1[i] > 0 and d2[i] < 0 < d2[i + 1]) or (d1[i] < 0 and d2[i] > 0 > d2[i + 1])]
+    if peaks and low * 1.5 < peaks[0]:
+        peaks.insert(0, low)
+    return len(peaks) > 1 and peaks[0] != 0 and peaks[-1] / peaks[0] > 1.6
+
+
+def test_length_consistency(spark):
+    r = random.Random(6)
+    families = {"small": [100, 103], "spread": [50, 90, 120], "one": [80] * 9, "two": [60] * 5 + [140] * 4, "many": [r.randint(90, 130) for _ in range(40)], "wide": [r.choice((40, 55, 90)) + r.randint(-3, 3) for _ in range(30)], "tiny": [1] * 6 + [9] * 3}
+    members = spark.createDataFrame([(f, x, float(x - (40 if f == "small" and x == 103 else 0))) for f, own in families.items() for x in own], "family string, seqres int, atom double")
+    asked = [(f, e, x, float(x - gap)) for f in families for e, (x, gap) in enumerate(((100, 0), (60, 30), (300, 0), (81, 0), (10, 0)))]
+    bad, named = (spark.createDataFrame([(f,) for f in x], "family string") for x in (["one", "two"], ["two"]))
+    got = {(x["family"], x["entry"]): x["code"] for x in cluster.length_consistency(members, spark.createDataFrame([*asked, ("unknown", 0, 10, 10.0)], "family string, entry long, seqres int, atom double"), bad, named).collect()}
+    want = {}
+    for f, e, x, atom in asked:
+        own = families[f]
+        if len(own) > 5:
+            rare, varied = sum(math.exp(-0.5 * (x - y) ** 2) for y in own) / len(own) / math.sqrt(2 * math.pi) <= 0.0005, plain_varied(own)
+        else:
+            rare, varied = not any(abs(x - y) < 10 or 0.9 * y < x < 1.1 * y for y in own), max(own) > 1.5 * min(own)
+        extreme = x > max(own) + 20 or x < min(own) - 20
+        want[f, e] = rare + 2 * (0.8 * x > atom and x - atom > 15) + 4 * extreme + 8 * varied + 16 * (f == "small") + 32 * (f in ("one", "two")) + 32 * (f == "two")
+    assert got == want
+    assert {f for f, own in families.items() if len(own) > 5 and plain_varied(own)} >= {"two", "wide"}
+
+
+def test_families_named_after_repeats(spark):
+    named = [("a", 2, "Alpha"), ("a.1", 3, "beta repeat"), ("a.1.1", 4, "x"), ("a.1.1.1", 5, "y"), ("a.1.1.2", 5, "z"), ("a.2", 3, "w"), ("a.2.1", 4, "v"), ("a.2.1.1", 5, "repeats"), ("a.2.1.2", 5, "none"), ("a.10.1.1", 5, "u")]
+    assert rows(cluster.repeat_families(spark.createDataFrame(named, "sccs string, level_id int, description string")), "family") == [("a.1.1.1",), ("a.1.1.2",), ("a.2.1.1",)]
+
+
+def test_clusters_of_one_file_in_many_splits(spark, tmp_path):
+    r = random.Random(8)
+    lines = []
+    for k in range(400):
+        if r.random() < 0.2:
+            lines.append(r.choice((f"a.{k}.1.1", f" {k}:")))
+        lines.append(" ".join(f"d{r.randrange(900):05d}_" for _ in range(r.randrange(6))))
+    lines[150:150] = ["d00001_ d00002_"] * 300  # a cluster over several splits
+    (tmp_path / "c").mkdir()
+    (tmp_path / "c" / "one").write_text("\n".join(lines))
+    (tmp_path / "c" / "two").write_text("d00005_ d00006_\n1:\nd00007_")
+    nodes = spark.createDataFrame([(f"d{i:05d}_",) for i in range(0, 900) if i % 4], "sid string")
+    want = []
+    for text in ("\n".join(lines), "d00005_ d00006_\n1:\nd00007_"):
+        rep = None
+        for line in text.split("\n"):
+            if re.match(r"\s*[a-l]\.\d+|\s*\d+:", line):
+                rep = None
+            for sid in re.findall(r"\bd\d{5}_", line):
+                if int(sid[1:6]) % 4:
+                    rep = rep or sid
+                    want.append((rep, sid))
+    keys = {"spark.sql.files.maxPartitionBytes": "2k", "spark.sql.files.openCostInBytes": "1"}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        assert spark.read.text(str(tmp_path / "c" / "one")).rdd.getNumPartitions() >= 8
+        assert rows(flatfiles.read_structural_clusters(spark, str(tmp_path / "c"), nodes), "rep", "member") == sorted(want)
+    finally:
+        for k in keys:
+            spark.conf.unset(k)
+
+
+def test_best_matches_without_all_pairs(spark, monkeypatch):
+    """A chain with many regions on both sides goes by near cells; the pairs that are compared are far fewer than all."""
+    r = random.Random(9)
+    make = lambda n, tag: [(r.choice((1, 1, 1, 2)), tag + i, (s := r.choice((r.randrange(400), 7))), r.choice((0, 5, r.randrange(1, 300)))) for i in range(n)]
+    a, b = make(300, 0), [*make(200, 1000), (1, 1, 0, 5000)]
+    schema = "chain_id long, id long, start long, length long"
+    want = {}
+    for c, i, s, n in a:
+        near = [(max(abs(s - t), abs(s + n - t - m)), j) for d, j, t, m in b if c == d and n and m and s < t + m and t < s + n]
+        if near:
+            want[i] = min(near)[::-1]
+    for many in (1_000_000, 100):
+        monkeypatch.setattr(regions, "MANY", many)
+        got = regions.best_region_match(spark.createDataFrame(a, schema), spark.createDataFrame(b, schema))
+        assert {x["a_id"]: (x["b_id"], x["end_error"]) for x in got.collect()} == want
+    monkeypatch.setattr(regions, "MANY", 1_000_000)
+    side = lambda k: spark.range(100_000).selectExpr("1L as chain_id", "id", f"id * 37 % 30011 + {k} as start", "20 + id % 181 as length")
+    best = regions.best_region_match(side(0), side(1)).agg(F.count("*"), F.max("end_error")).first()
+    assert best[0] == 100_000 and best[1] <= 1
