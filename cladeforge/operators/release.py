@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cladeforge.operators.tree import numbered
-from cladeforge.sources.scratch import kept
+from cladeforge.sources.scratch import kept, written
 
 SUFFIXES = "123456789abcdefghijklmnopqrstuvwxyz"
 
@@ -169,12 +169,25 @@ def next_release_node(nodes: DataFrame) -> DataFrame:
     return nodes.join(later, ["sunid", "release_id"]).select("id", "next_id", (F.col("sccs") == F.col("later")).alias("sccs_stable"))
 
 
+def gaps(numbers: DataFrame, column: str) -> DataFrame:
+    """first, last of the stretches of whole numbers between the least and the largest of a column that it doesn't have.
+
+    Numbers are dealt by range; within a part each looks at the next, and a part's last one at the first of the part after it, which comes
+    from one row a part. A stretch is one row, however long.
+    """
+    own = numbers.select(F.col(column).alias("n")).filter("n is not null").distinct()
+    dealt = written(own.repartitionByRange("n").withColumn("part", F.spark_partition_id()))
+    firsts = dealt.groupBy("part").agg(F.min("n").alias("first")).select("part", F.lead("first").over(Window.orderBy("part")).alias("after"))  # one row a part
+    rows = dealt.join(F.broadcast(firsts), "part").withColumn("next", F.coalesce(F.lead("n").over(Window.partitionBy("part").orderBy("n")), "after"))
+    return rows.filter("next > n + 1").select((F.col("n") + 1).alias("first"), (F.col("next") - 1).alias("last"))
+
+
 def check_ids(old: DataFrame, new: DataFrame, history: DataFrame) -> DataFrame:
     """issue, key (sunid or what is used twice) of a new release against the one before it.
 
     sid-changed: another sid without history of both nodes by types 4 to 11; should-be-retired: kept in spite of a split or of types 7 or 8 (without
     11); lost: gone without types 1 to 9 or 13; bogus-merge: merged (4), but the node with its text under the same parent has another sunid;
-    skipped: numbers above all old ones that no node has; sid-twice, sunid-twice, sccs-twice (levels 2 to 5); sccs-strange, without a dot;
+    skipped: numbers above all old ones that no node has, a stretch of them as `first-last`; sid-twice, sunid-twice, sccs-twice (levels 2 to 5); sccs-strange, without a dot;
     sccs-parent, not the parent's; zero-rule: automated matches of level 5 that aren't the parent's `.0`; same-text, siblings with one text.
 
     old, new: id, sunid, sid, sccs, description, level_id, parent_node_id; history: old_node_id, new_node_id, change_type.
@@ -186,6 +199,7 @@ def check_ids(old: DataFrame, new: DataFrame, history: DataFrame) -> DataFrame:
     def found(rows: DataFrame, issue: str, key: str = "sunid") -> DataFrame:
         return rows.select(F.lit(issue).alias("issue"), F.col(key).cast("string").alias("key"))
 
+    old, new, history = (written(x) for x in (old, new, history))  # each is read by many of the parts
     was = old.select("sunid", F.col("id").alias("old_node_id"), F.col("sid").alias("old_sid"))
     both = new.select("sunid", F.col("id").alias("new_node_id"), "sid", "level_id").join(was, "sunid").join(told(["old_node_id", "new_node_id"], excused=(4, 5, 6, 7, 8, 9, 10, 11), retires=(5, 7, 8), tagged=(11,)), ["old_node_id", "new_node_id"], "left")
     gone = old.join(new.select("sunid"), "sunid", "left_anti").join(told(["old_node_id"], ended=(1, 2, 3, 4, 5, 6, 7, 8, 9, 13)).withColumnRenamed("old_node_id", "id"), "id", "left")
@@ -198,8 +212,9 @@ def check_ids(old: DataFrame, new: DataFrame, history: DataFrame) -> DataFrame:
     up_old, up_new = old.select(F.col("id").alias("parent_node_id"), F.col("sunid").alias("up")), new.select(F.col("id").alias("parent_node_id"), F.col("sunid").alias("up"))
     named = new.join(up_new, "parent_node_id").groupBy("up", "description").agg(F.max_by("sunid", "id").alias("new_sunid"))
     parts.append(found(merged.join(up_old, "parent_node_id").join(named, ["up", "description"]).filter("new_sunid <> sunid"), "bogus-merge"))
-    top = old.agg(F.max("sunid")).first()[0] or 0, new.agg(F.max("sunid")).first()[0] or 0  # two numbers
-    parts.append(found(new.sparkSession.range(top[0] + 1, max(top) + 1).toDF("sunid").join(new.select("sunid"), "sunid", "left_anti"), "skipped"))
+    top = old.agg(F.coalesce(F.max("sunid"), F.lit(0)).cast("long").alias("sunid"))
+    missing = gaps(new.join(F.broadcast(top.withColumnRenamed("sunid", "top")), F.col("sunid") > F.col("top")).select("sunid").union(top), "sunid")
+    parts.append(missing.select(F.lit("skipped").alias("issue"), F.concat_ws("-", F.col("first").cast("string"), F.when(F.col("last") > F.col("first"), F.col("last").cast("string"))).alias("key")))
     for column, name, rows in (("sid", "sid-twice", new.filter("sid is not null")), ("sunid", "sunid-twice", new), ("sccs", "sccs-twice", new.filter("level_id between 2 and 5"))):
         parts.append(found(rows.groupBy(column).agg(F.count("*").alias("n")).filter("n > 1"), name, column))
     own = new.filter("level_id > 2").join(new.select(F.col("id").alias("parent_node_id"), F.col("sccs").alias("above")), "parent_node_id")

@@ -157,9 +157,9 @@ def c7(t: Tables) -> DataFrame:
     return cluster.length_consistency(t.sql(MEMBERS), t.sql(NEWCOMERS), t.sql(BAD_FAMILIES))
 
 
-@query("c7_repeat_families", f"with n as ({NODES}), r as (select sccs, level_id from n where level_id between 2 and 5 and contains(description, 'repeat')), f as (select distinct sccs as family from n where level_id = 5) select family from f where (split_part(family, '.', 1), 2) in (select (sccs, level_id) from r) or (array_to_string(string_split(family, '.')[1:2], '.'), 3) in (select (sccs, level_id) from r) or (array_to_string(string_split(family, '.')[1:3], '.'), 4) in (select (sccs, level_id) from r) or (family, 5) in (select (sccs, level_id) from r)".replace("description, 'repeat'", "lower(description), 'un'"))
+@query("c7_repeat_families", f"with n as ({NODES}), r as (select sccs, level_id from n where level_id between 2 and 5 and contains(description, 'repeat')), f as (select distinct sccs as family from n where level_id = 5) select family from f where (split_part(family, '.', 1), 2) in (select (sccs, level_id) from r) or (array_to_string(string_split(family, '.')[1:2], '.'), 3) in (select (sccs, level_id) from r) or (array_to_string(string_split(family, '.')[1:3], '.'), 4) in (select (sccs, level_id) from r) or (family, 5) in (select (sccs, level_id) from r)".replace("description, 'repeat'", "lower(description), 'il'"))
 def c7r(t: Tables) -> DataFrame:
-    return cluster.repeat_families(t.sql(NODES).withColumn("description", F.regexp_replace(F.lower("description"), "un", "repeat")))
+    return cluster.repeat_families(t.sql(NODES).withColumn("description", F.regexp_replace(F.lower("description"), "il", "repeat")))
 
 
 PENDING = "select o_orderdate as date, case when o_orderkey % 4 = 0 then 'seq' end as seq from {orders} where month(o_orderdate) <> 5"

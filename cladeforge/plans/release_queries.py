@@ -50,7 +50,7 @@ def r2k(t: Tables) -> DataFrame:
     return release.classify_changes(release.match_domains(old, new, t.sql(LENGTHS)), old, new)[0]
 
 
-FRESH = f"select o * 10 + n as id, cast(o % 500 as string) as code, 'A' as chain, part % 11 = 0 as is_whole, part % 7 = 0 as is_multi from ({LINES}) x where o % 4 = 0"
+FRESH = f"select o * 10 + n as id, cast(o % 500 as string) as code, 'A' as chain, part % 11 = 0 as is_whole, part % 7 = 0 as is_multi from ({LINES}) x where o % 4 <= 1"
 USED = f"select 'd' || cast(o % 500 as string) || 'a' || substr('{release.SUFFIXES}', cast(1 + part % 35 as int), 1) as sid from ({LINES}) x where o % 4 > 1 union all select 'd' || cast(o % 500 as string) || 'a_' from ({LINES}) x where o % 23 = 0"
 
 
@@ -146,7 +146,7 @@ TOLD = f"select id as old_node_id, case when id % 3 > 0 then id end as new_node_
  union all select 'should-be-retired', cast(sunid as string) from b where retires
  union all select 'lost', cast(sunid as string) from o where sunid not in (select sunid from w) and id not in (select old_node_id from h where change_type in (1, 2, 3, 4, 5, 6, 7, 8, 9, 13))
  union all select 'bogus-merge', cast(o.sunid as string) from o join o p on p.id = o.parent_node_id join n on n.up = p.sunid and n.description = o.description where ns <> o.sunid and o.id in (select old_node_id from h where change_type = 4)
- union all select 'skipped', cast(s as string) from (select unnest(generate_series((select max(sunid) + 1 from o), (select max(sunid) from w))) as s) where s not in (select sunid from w)
+ union all select 'skipped', case when next = s + 2 then cast(s + 1 as string) else (s + 1) || '-' || (next - 1) end from (select s, lead(s) over (order by s) as next from (select distinct sunid as s from w where sunid > (select max(sunid) from o) union select max(sunid) from o)) where next > s + 1
  union all select 'sid-twice', sid from w where sid is not null group by sid having count(*) > 1 union all select 'sunid-twice', cast(sunid as string) from w group by sunid having count(*) > 1 union all select 'sccs-twice', sccs from w where level_id between 2 and 5 group by sccs having count(*) > 1
  union all select 'sccs-strange', cast(sunid as string) from u where level_id < 6 and not contains(sccs, '.')
  union all select 'sccs-parent', cast(sunid as string) from u where case when level_id > 5 then sccs else regexp_replace(sccs, '[.][^.]*$', '') end <> above

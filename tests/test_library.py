@@ -539,3 +539,12 @@ def test_best_matches_without_all_pairs(spark, monkeypatch):
     side = lambda k: spark.range(100_000).selectExpr("1L as chain_id", "id", f"id * 37 % 30011 + {k} as start", "20 + id % 181 as length")
     best = regions.best_region_match(side(0), side(1)).agg(F.count("*"), F.max("end_error")).first()
     assert best[0] == 100_000 and best[1] <= 1
+
+
+def test_gaps_are_stretches(spark):
+    """A number of 10^12 makes one stretch, not 10^12 rows; neighbours meet over the ends of parts."""
+    own = [1, 2, 3, 7, 7, None, 9, 10, 500, 10**12]
+    got = release.gaps(spark.createDataFrame([(x,) for x in own], "n long").repartition(3), "n")
+    assert rows(got, "first") == [(4, 6), (8, 8), (11, 499), (501, 10**12 - 1)]
+    assert release.gaps(spark.createDataFrame([], "n long"), "n").isEmpty()
+    assert rows(release.gaps(spark.range(0, 20_000).filter("id % 1000 <> 17").repartition(8), "id"), "first") == [(1000 * k + 17, 1000 * k + 17) for k in range(20)]
