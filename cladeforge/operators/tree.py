@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cladeforge.sources.scratch import kept, written
+
 #: Levels of the tree.
 LEVELS = {1: "root", 2: "cl", 3: "cf", 4: "sf", 5: "fa", 6: "dm", 7: "sp", 8: "px"}
 MAX_DEPTH = 7
@@ -15,8 +19,6 @@ def closure(nodes: DataFrame) -> DataFrame:
 
     The tree has eight levels at most, so seven joins with the (id, parent, level) columns reach every root.
     """
-    from cladeforge.sources.scratch import kept
-
     up = kept(nodes.select(F.col("id").alias("ancestor_id"), F.col("parent_node_id").alias("next"), F.col("level_id").alias("ancestor_level")))
     step = up.select(F.col("ancestor_id").alias("node_id"), "ancestor_id", "ancestor_level", "next", F.lit(0).alias("depth"))
     out = step
@@ -78,35 +80,58 @@ def lineage_history(closed: DataFrame) -> DataFrame:
     return levels.join(releases, "identifier").withColumn("values", values).filter("values > 1").select("identifier", "ancestor_level", "values")
 
 
+#: Stands for the parent of roots.
+NOWHERE = -(1 << 62)
+
+
 def tree_order(nodes: DataFrame, scores: DataFrame) -> DataFrame:
     """id, new_id: numbers in depth-first order.
 
     Children stand by class string (class), number in it (fold to family), upper-case text (protein, species), and score
-    then name (domain); "automated matches" come last. A path of ranks makes the order; it is dealt by range, and numbers
-    are counts of earlier parts plus the place in the own one, so nothing passes through one task.
+    then name (domain); "automated matches" come last. A node whose parent isn't there is a root.
+
+    Level by level from below, subtrees are counted; then all nodes are dealt by parent and order, and running sums over the ranges say how many
+    nodes stand before one under its parent; level by level from above, a node's number is its parent's and one more, and those. Each
+    level takes part once each way, and a node with any number of children is as many tasks as its children fill.
     """
-    own = nodes.join(scores, "id", "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
+    known = nodes.select(F.col("parent_node_id").alias("up")).distinct().join(nodes.select(F.col("id").alias("up")), "up", "left_semi")
+    own = nodes.join(scores, "id", "left").withColumn("score", F.coalesce("score", F.lit(0.0))).join(known, F.col("parent_node_id") == F.col("up"), "left")
     last = F.when(F.col("description") == "automated matches", 1).otherwise(0)
     number = F.element_at(F.split("sccs", r"\."), -1).cast("int")
-    key = F.struct(
+    key = [
         last.alias("last"),
         F.when(F.col("level_id").between(3, 5), number).otherwise(0).alias("number"),
         F.when(F.col("level_id") == 8, -F.col("score")).otherwise(F.lit(0.0)).alias("score"),
         F.when(F.col("level_id") == 2, F.col("sccs")).when(F.col("level_id") == 8, F.coalesce("sid", F.lit(""))).when(F.col("level_id") > 5, F.upper("description")).otherwise("").alias("text"),
-        F.col("id").alias("id"),
-    )
-    ranked = own.select("id", "parent_node_id", F.row_number().over(Window.partitionBy("parent_node_id").orderBy(key)).alias("rank"))
-    up = ranked.select(F.col("id").alias("at"), F.col("parent_node_id").alias("next"), F.col("rank").alias("step"))
-    paths = ranked.select("id", F.col("parent_node_id").alias("next"), F.array("rank").alias("path"))
-    for _ in range(MAX_DEPTH):
-        paths = paths.join(up.withColumnRenamed("next", "further"), F.col("next") == F.col("at"), "left").select("id", F.col("further").alias("next"), F.when(F.col("step").isNull(), F.col("path")).otherwise(F.concat(F.array("step"), "path")).alias("path"))
-    return numbered(paths.select("id", "path"), ["path"], "new_id").select("id", "new_id")
+        F.col("id"),
+    ]
+    order = ["up", "last", "number", "score", "text", "id"]
+    rows = written(own.select(F.coalesce("up", F.lit(NOWHERE)).alias("up"), "level_id", *key))
+    levels = [r[0] for r in rows.select("level_id").distinct().orderBy("level_id").collect()]  # eight at most
+    sized: list[DataFrame] = []
+    below = rows.select(F.col("up").alias("id"), F.lit(0).cast("long").alias("below")).limit(0)
+    for level in reversed(levels):
+        at = written(rows.filter(F.col("level_id") == level).join(below, "id", "left").withColumn("size", 1 + F.coalesce("below", F.lit(0))).drop("below"))
+        sized.append(at)
+        below = below.union(at.groupBy("up").agg(F.sum("size"))).groupBy("id").agg(F.sum("below").alias("below"))
+    dealt = written(reduce(DataFrame.unionByName, sized).repartitionByRange(*order).withColumn("part", F.spark_partition_id())) if sized else rows.select("*", F.lit(1).alias("size"), F.lit(0).alias("part"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row a part
+    offsets = dealt.groupBy("part").agg(F.sum("size").alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    inside = Window.partitionBy("part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    placed = dealt.join(F.broadcast(offsets), "part").select("id", "up", "level_id", (F.col("offset") + F.coalesce(F.sum("size").over(inside), F.lit(0))).alias("all_before"))
+    places = written(placed)
+    least = places.groupBy("up").agg(F.min("all_before").alias("least"))
+    done = rows.sparkSession.createDataFrame([(NOWHERE, 0)], "up long, above long")
+    out = None
+    for level in levels:
+        at = places.filter(F.col("level_id") == level).join(least, "up").join(done, "up").select("id", (F.col("above") + 1 + F.col("all_before") - F.col("least")).alias("new_id"))
+        out = at if level == levels[-1] else written(at)
+        done = done.union(out)
+    return done.filter(F.col("up") != NOWHERE).toDF("id", "new_id")
 
 
 def numbered(rows: DataFrame, order: list[str], name: str, start: int = 1) -> DataFrame:
     """rows with dense numbers in an order that must be total: ranks within ranges, plus the sizes of the ranges before."""
-    from cladeforge.sources.scratch import kept
-
     dealt = kept(rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__part", F.spark_partition_id()))
     sizes = dealt.groupBy("__part").agg(F.count("*").alias("n"))
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # one row a partition
@@ -131,8 +156,6 @@ def automatch_closure(matches: DataFrame, seeds: DataFrame) -> DataFrame:
 
     matches: sid, target (read off the comment). Each round follows the newly found only, without those seen, so a cycle ends.
     """
-    from cladeforge.sources.scratch import kept
-
     edges = matches.select("sid", "target").distinct()
     seen = frontier = kept(seeds.select("sid").distinct())
     while True:

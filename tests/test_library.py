@@ -548,3 +548,39 @@ def test_gaps_are_stretches(spark):
     assert rows(got, "first") == [(4, 6), (8, 8), (11, 499), (501, 10**12 - 1)]
     assert release.gaps(spark.createDataFrame([], "n long"), "n").isEmpty()
     assert rows(release.gaps(spark.range(0, 20_000).filter("id % 1000 <> 17").repartition(8), "id"), "first") == [(1000 * k + 17, 1000 * k + 17) for k in range(20)]
+
+
+def test_depth_first_numbers(spark):
+    """Against a walk over the tree, with a node of many children dealt to several parts, and a node whose parent is missing."""
+    r = random.Random(11)
+    nodes, scores = [(0, 0, None, "", "root", 1, None)], []
+    top = {1: [(0, "")]}
+    for level in range(2, 9):
+        top[level] = []
+        for parent, sccs in top[level - 1]:
+            for k in range(700 if level == 8 and parent == top[7][0][0] else r.randint(0, 3) if level > 2 else 3):
+                i = len(nodes) * 37 % 100_003
+                own = sccs if level > 5 else (f"{sccs}.{k + 8}" if level > 2 else "abc"[k])
+                nodes.append((i, i, f"d{i % 50}" if level == 8 else None, own, "automated matches" if r.random() < 0.1 else f"T{r.randrange(5)}", level, parent))
+                scores.append((i, float(r.randrange(4))))
+                top[level].append((i, own))
+    nodes.append((200_001, 1, None, "z.1", "lost", 3, 999_999))
+    score = dict(scores)
+    children = {}
+    for n in nodes:
+        children.setdefault(n[6] if n[6] != 999_999 else None, []).append(n)
+
+    def key(n):
+        i, _, sid, sccs, text, level, _ = n
+        number = int(sccs.split(".")[-1]) if 3 <= level <= 5 else 0
+        return text == "automated matches", number, -score.get(i, 0.0) if level == 8 else 0.0, sccs if level == 2 else (sid or "") if level == 8 else text.upper() if level > 5 else "", i
+
+    want, stack = [], sorted(children[None], key=key, reverse=True)
+    while stack:
+        n = stack.pop()
+        want.append(n[0])
+        stack += sorted(children.get(n[0], []), key=key, reverse=True)
+    got = tree.tree_order(spark.createDataFrame(nodes, NODE), spark.createDataFrame(scores, "id long, score double"))
+    assert [x["id"] for x in sorted(got.collect(), key=lambda x: x["new_id"])] == want
+    assert sorted(x["new_id"] for x in got.collect()) == list(range(1, len(nodes) + 1))
+    assert tree.tree_order(spark.createDataFrame([], NODE), spark.createDataFrame([], "id long, score double")).isEmpty()
