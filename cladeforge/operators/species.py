@@ -55,14 +55,21 @@ def sibling_species_merge(nodes: DataFrame) -> DataFrame:
     return nodes.join(least, ["parent_node_id", "species_id"]).filter("id <> merged_id").select("id", "merged_id")
 
 
+def shared_annotation_classes(domains: DataFrame, group: str, part: str) -> DataFrame:
+    """group, annotation, part, representative, links: parts of one group that share an annotation (proteins of a family a gene, or species of
+    a protein a source), one row a part. The least part stands for its class; links: how many others a part shares the annotation with.
+
+    domains: group, part, annotation. The rows are at most those of domains: a class of any size isn't turned into its pairs.
+    """
+    own = domains.filter("annotation is not null").select(F.col(group), F.col(part), "annotation").distinct()
+    several = own.groupBy(group, "annotation").agg(F.min(part).alias("representative"), F.count("*").alias("n")).filter("n > 1")
+    return own.join(several, [group, "annotation"]).select(group, "annotation", part, "representative", (F.col("n") - 1).alias("links"))
+
+
 def shared_annotation_conflicts(domains: DataFrame, group: str, part: str) -> DataFrame:
-    """group, annotation, a < b: two parts of one group that share an annotation (proteins of a family a gene, or species of
-    a protein a source). domains: group, part, annotation. Reduced to distinct parts and to annotations of several first."""
-    own = domains.filter("annotation is not null").select(F.col(group).alias("g"), F.col(part).alias("p"), "annotation").distinct()
-    several = own.groupBy("g", "annotation").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
-    kept = own.join(several, ["g", "annotation"], "left_semi")
-    pairs = kept.withColumnRenamed("p", "a").join(kept.withColumnRenamed("p", "b"), ["g", "annotation"]).filter("a < b")
-    return pairs.select(F.col("g").alias(group), "annotation", "a", "b")
+    """group, annotation, a < b: the pairs of shared_annotation_classes, for those who need each one. A class of n parts has n (n - 1) / 2."""
+    rows = shared_annotation_classes(domains, group, part).select(group, "annotation", F.col(part).alias("a"))
+    return rows.join(rows.withColumnRenamed("a", "b"), [group, "annotation"]).filter("a < b").select(group, "annotation", "a", "b")
 
 
 def reassign_automatic(automatic: DataFrame, genes: DataFrame, species: DataFrame) -> DataFrame:

@@ -311,6 +311,11 @@ def r16(t: Tables) -> DataFrame:
 ANNOTATED = "select o_custkey as family_id, l_linenumber as protein_id, case when l_partkey % 50 = 0 then null else l_suppkey end as annotation from {lineitem} join {orders} on l_orderkey = o_orderkey"
 
 
+@query("r17_shared_annotation_classes", f"with d as (select distinct * from ({ANNOTATED}) where annotation is not null), k as (select family_id, annotation, min(protein_id) as representative, count(*) as n from d group by 1, 2 having count(*) > 1) select family_id, annotation, protein_id, representative, n - 1 as links from d join k using (family_id, annotation)")
+def r17c(t: Tables) -> DataFrame:
+    return species.shared_annotation_classes(t.sql(ANNOTATED), "family_id", "protein_id")
+
+
 @query("r17_shared_annotation_conflicts", f"with d as (select distinct * from ({ANNOTATED}) where annotation is not null) select x.family_id, x.annotation, x.protein_id as a, y.protein_id as b from d x join d y on x.family_id = y.family_id and x.annotation = y.annotation and x.protein_id < y.protein_id")
 def r17(t: Tables) -> DataFrame:
     return species.shared_annotation_conflicts(t.sql(ANNOTATED), "family_id", "protein_id")

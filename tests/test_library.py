@@ -9,7 +9,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from cladeforge.operators import asof, cluster, lookup, predict, regions, release, residues, search, tree
+from cladeforge.operators import asof, cluster, lookup, predict, regions, release, residues, search, species, tree
 from cladeforge.plans.queries import ORACLES, QUERIES
 from cladeforge.plans.registry import TABLES
 from cladeforge.sources import flatfiles
@@ -584,3 +584,35 @@ def test_depth_first_numbers(spark):
     assert [x["id"] for x in sorted(got.collect(), key=lambda x: x["new_id"])] == want
     assert sorted(x["new_id"] for x in got.collect()) == list(range(1, len(nodes) + 1))
     assert tree.tree_order(spark.createDataFrame([], NODE), spark.createDataFrame([], "id long, score double")).isEmpty()
+
+
+def test_a_stored_index_keeps_untouched_files(spark, tmp_path):
+    path = str(tmp_path / "index")
+    schema = "id long, term string, term_kind string, source string, weight int"
+    index = spark.createDataFrame([(i, f"t{i % 7}", "word", "s", i) for i in range(200) for _ in range(2)], schema)
+    search.write_search_index(index, path, 16)
+    files = lambda: {str(p.relative_to(path)) for p in (tmp_path / "index").rglob("*.parquet")}
+    before = files()
+    changed = spark.createDataFrame([(3,), (50,), (3,), (999,)], "id long")
+    fresh = spark.createDataFrame([(3, "new", "word", "s", 1), (999, "more", "word", "s", 2), (4, "not asked", "word", "s", 3)], schema)
+    search.update_stored_index(spark, path, changed, fresh, 16)
+    got = rows(search.read_search_index(spark, path), "id", "term")
+    assert got == sorted([tuple(r) for r in index.collect() if r["id"] not in (3, 50)] + [(3, "new", "word", "s", 1), (999, "more", "word", "s", 2)])
+    gone = {p.split("/")[0] for p in before - files()}
+    assert 0 < len(gone) <= 3 and len(before & files()) >= 13  # the three nodes' buckets alone
+    # buckets that lose all their rows
+    search.update_stored_index(spark, path, index.select("id").filter("id < 150"), fresh.limit(0), 16)
+    assert {r["id"] for r in search.read_search_index(spark, path).collect()} == {*range(150, 200), 999}
+    search.update_stored_index(spark, path, index.select("id"), fresh.limit(0), 16)
+    assert {r["id"] for r in search.read_search_index(spark, path).collect()} == {999}
+    search.update_stored_index(spark, path, changed, fresh, 16)
+    assert {r["id"] for r in search.read_search_index(spark, path).collect()} == {3, 999}
+
+
+def test_classes_of_shared_annotations(spark):
+    own = [(1, p, "x") for p in range(5000)] + [(1, 7, "y"), (1, 7, "y"), (2, 7, "x"), (1, 8, None), (3, 5, "z"), (3, 4, "z")]
+    df = spark.createDataFrame(own, "family_id long, protein_id long, annotation string")
+    got = species.shared_annotation_classes(df, "family_id", "protein_id")
+    assert got.count() == 5002 and got.filter("family_id = 1 and representative = 0 and links = 4999").count() == 5000
+    assert rows(got.filter("family_id = 3"), "protein_id") == [(3, "z", 4, 4, 1), (3, "z", 5, 4, 1)]
+    assert rows(species.shared_annotation_conflicts(df.filter("family_id = 3"), "family_id", "protein_id"), "a") == [(3, "z", 4, 5)]
