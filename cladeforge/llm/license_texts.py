@@ -68,3 +68,53 @@ Permission is granted to anyone to use this software for any purpose, including
 3. This notice may not be removed or altered from any source distribution."""
     ],
 }
+
+#: Families of licenses: their names in notices, what they are called for short, and their versions as they are written, by SPDX name.
+FAMILIES = [
+    ("GNU General Public License", "GPL", {"GPL-1.0": "1", "GPL-2.0": "2", "GPL-3.0": "3"}),
+    ("GNU Lesser General Public License", "LGPL", {"LGPL-2.1": "2.1", "LGPL-3.0": "3"}),
+    ("GNU Library General Public License", "", {"LGPL-2.0": "2"}),
+    ("GNU Affero General Public License", "AGPL", {"AGPL-3.0": "3"}),
+    ("Apache License", "Apache", {"Apache-1.1": "1.1", "Apache-2.0": "2.0"}),
+    ("Mozilla Public License", "MPL", {"MPL-1.1": "1.1", "MPL-2.0": "2.0"}),
+    ("Eclipse Public License", "EPL", {"EPL-1.0": "1.0", "EPL-2.0": "2.0"}),
+    ("Boost Software License", "", {"BSL-1.0": "1.0"}),
+]
+#: Kinds of Creative Commons licenses, and their versions.
+COMMONS = {"BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-NC": "Attribution-NonCommercial", "BY-ND": "Attribution-NoDerivatives", "BY-NC-SA": "Attribution-NonCommercial-ShareAlike", "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives"}
+COMMONS_VERSIONS = {"2.0": "Generic", "3.0": "Unported", "4.0": "International"}
+#: How the full texts begin, from the title on.
+HEADS = {
+    "AGPL-3.0": "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007",
+    "Apache-2.0": "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION",
+    "EPL-1.0": "Eclipse Public License - v 1.0 THE ACCOMPANYING PROGRAM IS PROVIDED UNDER THE TERMS OF THIS ECLIPSE PUBLIC LICENSE",
+    "EPL-2.0": "Eclipse Public License - v 2.0 THE ACCOMPANYING PROGRAM IS PROVIDED UNDER THE TERMS OF THIS ECLIPSE PUBLIC LICENSE",
+    "GPL-2.0": "GNU GENERAL PUBLIC LICENSE Version 2, June 1991",
+    "GPL-3.0": "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
+    "LGPL-2.1": "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999",
+    "LGPL-3.0": "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007",
+    "MPL-2.0": "Mozilla Public License Version 2.0 1. Definitions",
+}
+
+
+def notices() -> dict[str, list[str]]:
+    """Texts and notices of all licenses: those above, and by rule every version of a family in the same phrasings."""
+    out = {name: list(own) for name, own in TEXTS.items()}
+
+    def add(name: str, *texts: str) -> None:
+        own = out.setdefault(name, [])
+        own += [x for x in texts if x not in own]
+
+    for family, short, versions in FAMILIES:
+        for name, v in versions.items():
+            add(name, f"Licensed under the {family}, version {v}", f"Licensed under the {family} {v}", f"under the terms of the {family}, version {v}")
+            if short:
+                add(name, f"Licensed under {short} v{v} or later", f"{short} v{v}.0 or later" if "." not in v else f"{short} v{v} or later")
+    for kind, said in COMMONS.items():
+        for v, port in COMMONS_VERSIONS.items():
+            add(f"CC-{kind}-{v}", f"Licensed under CC {kind} {v}", f"licensed under a Creative Commons {said} {v} {port} License")
+    for name, head in HEADS.items():
+        add(name, head)
+    for name in list(out):
+        add(name, f"SPDX-License-Identifier: {name}")
+    return out

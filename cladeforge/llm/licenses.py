@@ -9,7 +9,8 @@ are looked for in the words, and each place where one is met gives the window th
 all, go no further.
 
 Templates of different licenses can be alike (versions, variants). A window counts for a template only if, for each template of another
-license that is alike, it has a bigram that tells the two apart. Of windows that overlap the best one counts: that of the
+license that is alike, it has a bigram that tells the two apart, and only with the bigrams of the template's own version number, so that a
+version without a template gets no name instead of its neighbour's. Of windows that overlap the best one counts: that of the
 largest coefficient, then of the longest template.
 """
 
@@ -23,11 +24,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cladeforge.llm.license_texts import TEXTS
+from cladeforge.llm.license_texts import notices
 
 SIMILAR = 0.8
 #: Templates of other licenses from this coefficient on must be told apart.
 ALIKE = 0.6
+#: Templates of up to so many words need each of their version's bigrams in a window, longer ones one of them.
+NOTICE = 30
 #: Words that are found in any English text.
 COMMON_WORDS = set("a all an and any as at be by for from in is it may not of on or other out that the this to under use with you".split())
 
@@ -40,7 +43,7 @@ class Template:
     least: int  # bounds of a window's distinct bigrams
     most: int
     anchors: list[tuple[str, int]]  # bigram, place
-    apart: list[list[str]]  # for each template that is alike: bigrams that it hasn't
+    apart: list[list[str]]  # of each of these lists a window has one: bigrams of the version, and such as an alike template hasn't
 
 
 def bounds(n: int) -> tuple[int, int]:
@@ -51,7 +54,7 @@ def bounds(n: int) -> tuple[int, int]:
 
 def templates(texts: dict[str, list[str]] | None = None) -> list[Template]:
     every = []
-    for name, own in sorted((texts or TEXTS).items()):
+    for name, own in sorted((texts or notices()).items()):
         for text in own:
             w = re.sub("[^a-z0-9]+", " ", text.lower()).split()
             pairs = [f"{a} {b}" for a, b in zip(w, w[1:], strict=False)]
@@ -60,6 +63,9 @@ def templates(texts: dict[str, list[str]] | None = None) -> list[Template]:
             rarest = sorted(distinct, key=lambda x: (count[x], sum(y in COMMON_WORDS for y in x.split()), -len(x), x))[: len(distinct) - least + 1]
             every.append(Template(name, w, distinct, least, most, [(x, i) for i, x in enumerate(pairs) if x in rarest], []))
     for t in every:
+        numbers = [x for x in t.bigrams if any(y[0].isdigit() for y in x.split())]
+        if numbers:
+            t.apart += [[x] for x in numbers] if len(t.words) <= NOTICE else [numbers]
         for u in every:
             if u.name != t.name and 2 * len({*t.bigrams} & {*u.bigrams}) >= ALIKE * (len(t.bigrams) + len(u.bigrams)):
                 only = [x for x in t.bigrams if x not in u.bigrams]
