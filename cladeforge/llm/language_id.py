@@ -5,7 +5,8 @@ network reads forwards and one backwards; every position gets probabilities of t
 document's are the mean over its positions. So each position is labelled from MARGIN bytes of the text before it and after it
 at least, wherever windows begin, and a long text's windows go through the network side by side. The networks are
 trained by backpropagation through time on pieces of STEP bytes of at most PER_LANGUAGE documents of each language, those of
-least hash; of a document longer than SAMPLE_BYTES, only its first ones are learned from (scores are of whole texts).
+least hash. Of one with more than PIECES x PIECE characters as many pieces of that length are learned from, drawn over its whole text by
+hash, so that what is fitted on is bounded by rows and pieces and not by where a text begins (scores are of whole texts).
 """
 
 from __future__ import annotations
@@ -15,13 +16,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cladeforge.llm.common import flat_bytes, id_part, texts
 
 HIDDEN, WINDOW, MARGIN = 8, 192, 24
-PER_LANGUAGE, SAMPLE_BYTES, STEP, BATCH, STEPS, RATE = 200, 1 << 16, 64, 256, 160, 0.02
+PER_LANGUAGE, PIECES, PIECE, STEP, BATCH, STEPS, RATE = 200, 64, 1024, 64, 256, 160, 0.02
 #: Windows that go through the network together.
 TOGETHER = 1024
 
@@ -164,9 +165,17 @@ def train(samples: list[tuple[bytes, str]], seed: int = 7) -> Model:
     return Model(languages, side("ahead"), side("back"), p["out"], p["bias"])
 
 
+def sampled(text: Column, seed: Column) -> Column:
+    """A text of up to PIECES x PIECE characters as it is; of a longer one so many pieces at places drawn by hash, in the order of their places."""
+    last = F.length(text) - PIECE
+    places = F.transform(F.sequence(F.lit(0), F.lit(PIECES - 1)), lambda k: F.pmod(F.xxhash64(seed, k), last + 1).cast("int"))
+    drawn = F.array_join(F.transform(F.array_sort(places), lambda at: F.substr(text, at + 1, F.lit(PIECE))), "\n")
+    return F.when(F.length(text) > PIECES * PIECE, drawn).otherwise(text)
+
+
 def learn(docs: DataFrame) -> Model:
     """Fits on PER_LANGUAGE rows a language at most, those of least hash of doc_id and text; equal ids and equal rows are rows like others."""
-    text = F.left(F.col("text").cast("string"), F.lit(SAMPLE_BYTES))
+    text = sampled(F.col("text").cast("string"), F.col("doc_id").cast("long"))
     known = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull() & (id_part(4) != 2)).select(F.col("lang").cast("string").alias("lang"), text.alias("text"), F.xxhash64(F.col("doc_id").cast("long"), F.lit(4)).alias("h"))
     order = F.row_number().over(Window.partitionBy("lang").orderBy("h", F.xxhash64("text")))
     return train(sorted((r["text"].encode(), r["lang"]) for r in known.withColumn("order", order).filter(F.col("order") <= PER_LANGUAGE).collect()))

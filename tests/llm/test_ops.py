@@ -9,9 +9,10 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from cladeforge.llm import chat, decontamination, language_id, licenses, near_copies, packing, ppm, quality_model, quality_rules, simhash, suffix_dedup
+from cladeforge.llm import chat, decontamination, language_id, license_texts, licenses, near_copies, packing, ppm, quality_model, quality_rules, simhash, suffix_dedup
 from cladeforge.llm.queries import tokenizer_path
 from cladeforge.llm.suffix_sort import blind_trie, deep_shallow
 
@@ -507,6 +508,18 @@ def test_quality_model(spark, empty):
 # rules, licenses, chats
 
 
+def test_language_pieces_come_from_whole_texts(spark):
+    pieces_, piece = language_id.PIECES, language_id.PIECE
+    long = "".join(chr(0x100 + i) * piece for i in range(10 * pieces_))
+    df = spark.createDataFrame([(1, long), (2, long[: pieces_ * piece]), (3, "é"), (4, ""), (5, None)], "doc_id long, text string")
+    got = {r[0]: r[1] for r in df.select("doc_id", language_id.sampled(F.col("text"), F.col("doc_id"))).collect()}
+    assert got[2] == long[: pieces_ * piece] and got[3] == "é" and got[4] == "" and got[5] is None
+    drawn = got[1].split("\n")
+    assert len(drawn) == pieces_ and all(len(x) == piece and x in long for x in drawn)
+    places = [long.index(x) / len(long) for x in drawn]
+    assert places == sorted(places) and places[0] < 0.1 and places[-1] > 0.9
+
+
 def test_quality_rules(docs, empty):
     got = quality_rules.quality_rules(docs).collect()
     want = []
@@ -524,7 +537,7 @@ def test_quality_rules(docs, empty):
 
 
 def test_licenses(spark, empty):
-    mit, bsd2, bsd3 = (licenses.TEXTS[k][0] for k in ("MIT", "BSD-2-Clause", "BSD-3-Clause"))
+    mit, bsd2, bsd3 = (license_texts.TEXTS[k][0] for k in ("MIT", "BSD-2-Clause", "BSD-3-Clause"))
     wrapped = "\n".join(re.findall(r"(.{1,77})(?:\s|$)", mit.replace("\n", " ")))
     prose = words(50, 4)
     texts = [
@@ -558,6 +571,35 @@ def test_licenses(spark, empty):
     assert licenses.scan_licenses(empty).count() == 0
 
 
+def test_license_versions(spark):
+    """Every version has its own name in the same phrasing; one that isn't known has none, and not its neighbour's."""
+    prose = words(30, 8)
+    texts = [
+        ("Licensed under the GNU Lesser General Public License, version 2.1", "LGPL-2.1"),
+        ("Licensed under the GNU Lesser General Public License, version 3", "LGPL-3.0"),
+        ("Licensed under the GNU General Public License, version 2", "GPL-2.0"),
+        ("Licensed under the GNU General Public License, version 1", "GPL-1.0"),
+        ("Licensed under the GNU General Public License, version 7", ""),
+        ("Licensed under the GNU Lesser General Public License, version 4", ""),
+        ("Licensed under the Apache License, Version 3.5", ""),
+        ("Licensed under the Apache License, Version 1.1", "Apache-1.1"),
+        ("Licensed under the Mozilla Public License 1.1", "MPL-1.1"),
+        ("Licensed under CC BY-SA 3.0", "CC-BY-SA-3.0"),
+        ("Licensed under CC BY-SA 9.0", ""),
+        ("This work is licensed under a Creative Commons Attribution-ShareAlike 3.0 Unported License.", "CC-BY-SA-3.0"),
+        ("GPL v3.0 or later", "GPL-3.0"),
+        ("// SPDX-License-Identifier: MIT", "MIT"),
+        ("# SPDX-License-Identifier: Apache-2.0", "Apache-2.0"),
+        ("SPDX-License-Identifier: EPL-2.0", "EPL-2.0"),
+        ("Licensed under the Eclipse Public License, version 1.0", "EPL-1.0"),
+        ('Apache License\n Version 2.0, January 2004\n http://www.apache.org/licenses/\n\n TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION\n\n 1. Definitions.\n "License" shall mean', "Apache-2.0"),
+        ("GNU LESSER GENERAL PUBLIC LICENSE\nVersion 2.1, February 1999\nCopyright (C) 1991, 1999 Free Software Foundation, Inc.", "LGPL-2.1"),
+        ("GNU GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007", "GPL-3.0"),
+    ]
+    df = spark.createDataFrame([(i, t if i % 2 else f"{prose}\n{t}\n{prose}") for i, (t, _) in enumerate(texts)], "doc_id long, text string")
+    assert [r["licenses"] for r in licenses.scan_licenses(df).orderBy("doc_id").collect()] == [x for _, x in texts]
+
+
 def test_licenses_miss_no_similar_window():
     r = random.Random(4)
     for t in licenses.templates():
