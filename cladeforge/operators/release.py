@@ -113,10 +113,11 @@ def stable_domain_ids(old: DataFrame, new: DataFrame, carried: DataFrame) -> Dat
 def stable_clade_ids(old: DataFrame, new: DataFrame, history: DataFrame, levels: tuple[int, ...] = (2, 3, 4, 5, 6, 7)) -> DataFrame:
     """id, sunid of new nodes above domains, level by level: split or moved ones (history: new_node_id, change_type 5 or 6) get numbers on; one
     with the text of an old node under the parent of that sunid keeps its sunid; one that has a sunid (above 0) keeps that; others get
-    numbers on, by id. old, new: id, sunid, description, level_id, parent_node_id, root at level 1. Of siblings with one text, the first counts."""
+    numbers on, by id. old, new: id, sunid, description, level_id, parent_node_id, root at level 1. Of siblings with one text, that of
+    the largest id counts, as in check_ids."""
     top = old.select("sunid").union(new.select("sunid")).agg(F.max("sunid").alias("top")).first()["top"]  # one number
     parents = old.select(F.col("id").alias("parent_node_id"), F.col("sunid").alias("parent_sunid"))
-    earlier = old.join(parents, "parent_node_id").groupBy("level_id", "parent_sunid", "description").agg(F.min("sunid").alias("same_text"))
+    earlier = old.join(parents, "parent_node_id").groupBy("level_id", "parent_sunid", "description").agg(F.max_by("sunid", "id").alias("same_text"))
     remade = history.filter("change_type in (5, 6)").select(F.col("new_node_id").alias("id"), F.lit(True).alias("remade")).distinct()
     done = new.filter("level_id = 1").select("id", F.lit(0).cast("long").alias("sunid"))
     above = done
@@ -124,8 +125,8 @@ def stable_clade_ids(old: DataFrame, new: DataFrame, history: DataFrame, levels:
         own = new.filter(F.col("level_id") == level).select("id", "level_id", "parent_node_id", "description", F.col("sunid").alias("given"))
         own = own.join(above.toDF("parent_node_id", "parent_sunid"), "parent_node_id").join(remade, "id", "left")
         met = own.join(earlier, ["level_id", "parent_sunid", "description"], "left")
-        met = met.join(own.groupBy("parent_sunid", "description").agg(F.min("id").alias("id")).select("id", F.lit(True).alias("first")), "id", "left")
-        sunid = F.when(F.col("remade").isNull(), F.coalesce(F.when(F.col("first"), F.col("same_text")), F.when(F.col("given") > 0, F.col("given"))))
+        met = met.join(own.groupBy("parent_sunid", "description").agg(F.max("id").alias("id")).select("id", F.lit(True).alias("last")), "id", "left")
+        sunid = F.when(F.col("remade").isNull(), F.coalesce(F.when(F.col("last"), F.col("same_text")), F.when(F.col("given") > 0, F.col("given"))))
         met = kept(met.select("id", F.coalesce("remade", F.lit(False)).alias("remade"), sunid.alias("sunid")))
         fresh = numbered(met.filter("sunid is null").select("id", (~F.col("remade")).alias("late")), ["late", "id"], "sunid", top + 1).select("id", F.col("sunid").cast("long"))
         above = kept(met.filter("sunid is not null").select("id", "sunid").union(fresh))

@@ -86,10 +86,10 @@ REMADE = f"select id as new_node_id, cast(4 + id % 4 as int) as change_type from
 
 
 def _clades() -> str:
-    out = f"with o as ({CLADES0}), w as ({CLADES1}), h as (select new_node_id from ({REMADE}) where change_type in (5, 6)), e as (select o.level_id, p.sunid as ps, o.description, min(o.sunid) as same from o join o p on p.id = o.parent_node_id group by 1, 2, 3), t1 as (select cast(greatest((select max(sunid) from o), (select max(sunid) from w)) as bigint) as top), a1 as (select id, cast(0 as bigint) as sunid from w where level_id = 1)"
+    out = f"with o as ({CLADES0}), w as ({CLADES1}), h as (select new_node_id from ({REMADE}) where change_type in (5, 6)), e as (select o.level_id, p.sunid as ps, o.description, arg_max(o.sunid, o.id) as same from o join o p on p.id = o.parent_node_id group by 1, 2, 3), t1 as (select cast(greatest((select max(sunid) from o), (select max(sunid) from w)) as bigint) as top), a1 as (select id, cast(0 as bigint) as sunid from w where level_id = 1)"
     for level in (2, 3, 4, 5):
         b = f"a{level - 1}"
-        out += f""", m{level} as (select w.id, w.id in (select new_node_id from h) as remade, case when w.id in (select new_node_id from h) then null when w.id = min(w.id) over (partition by {b}.sunid, w.description) and same is not null then same when w.sunid > 0 then w.sunid end as sunid from w join {b} on {b}.id = w.parent_node_id left join e on e.level_id = w.level_id and e.ps = {b}.sunid and e.description = w.description where w.level_id = {level}),
+        out += f""", m{level} as (select w.id, w.id in (select new_node_id from h) as remade, case when w.id in (select new_node_id from h) then null when w.id = max(w.id) over (partition by {b}.sunid, w.description) and same is not null then same when w.sunid > 0 then w.sunid end as sunid from w join {b} on {b}.id = w.parent_node_id left join e on e.level_id = w.level_id and e.ps = {b}.sunid and e.description = w.description where w.level_id = {level}),
  a{level} as (select id, sunid from m{level} where sunid is not null union all select id, (select top from t{level - 1}) + row_number() over (order by case when remade then 0 else 1 end, id) from m{level} where sunid is null), t{level} as (select greatest((select top from t{level - 1}), coalesce(max(sunid), 0)) as top from a{level})"""
     return out + " select * from a1 union all select * from a2 union all select * from a3 union all select * from a4 union all select * from a5"
 

@@ -336,6 +336,14 @@ def test_stable_clade_ids(spark):
     assert {r["id"]: r["sunid"] for r in got.collect()} == {21: 0, 22: 10, 23: 41, 27: 42, 24: 12, 25: 40, 26: 43}
 
 
+def test_siblings_with_one_text(spark):
+    """The one of the largest id counts, in both releases, as it does in the audits."""
+    old = [_clade(1, 0, None, "root", 1, None), _clade(2, 10, None, "A", 2, 1), _clade(3, 11, None, "A", 2, 1)]
+    new = [_clade(21, 0, None, "root", 1, None), _clade(22, 0, None, "A", 2, 21), _clade(23, 0, None, "A", 2, 21)]
+    got = release.stable_clade_ids(spark.createDataFrame(old, NODE), spark.createDataFrame(new, NODE), spark.createDataFrame([], "new_node_id long, change_type int"), (2,))
+    assert {r["id"]: r["sunid"] for r in got.collect()} == {21: 0, 22: 12, 23: 11}
+
+
 def test_edits(spark):
     rows = [_clade(1, 1, "root", "root", 1, None), _clade(2, 2, "a", "A", 2, 1), _clade(3, 3, "a.1", "F", 3, 2), _clade(4, 4, "a.1.1", "S", 4, 3), _clade(5, 5, "a.1.1.1", "M", 5, 4), _clade(6, 6, "a.1.1.2", "N", 5, 4)]
     rows += [_clade(7, 7, "a.1.1.1", "P", 6, 5), _clade(8, 8, "a.1.1.1", "Q", 7, 7), _clade(9, 9, "a.1.1.1", "d", 8, 8, "d1abca_"), _clade(10, 10, "a.2", "G", 3, 2)]
