@@ -254,6 +254,37 @@ def test_stage_keeps_one_by_jaccard(spark, monkeypatch):
     assert 20 < len(set(group)) < len(rows) - 40
 
 
+def test_large_groups_of_near_copies(spark, monkeypatch):
+    """Copies with one to seven words changed, and texts around one passage: the links of brute force, with far fewer pairs compared than there are."""
+    r = random.Random(12)
+    base, passage, texts = words(150, 77).split(), words(60, 78), []
+    for i in range(330):
+        w = list(base)
+        for at in r.sample(range(150), r.choice((0, 1, 1, 2, 3, 4, 5, 7))):
+            w[at] = f"new{r.randrange(40)}"
+        texts.append(" ".join(w))
+    texts += [f"{words(r.choice((3, 40)), 500 + i)} {passage} {words(r.choice((2, 30)), 900 + i)}" for i in range(120)]
+    sets = [frozenset(zip(*(t.split()[k:] for k in range(5)), strict=False)) for t in texts]
+    group = list(range(len(texts)))
+
+    def root(i):
+        while group[i] != i:
+            group[i] = i = group[group[i]]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if 9 * len(sets[i] & sets[j]) >= 4 * (len(sets[i]) + len(sets[j])):
+                x, y = sorted((root(i), root(j)))
+                group[y] = x
+    compared = []
+    real = near_copies.checkpointed
+    monkeypatch.setattr(near_copies, "checkpointed", lambda df: [out := real(df), compared.append(out.count()) if df.columns == ["a", "b"] else None][0])
+    kept = near_copies.keep_one(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert sorted(x["doc_id"] for x in kept.collect()) == sorted(i for i in range(len(texts)) if root(i) == i)
+    assert sum(compared) < 330 * 329 / 2 / 4
+
+
 # decontamination
 
 
