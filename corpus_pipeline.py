@@ -1,6 +1,6 @@
 """Documents made ready for training, in five stages; each works on all that the one before it kept.
 
-Quality classifier, near-dedup (five-word Jaccard of at least 0.8), suffix-array dedup, benchmark decontamination, packing. All but the last return the
+Quality classifier, near-dedup (SimHash of five-word shingles, then a Jaccard similarity of at least 0.8), suffix-array dedup, benchmark decontamination, packing. All but the last return the
 columns of `documents`: rejected rows, all but one of near copies, and contaminated rows go; repeated passages are cut out
 of the texts. The last returns the pieces of the packed sequences.
 
@@ -17,7 +17,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cladeforge.llm import decontamination, near_copies, packing, quality_model, suffix_dedup
+from cladeforge.llm import decontamination, near_simhash, packing, quality_model, suffix_dedup
 from cladeforge.llm.common import table
 from cladeforge.llm.queries import tokenizer_path
 
@@ -29,7 +29,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return near_copies.keep_one(docs)
+    return near_simhash.keep_one(docs)
 
 
 def exact_substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

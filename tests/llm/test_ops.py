@@ -7,12 +7,13 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from cladeforge.llm import chat, decontamination, language_id, license_texts, licenses, near_copies, packing, ppm, quality_model, quality_rules, simhash, suffix_dedup
+from cladeforge.llm import chat, decontamination, language_id, license_texts, licenses, near_copies, near_simhash, packing, ppm, quality_model, quality_rules, simhash, suffix_dedup
 from cladeforge.llm.queries import tokenizer_path
 from cladeforge.llm.suffix_sort import blind_trie, deep_shallow
 
@@ -285,6 +286,43 @@ def test_large_groups_of_near_copies(spark, monkeypatch):
     assert sum(compared) < 330 * 329 / 2 / 4
 
 
+def test_stage_links_by_simhash(spark, monkeypatch):
+    """Every compared pair has a key of SimHash in common; links are those of brute force, also in a large group."""
+    r = random.Random(31)
+    base, texts = words(120, 90).split(), [words(r.choice((7, 25, 90)), 3000 + i) for i in range(40)]
+    texts += [t.rsplit(" ", 1)[0] for t in texts[::2]]
+    for i in range(150):
+        w = list(base)
+        for at in r.sample(range(120), i % 6):
+            w[at] = f"new{r.randrange(10**6)}"
+        texts.append(" ".join(w))
+    sets = [frozenset(zip(*(t.split()[k:] for k in range(5)), strict=False)) for t in texts]
+    group = list(range(len(texts)))
+    near = [(i, j) for i in range(len(texts)) for j in range(i) if 9 * len(sets[i] & sets[j]) >= 4 * (len(sets[i]) + len(sets[j]))]
+    for _ in texts:
+        for i, j in near:
+            group[i] = group[j] = min(group[i], group[j])
+    compared, real = [], near_simhash._alike
+    monkeypatch.setattr(near_simhash, "_alike", lambda rows, pairs: [compared.append(pairs.join(rows.toDF("a", "_", "x"), "a").join(rows.toDF("b", "_", "y"), "b").select("x", "y").collect()), real(rows, pairs)][1])
+    kept = near_simhash.keep_one(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert sorted(x["doc_id"] for x in kept.collect()) == sorted(set(group))
+    pairs = [(x["x"], x["y"]) for y in compared for x in y]
+    assert len(pairs) < len(texts) * (len(texts) - 1) / 2 / 4
+    keys = {t: set(near_simhash._keys(s)[1].tolist()) for t, s in zip(texts, near_simhash.shingle_sets(pa.array(texts)), strict=True)}
+    assert all(keys[x] & keys[y] for x, y in pairs)
+
+
+def test_simhash_keys_find_pairs_at_the_threshold():
+    r = np.random.default_rng(4)
+    met = []
+    for n in (5, 10, 40, 120, 300):
+        for _ in range(60):
+            s = r.integers(0, 1 << 63, n).astype(np.uint64)
+            (_, a), (_, b) = near_simhash._keys(s), near_simhash._keys(s[: n - n // 5])
+            met.append(bool(set(a.tolist()) & set(b.tolist())))
+    assert sum(met) / len(met) > 0.98
+
+
 # decontamination
 
 
