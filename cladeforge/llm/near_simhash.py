@@ -7,7 +7,8 @@ shared with probability 0.037, one of 128 with 0.992; at 0.85 with 0.9998. Small
 bits differ oftener. SimHash can't be sure of a pair, but nothing is left out of a bucket:
 
 1. In each bucket each text is compared with the first one, in one of TURNS orders.
-2. All pairs of larger buckets that this hasn't linked, directly or over others, are compared; before it, by WIDE words of bits.
+2. All other pairs of a bucket that this hasn't linked, directly or over others, are compared; before it, by WIDE words of bits.
+   Texts that meet by chance, of which there are more and more to a bucket, end at the window that finds no close one for them.
 
 Only distinct sets take part.
 """
@@ -36,6 +37,8 @@ CARRIED, BOUND = 4, 66
 #: five standard deviations above what two at 4/5 do.
 WIDE, WIDE_BOUND = 40, 470
 TURNS = 16
+#: Members of a bucket up to which each one looks for a close one among them before any join.
+TOLD = 64
 _STEP, _A, _B = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
 
@@ -71,21 +74,28 @@ def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys.append(found)
         at = np.concatenate(([0], np.cumsum([len(x) for x in keys]))).astype(np.int32)
         words = np.concatenate([*carried, np.zeros(0, np.int64)]).reshape(-1, CARRIED + WIDE)
+        more = pa.ListArray.from_arrays(pa.array(np.arange(0, WIDE * len(words) + 1, WIDE, dtype=np.int32)), pa.array(words[:, CARRIED:].ravel()))
         lists = pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate([*keys, np.zeros(0, np.int32)])))
-        columns = [batch.column("rid"), batch.column("doc_id"), pa.array(names, pa.binary()), pa.array(sizes, pa.int32()), *(pa.array(words[:, i]) for i in range(CARRIED + WIDE)), lists]
-        yield pa.RecordBatch.from_arrays(columns, ["rid", "doc_id", "name", "size", *_WORDS, *_MORE, "keys"])
+        columns = [batch.column("rid"), batch.column("doc_id"), pa.array(names, pa.binary()), pa.array(sizes, pa.int32()), *(pa.array(words[:, i]) for i in range(CARRIED)), more, lists]
+        yield pa.RecordBatch.from_arrays(columns, ["rid", "doc_id", "name", "size", *_WORDS, "more", "keys"])
 
 
-_WORDS, _MORE = [f"f{i}" for i in range(CARRIED)], [f"w{i}" for i in range(WIDE)]
+_WORDS = [f"f{i}" for i in range(CARRIED)]
 
 
-def _apart(a: Callable[[str], Column], b: Callable[[str], Column], words: list[str]) -> Column:
-    return reduce(Column.__add__, (F.bit_count(a(w).bitwiseXOR(b(w))) for w in words))
+def _apart(x: Column, y: Column) -> Column:
+    return F.bit_count(x.bitwiseXOR(y))
 
 
 def _close(a: Callable[[str], Column], b: Callable[[str], Column]) -> Column:
     """Sizes allow similarity, and the carried bits differ by BOUND at most."""
-    return (5 * a("size") >= 4 * b("size")) & (5 * b("size") >= 4 * a("size")) & (_apart(a, b, _WORDS) <= BOUND)
+    return (5 * a("size") >= 4 * b("size")) & (5 * b("size") >= 4 * a("size")) & (reduce(Column.__add__, (_apart(a(w), b(w)) for w in _WORDS)) <= BOUND)
+
+
+def _told(a: Callable[[str], Column], b: Callable[[str], Column]) -> Column:
+    """Small, or the further bits differ by WIDE_BOUND at most. These are one array: as columns they make code that takes more memory than the rows."""
+    apart = F.aggregate(F.zip_with(a("more"), b("more"), _apart), F.lit(0), lambda n, x: n + x)
+    return (a("size") < SMALL) | (b("size") < SMALL) | (apart <= WIDE_BOUND)
 
 
 def _alike(rows: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -107,18 +117,22 @@ def links(rows: DataFrame, nodes: DataFrame) -> DataFrame:
     keyed = nodes.select(F.explode("keys").alias("key"), "node", "size", *_WORDS)
     in_turn = Window.partitionBy("key").orderBy(F.xxhash64(F.shiftright("key", WIDTH) % TURNS, "node"), "node")
     col = lambda name: (lambda c: F.col(f"{name}.{c}"))
-    turn = keyed.select("key", own.alias("x"), F.row_number().over(in_turn).alias("n"), F.first(own).over(in_turn).alias("first"), *(F.lead("node", i).over(in_turn).alias(f"after{i}") for i in (1, 2)))
-    by_first = F.when((F.col("n") > 1) & _close(col("x"), col("first")), F.col("first.node")).alias("first")
-    met = written(turn.select("key", "x", "n", by_first, F.expr("n >= 3 or n = 2 and after1 is not null or n = 1 and after2 is not null").alias("large")).filter("first is not null or large"))
+    bucket = Window.partitionBy("key")
+    turn = keyed.select("key", own.alias("x"), F.row_number().over(in_turn).alias("n"), F.first(own).over(in_turn).alias("first"))
+    turn = turn.withColumn("members", F.count("*").over(bucket)).filter("n > 1")
+    # what a bucket has but for its first one: a row without a close one there is done, unless the bucket is too large to tell
+    others = F.collect_list(F.when(F.expr(f"members between 3 and {TOLD}"), F.col("x"))).over(bucket)
+    partner = (F.col("members") > TOLD) | F.exists("others", lambda y: (y["node"] != F.col("x.node")) & _close(col("x"), y.getField))
+    by_first = F.when(_close(col("x"), col("first")), F.col("first.node")).alias("first")
+    met = written(turn.withColumn("others", others).select("key", "x", "n", by_first, partner.alias("open")).filter("first is not null or open"))
     edges = _alike(rows, met.filter("first is not null").select(*_pairs("x.node", "first")).distinct())
     roots = components(edges)
-    rest = met.filter("large").select("key", "n", "x.*").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rest = met.filter("open").select("key", "n", "x.*").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     open_ = rest.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter("least <> most").select("key")
-    rest = rest.join(open_, "key").join(nodes.select("node", *_MORE), "node")
-    rest = written(rest.select("key", F.struct("n", "root", "node", "size", *_WORDS, *_MORE).alias("x")))
+    rest = rest.join(open_, "key").join(nodes.select("node", "more"), "node")
+    rest = written(rest.select("key", F.struct("n", "root", "node", "size", *_WORDS, "more").alias("x")))
     x, y = col("x"), col("y")
-    told = _close(x, y) & ((x("size") < SMALL) | (y("size") < SMALL) | (_apart(x, y, _MORE) <= WIDE_BOUND))
-    further = rest.join(rest.withColumnRenamed("x", "y"), "key").filter((x("n") > 1) & (y("n") > x("n")) & (x("root") != y("root")) & told)
+    further = rest.join(rest.withColumnRenamed("x", "y"), "key").filter((y("n") > x("n")) & (x("root") != y("root")) & _close(x, y) & _told(x, y))
     return components(edges.union(_alike(rows, further.select(*_pairs("x.node", "y.node")).distinct())))
 
 
@@ -128,7 +142,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     Null text has no words; texts without words are copies of each other. A null doc_id is kept only where no other is.
     """
     rows = texts(docs)
-    named = checkpointed(rows.mapInArrow(_named, f"rid long, doc_id long, name binary, size int, {', '.join(f'{w} long' for w in _WORDS + _MORE)}, keys array<int>"))
+    named = checkpointed(rows.mapInArrow(_named, f"rid long, doc_id long, name binary, size int, {', '.join(f'{w} long' for w in _WORDS)}, more array<long>, keys array<int>"))
     distinct = checkpointed(named.groupBy("name").agg(F.min("rid").alias("node"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid")).alias("best")))
     nodes = named.join(distinct.select(F.col("node").alias("rid")), "rid", "left_semi").dropDuplicates(["rid"]).withColumnRenamed("rid", "node")
     roots = links(rows, nodes.filter("size > 0"))

@@ -323,6 +323,32 @@ def test_simhash_keys_find_pairs_at_the_threshold():
     assert sum(met) / len(met) > 0.98
 
 
+def test_texts_that_meet_by_chance_end_at_their_bucket(spark, monkeypatch):
+    texts = [words(60, 900 + i) for i in range(50)]
+    texts += [f"{t} more" for t in texts[:6]]
+    nodes, tables = [], 5
+    for i, s in enumerate(near_simhash.shingle_sets(pa.array(texts))):
+        own = near_simhash._keys(s)[0].tolist()
+        nodes.append((i, len(s), *own[:4], own[4:], [t << near_simhash.WIDTH for t in range(tables)]))
+    nodes = spark.createDataFrame(nodes, f"node long, size int, {', '.join(f'f{i} long' for i in range(4))}, more array<long>, keys array<int>")
+    rows = spark.createDataFrame(list(enumerate(texts)), "rid long, text string")
+    real, kept = near_simhash.written, []
+    monkeypatch.setattr(near_simhash, "written", lambda df: [kept.append((x := real(df)).count()), x][1])
+    for told in (64, 10):  # buckets of 56 are told at once, or by the joins
+        monkeypatch.setattr(near_simhash, "TOLD", told)
+        assert sorted(map(tuple, near_simhash.links(rows, nodes).collect())) == [(50 + i, i) for i in range(6)]
+    assert kept[0] <= 12 * tables < kept[2]
+
+
+def test_simhash_plan_has_no_column_a_word(spark):
+    docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
+    seen, real = [], near_simhash.links
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(near_simhash, "links", lambda rows, nodes: [seen.append(nodes.columns), real(rows, nodes)][1])
+        assert near_simhash.keep_one(docs).count() == 1
+    assert len(seen[0]) < 20
+
+
 # decontamination
 
 
