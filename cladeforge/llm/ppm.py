@@ -17,8 +17,7 @@ and gets the answers with its documents.
 from __future__ import annotations
 
 import math
-from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -79,7 +78,7 @@ def _slices(column: pa.Array, *others: pa.Array) -> Iterator[tuple]:
 
 
 class Strings:
-    """A set of numbers below 2^63 by open addressing, for many at once; each has a slot, and a count there."""
+    """A set of 64-bit numbers (all but 2^64 - 1) by open addressing, for many at once; each has a slot, and a count there."""
 
     def __init__(self, room: int = 0) -> None:
         self.bits = max(12, int(2 * room).bit_length())
@@ -98,7 +97,8 @@ class Strings:
             free = self.held[s] == _FREE
             taken = s[free]
             self.held[taken] = k[free]  # of several, the last one stays
-            self.n += len(np.unique(taken))
+            taken.sort()
+            self.n += int(len(taken) > 0) + int(np.count_nonzero(taken[1:] != taken[:-1]))
             lost = self.held[s] != k
             left = left[lost]
             slot[left] = (slot[left] + 1) & (len(self.held) - 1)
@@ -195,32 +195,47 @@ def probabilities(counted: DataFrame) -> DataFrame:
     return known.union(asked.select("s", F.coalesce(found, way + F.lit(bottom)).alias("log")))
 
 
-def _names(words: Iterable[bytes], n: int) -> np.ndarray:
-    """Of n words: 63 bits of their hashes."""
-    return np.fromiter((xxhash.xxh3_64_intdigest(w) >> 1 for w in words), np.uint64, n)
-
-
 #: Words' names are told from strings by being below zero.
 _WORD = np.uint64(1 << 63)
-_END_WORD = int((_names([b""], 1) | _WORD).view(np.int64)[0])
+_END_WORD = np.uint64(xxhash.xxh3_64_intdigest(b"") >> 1) | _WORD
+_SPACE = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
+_FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+#: Words of more bytes are hashed one by one.
+LONG = 64
+
+
+def _names(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """63 bits of the hashes of lower-cased texts' words, one after the other, marked as words; and how many each text has."""
+    data = np.frombuffer(b"".join(y for x in raw for y in (x, b" ")).lower() + bytes(8), np.uint8)
+    turns = np.flatnonzero(np.diff(_SPACE[data[:-8]], prepend=True))  # words begin and end by turns; each text ends in a space
+    begins, ends = turns[::2], turns[1::2]
+    eight = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))
+    sizes = ends - begins
+    names = sizes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    left = np.flatnonzero(sizes <= LONG)
+    for at in range(0, LONG, 8):
+        x = names[left] ^ (eight[begins[left] + at] & _FIRST[np.minimum(sizes[left] - at, 8)])
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        names[left] = x ^ (x >> np.uint64(31))
+        left = left[sizes[left] > at + 8]
+    for i in np.flatnonzero(sizes > LONG):
+        names[i] = xxhash.xxh3_64_intdigest(data[begins[i] : ends[i]])
+    return np.minimum((names >> np.uint64(1)) | _WORD, _FREE - np.uint64(1)), np.diff(np.searchsorted(begins, np.cumsum([len(x) + 1 for x in raw])), prepend=0)
 
 
 def _asked(bucket: pa.Table) -> pa.Table:
     words, strings, ends = Strings(), Strings(), 0
     for raw, held_out in _slices(bucket.column("text").combine_chunks(), bucket.column("held_out").combine_chunks()):
-        held_out = held_out.to_pylist()
-        for side in (False, True):
-            counts: Counter = Counter()
-            for text, h in zip(raw, held_out, strict=True):
-                if h == side:
-                    counts.update(text.lower().split())
-                    ends += not side
-            slots = words.slots(_names(counts, len(counts)))
-            if not side:
-                np.add.at(words.counts, slots, np.fromiter(counts.values(), np.int64, len(counts)))
+        training = ~held_out.to_numpy(zero_copy_only=False)
+        ends += int(training.sum())
+        names, sizes = _names(raw)
+        learned = np.repeat(training.astype(np.int64), sizes)
+        for at in range(0, len(names), PIECE):
+            slots = words.slots(names[at : at + PIECE])
+            np.add.at(words.counts, slots, learned[at : at + PIECE])
         _taken(strings, raw)
-    names = (words.held[words.used] | _WORD).view(np.int64)
-    keys = np.concatenate((names, [_END_WORD], strings.held[strings.used].view(np.int64)))
+    keys = np.concatenate((words.held[words.used], [_END_WORD], strings.held[strings.used])).view(np.int64)
     c = np.concatenate((words.counts[words.used], [ends], np.zeros(strings.n, np.int64)))
     return pa.table({"bucket": pa.array(np.full(len(keys), bucket.column("bucket")[0].as_py(), np.int64)), "key": pa.array(keys), "c": pa.array(c)})
 
@@ -234,40 +249,29 @@ def _scored(docs: pa.Table, answers: pa.Table) -> pa.Table:
         return _OUT.empty_table()
     key = answers.column("key").to_numpy()
     is_word = key < 0
-    names = key[is_word]
-    order = np.argsort(names)
-    names, logs = names[order], np.log10(answers.column("n").to_numpy()[is_word][order] + 1.0)
-
-    def weight(asked: np.ndarray) -> np.ndarray:
-        if not len(names):
-            return np.zeros(len(asked))
-        at = np.minimum(np.searchsorted(names, asked), len(names) - 1)
-        return np.where(names[at] == asked, logs[at], 0.0)
-
+    names, counts = key[is_word].view(np.uint64), answers.column("n").to_numpy()[is_word]
+    end = math.log10(int(counts[names == _END_WORD].sum()) + 1)
+    words = Strings(len(names) + PIECE)
+    words.counts[words.slots(names)] = counts
     strings = key[~is_word].view(np.uint64)
     table = Strings(len(strings) + PIECE)
     slots = table.slots(strings)
     at = np.zeros(len(table.held), np.float32)
     at[slots] = answers.column("log").to_numpy()[~is_word]
-    del key, is_word, strings, slots, order
-    end = float(weight(np.array([_END_WORD]))[0])
+    del key, is_word, strings, slots, names, counts
     tokens, hits, known, scores = [], [], [], []
     for (raw,) in _slices(docs.column("text").combine_chunks()):
-        distinct: set[bytes] = set()
-        for text in raw:
-            distinct.update(text.lower().split())
-        weights = dict(zip(distinct, weight((_names(distinct, len(distinct)) | _WORD).view(np.int64)).tolist(), strict=True))
-        for text in raw:
-            words = text.lower().split()
-            w = np.fromiter(map(weights.__getitem__, words), float, len(words))
-            tokens.append(len(words) + 1)
-            hits.append(int(np.count_nonzero(w)) + (end > 0))
-            known.append(float(w.sum()) + end)
+        names, sizes = _names(raw)
+        n = np.concatenate([words.counts[words.slots(names[x : x + PIECE])] for x in range(0, len(names), PIECE)] + [[0]])  # a last one, as reduceat wants a place even for no words
+        of_text = np.cumsum(sizes) - sizes
+        tokens.append(sizes + 1)
+        hits.append(np.where(sizes > 0, np.add.reduceat(n > 0, of_text, dtype=np.int64), 0) + (end > 0))
+        known.append(np.where(sizes > 0, np.add.reduceat(np.log10(n + 1.0), of_text), 0.0) + end)
         for i, j in _parts(raw):
             codes, begins = grams(raw[i:j])
             found = np.concatenate([at[table.slots(codes[x : x + PIECE])] for x in range(0, len(codes), PIECE)])
             scores.append(np.add.reduceat(found, begins, dtype=np.float64))
-    return pa.Table.from_arrays([docs.column("doc_id"), docs.column("held_out"), pa.array(tokens, pa.int64()), pa.array(hits, pa.int64()), pa.array(known, pa.float64()), pa.array(np.concatenate(scores))], schema=_OUT)
+    return pa.Table.from_arrays([docs.column("doc_id"), docs.column("held_out"), *(pa.array(np.concatenate(x)) for x in (tokens, hits, known, scores))], schema=_OUT)
 
 
 def score_texts(docs: DataFrame) -> DataFrame:

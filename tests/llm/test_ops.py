@@ -502,6 +502,16 @@ def test_ppm_sums_to_one(spark):
         assert len(p) == 256 and abs(sum(p) - 1) < 1e-9
 
 
+def test_ppm_names_words_as_split_does():
+    raw = [b"", b" a\tB  a\x0b\x0c\r\n", b"\x1c \x85\xa0 a\x00 a", b"x" * 63, b"x" * 64, b"x" * 65, b"y" * 200 + b" " + b"Y" * 200, b"   ", "ab\u2003abcdefgh abcdefghi ABCDEFGH".encode()]
+    raw += [w.encode() for w in words(300, 5).split()] + [b"no end " * 40]
+    names, sizes = ppm._names(raw)
+    own = [w for x in raw for w in x.lower().split()]
+    assert sizes.tolist() == [len(x.split()) for x in raw]
+    assert len(names) == len(own) and len(set(names.tolist())) == len(set(own)) == len(set(zip(own, names.tolist(), strict=True)))
+    assert (names.view(np.int64) < 0).all() and ppm._END_WORD not in names
+
+
 def test_ppm_strings_are_counted_at_any_size(monkeypatch):
     import pyarrow as pa
 
