@@ -78,19 +78,36 @@ def _slices(column: pa.Array, *others: pa.Array) -> Iterator[tuple]:
 
 
 class Strings:
-    """A set of 64-bit numbers (all but 2^64 - 1) by open addressing, for many at once; each has a slot, and a count there."""
+    """A set of 64-bit numbers (all but 2^64 - 1) by open addressing, for many at once; each has a slot, and a count there if they are of a kind."""
 
-    def __init__(self, room: int = 0) -> None:
-        self.bits = max(12, int(2 * room).bit_length())
-        self.held, self.counts, self.n = np.full(1 << self.bits, _FREE), np.zeros(1 << self.bits, np.int64), 0
+    def __init__(self, room: int = 0, kind: type | None = None) -> None:
+        self.bits, self.kind = max(12, int(2 * room).bit_length()), kind
+        self.held, self.n = np.full(1 << self.bits, _FREE), 0
+        self.counts = np.zeros(1 << self.bits if kind else 0, kind or np.int64)
+
+    def _first(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def found(self, keys: np.ndarray) -> np.ndarray:
+        """Counts of the keys, 0 of those that aren't held; nothing is taken in."""
+        slot = self._first(keys)
+        left = np.flatnonzero((self.held[slot] != keys) & (self.held[slot] != _FREE))
+        while len(left):
+            slot[left] = (slot[left] + 1) & (len(self.held) - 1)
+            s = slot[left]
+            left = left[(self.held[s] != keys[left]) & (self.held[s] != _FREE)]
+        return self.counts[slot]  # a free slot's is 0
 
     def slots(self, keys: np.ndarray) -> np.ndarray:
-        """Slots of the keys; new ones are taken in. The table grows before it could be half full."""
+        """Slots of the keys, which hold until more come; new ones are taken in. The table grows before it could be half full."""
         if 2 * (self.n + len(keys)) > len(self.held):
-            keep, counts, used = self.held, self.counts, np.flatnonzero(self.held != _FREE)
-            self.__init__(self.n + len(keys))
-            self.counts[self.slots(keep[used])] = counts[used]
-        slot = ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+            used = np.flatnonzero(self.held != _FREE)
+            keep, counts = self.held[used], self.counts[used] if self.kind else None
+            self.__init__(self.n + len(keys), self.kind)
+            slots = self.slots(keep)
+            if self.kind:
+                self.counts[slots] = counts
+        slot = self._first(keys)
         left = np.flatnonzero(self.held[slot] != keys)
         while len(left):
             s, k = slot[left], keys[left]
@@ -123,7 +140,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         used = every.used
         return pa.RecordBatch.from_arrays([pa.array(every.held[used].view(np.int64)), pa.array(every.counts[used])], ["s", "n"])
 
-    every = Strings()
+    every = Strings(kind=np.int64)
     for batch in batches:
         for raw, held_out in _slices(batch.column("text"), batch.column("held_out")):
             held_out = held_out.to_pylist()
@@ -131,7 +148,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 _taken(every, [x for x, h in zip(raw, held_out, strict=True) if h == side], count=not side)
             if every.n > HELD:
                 yield close(every)
-                every = Strings()
+                every = Strings(kind=np.int64)
     yield close(every)
 
 
@@ -225,7 +242,7 @@ def _names(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _asked(bucket: pa.Table) -> pa.Table:
-    words, strings, ends = Strings(), Strings(), 0
+    words, strings, ends = Strings(kind=np.int64), Strings(), 0
     for raw, held_out in _slices(bucket.column("text").combine_chunks(), bucket.column("held_out").combine_chunks()):
         training = ~held_out.to_numpy(zero_copy_only=False)
         ends += int(training.sum())
@@ -251,25 +268,25 @@ def _scored(docs: pa.Table, answers: pa.Table) -> pa.Table:
     is_word = key < 0
     names, counts = key[is_word].view(np.uint64), answers.column("n").to_numpy()[is_word]
     end = math.log10(int(counts[names == _END_WORD].sum()) + 1)
-    words = Strings(len(names) + PIECE)
-    words.counts[words.slots(names)] = counts
+    words = Strings(len(names), np.int64)
+    slots = words.slots(names)
+    words.counts[slots] = counts
     strings = key[~is_word].view(np.uint64)
-    table = Strings(len(strings) + PIECE)
-    slots = table.slots(strings)
-    at = np.zeros(len(table.held), np.float32)
-    at[slots] = answers.column("log").to_numpy()[~is_word]
-    del key, is_word, strings, slots, names, counts
+    logs = Strings(len(strings), np.float32)
+    slots = logs.slots(strings)
+    logs.counts[slots] = answers.column("log").to_numpy()[~is_word]
+    del key, is_word, strings, slots, names, counts, answers
     tokens, hits, known, scores = [], [], [], []
     for (raw,) in _slices(docs.column("text").combine_chunks()):
         names, sizes = _names(raw)
-        n = np.concatenate([words.counts[words.slots(names[x : x + PIECE])] for x in range(0, len(names), PIECE)] + [[0]])  # a last one, as reduceat wants a place even for no words
+        n = np.concatenate([words.found(names[x : x + PIECE]) for x in range(0, len(names), PIECE)] + [[0]])  # a last one, as reduceat wants a place even for no words
         of_text = np.cumsum(sizes) - sizes
         tokens.append(sizes + 1)
         hits.append(np.where(sizes > 0, np.add.reduceat(n > 0, of_text, dtype=np.int64), 0) + (end > 0))
         known.append(np.where(sizes > 0, np.add.reduceat(np.log10(n + 1.0), of_text), 0.0) + end)
         for i, j in _parts(raw):
             codes, begins = grams(raw[i:j])
-            found = np.concatenate([at[table.slots(codes[x : x + PIECE])] for x in range(0, len(codes), PIECE)])
+            found = np.concatenate([logs.found(codes[x : x + PIECE]) for x in range(0, len(codes), PIECE)])
             scores.append(np.add.reduceat(found, begins, dtype=np.float64))
     return pa.Table.from_arrays([docs.column("doc_id"), docs.column("held_out"), *(pa.array(np.concatenate(x)) for x in (tokens, hits, known, scores))], schema=_OUT)
 

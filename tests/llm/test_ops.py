@@ -528,6 +528,24 @@ def test_ppm_strings_are_counted_at_any_size(monkeypatch):
         assert +got == want and set(got) == set(ppm.grams([x.encode() for x in raw])[0].tolist())
 
 
+def test_ppm_scores_more_unknown_words_than_known_ones():
+    import pyarrow as pa
+
+    known, logs = [b"abc", b"d"], {}
+    raw = [("abc " + " ".join(f"w{k}n{i}" for k in range(60000)) + " d").encode() for i in range(5)] + [b"", b"d abc x"]
+    for code in ppm.grams(raw)[0].tolist():
+        logs.setdefault(code, -1 - (code % 7) / 8)
+    names = [*ppm._names([b" ".join(known)])[0].tolist(), int(ppm._END_WORD)]
+    keys = pa.array(np.array([*names, *logs], np.uint64).view(np.int64))
+    answers = pa.table({"key": keys, "n": pa.array([3, 5, 7] + [None] * len(logs), pa.int64()), "log": pa.array([None] * 3 + [*logs.values()], pa.float32())})
+    docs = pa.table({"doc_id": pa.array(range(len(raw))), "held_out": pa.array([True] * len(raw)), "text": pa.array([x.decode() for x in raw])})
+    got = ppm._scored(docs, answers).to_pylist()
+    assert [(x["n_tokens"], x["n_known"]) for x in got] == [(60003, 3)] * 5 + [(1, 1), (4, 3)]
+    by_name = dict(zip(names, (3, 5, 7), strict=True))
+    assert [round(x["known"], 9) for x in got] == [round(float(sum(np.log10(by_name[int(n)] + 1) for n in ns)), 9) for ns in [[*names]] * 5 + [[names[2]], [*names]]]
+    assert np.allclose([x["score"] for x in got], [sum(logs[c] for c in ppm.grams([x])[0].tolist()) for x in raw], rtol=1e-6)
+
+
 def test_lm_base(docs, empty):
     rows = corpus()
     held = [zlib.crc32(("" if r[0] is None else str(r[0])).encode()) % 7 == 2 for r in rows]
