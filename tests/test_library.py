@@ -517,6 +517,16 @@ def test_length_consistency(spark):
     assert {f for f, own in families.items() if len(own) > 5 and plain_varied(own)} >= {"two", "wide"}
 
 
+def test_lengths_are_compared_in_exact_tenths(spark):
+    sizes = [x for x in range(76, 2000) if 0.8 * x > 8 * x / 10]
+    assert sizes and 121 < 1.1 * 110
+    members = spark.createDataFrame([*(("many", x, 8 * x / 10) for x in sizes), *(("few", x, float(x)) for x in (110, 105))], "family string, seqres int, atom double")
+    asked = [*(("many", i, x, 8 * x / 10) for i, x in enumerate(sizes)), ("few", 0, 121, 121.0), ("few", 1, 120, 120.0)]
+    got = {(x["family"], x["entry"]): x["code"] for x in cluster.length_consistency(members, spark.createDataFrame(asked, "family string, entry long, seqres int, atom double"), members.select("family").limit(0)).collect()}
+    assert all(got["many", i] & (cluster.NEW_DIFFERS | cluster.FAMILY_DIFFERS) == 0 for i in range(len(sizes)))
+    assert got["few", 0] & cluster.RARE and not got["few", 1] & cluster.RARE
+
+
 def test_families_named_after_repeats(spark):
     named = [("a", 2, "Alpha"), ("a.1", 3, "beta repeat"), ("a.1.1", 4, "x"), ("a.1.1.1", 5, "y"), ("a.1.1.2", 5, "z"), ("a.2", 3, "w"), ("a.2.1", 4, "v"), ("a.2.1.1", 5, "repeats"), ("a.2.1.2", 5, "none"), ("a.10.1.1", 5, "u")]
     assert rows(cluster.repeat_families(spark.createDataFrame(named, "sccs string, level_id int, description string")), "family") == [("a.1.1.1",), ("a.1.1.2",), ("a.2.1.1",)]
