@@ -147,6 +147,21 @@ def test_regions_meet_packed_maps(spark):
     assert "sequence(" not in str(check._jdf.queryExecution().optimizedPlan())  # a row a residue before
 
 
+def test_rows_are_dealt_before_they_become_tokens(spark):
+    texts = spark.createDataFrame([(1, "Alpha beta beta gamma", 100), (1, "alpha  BETA", 100), (2, "alpha beta", 0), (2, "alpha beta", 0), (3, None, 5)], "id long, text string, base_weight int")
+    nodes = spark.createDataFrame([(7, 7, "d1", "a.1", 8), (7, 7, "d2", "a.1", 8)], "id long, sunid long, sid string, sccs string, level_id int")
+    xrefs = spark.createDataFrame([(7, "code", "A", None), (7, "code", "a ", None), (7, "code", "pdb:a", None), (7, "chain", "A", "B")], "id long, kind string, value string, chain string")
+    tokens, named = search.tokenise(texts, True), search.identifier_tokens(nodes, xrefs)
+    for df in (tokens, named):
+        plan = str(df._jdf.queryExecution().executedPlan())
+        assert plan.index("Generate") < plan.index("Exchange ")  # tokens themselves were shuffled before
+    got = rows(tokens, "id", "term", "term_kind", "weight")
+    assert len(got) == len(set(got)) and {x for x in got if x[0] == 2 and " " in x[1]} == {(2, "alpha beta", "phrase", 0)}
+    assert {(x[1], x[3]) for x in got if x[0] == 1 and x[2] == "phrase"} == {("alpha beta beta gamma", 400), ("alpha beta", 300), ("alpha beta", 400), ("beta beta", 300), ("beta gamma", 300), ("alpha beta beta", 400), ("beta beta gamma", 400)}
+    terms = [r["term"] for r in named.collect()]
+    assert Counter(terms) == Counter(["7", "sunid:7", "sunid=7", "d1", "sid:d1", "sid=d1", "d2", "sid:d2", "sid=d2", "a.1", "sccs:a.1", "sccs=a.1", "a", "pdb:a", "pdb:pdb:a", "aB", "pdb:aB"])
+
+
 def test_greedy_cover_is_sequential(spark):
     r = random.Random(7)
     for _ in range(3):
